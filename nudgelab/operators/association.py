@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations, combinations_with_replacement
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -185,19 +185,33 @@ def strongest_changes(compared: DataFrame, k: int = 10) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """Pearson r of every pair i < j over rows where both are known: one pass."""
+    """Pearson r of every pair i < j over rows where both are known: one pass.
+
+    Each row fans out to its pairs inside the scan stage, and the partial
+    aggregate folds them to one buffer per pair before anything is shuffled.
+    Hundreds of ``corr`` columns in one aggregate would be too wide for
+    generated code.
+    """
     names = list(features) if features is not None else numeric_columns(df)
-    doubles = df.select(*(column(c).cast("double").alias(c) for c in names))
-    pairs = list(combinations(range(len(names)), 2))
-    row = doubles.agg(
-        *(F.expr(f"corr(`{names[i]}`, `{names[j]}`)").alias(f"r_{i}_{j}") for i, j in pairs)
+    values = F.array(*(column(c).cast("double") for c in names))
+    left = df.select(values.alias("v")).selectExpr("v", "posexplode(v) AS (i, x)")
+    pairs = left.where("x IS NOT NULL").selectExpr(
+        "i", "x", f"posexplode(slice(v, i + 2, {len(names)})) AS (k, y)"
     )
-    entries = ", ".join(
-        f"named_struct('feature_1', '{names[i]}', 'feature_2', '{names[j]}', "
-        f"'corr', nanvl(r_{i}_{j}, CAST(NULL AS DOUBLE)))"
-        for i, j in pairs
+    known = pairs.where("y IS NOT NULL").selectExpr("i", "i + k + 1 AS j", "x", "y")
+    name = F.array(*(F.lit(c) for c in names))
+    found = known.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
+    grid = (
+        df.sparkSession.range(1)
+        .selectExpr(f"explode(sequence(0, {len(names) - 1})) AS i")
+        .selectExpr("i", f"explode(sequence(0, {len(names) - 1})) AS j")
+        .where("i < j")
+    )
+    return grid.join(F.broadcast(found), ["i", "j"], "left").select(
+        F.get(name, F.col("i")).alias("feature_1"),
+        F.get(name, F.col("j")).alias("feature_2"),
+        F.nanvl("corr", F.lit(None).cast("double")).alias("corr"),
     )
-    return row.selectExpr(f"inline(array({entries}))")
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
@@ -215,9 +229,8 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] | None = None) ->
         f"'corr', CASE WHEN varies_{i} THEN 1.0D END)"
         for i, c in enumerate(names)
     )
-    return (
-        upper.unionByName(lower)
-        .unionByName(spread.selectExpr(f"inline(array({diagonal}))"))
+    return upper.unionByName(lower).unionByName(
+        spread.selectExpr(f"inline(array({diagonal}))")
     )
 
 

@@ -24,7 +24,7 @@ def target_distribution(df: DataFrame, column: str = RESPONSE) -> DataFrame:
 
 def crosstab(df: DataFrame, rows: str = ARM, columns: str = RESPONSE) -> DataFrame:
     """Arm by response: counts and row percentages."""
-    table = df.groupBy(rows).pivot(columns, [0, 1]).agg(F.count("*"))
+    table = df.groupBy(rows).pivot(columns, [0, 1]).agg(F.count(F.lit(1)))
     n0, n1 = F.coalesce("0", F.lit(0)), F.coalesce("1", F.lit(0))
     return table.select(
         rows,
