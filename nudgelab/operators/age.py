@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 YOUNGEST, OLDEST, OLDEST_KNOWN = 15, 100, 200
@@ -105,6 +105,11 @@ class AgeImputerModel(Model, _AgeParams, DefaultParamsReadable, DefaultParamsWri
         if statistics is not None:
             self._set(statistics=statistics)
 
+    def as_frame(self, spark: SparkSession) -> DataFrame:
+        """The statistics as one row, in the shape of ``age_stats``."""
+        schema = ", ".join(f"{s} double" for s in STATISTICS)
+        return spark.createDataFrame([tuple(self.getOrDefault("statistics"))], schema)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         name = self.getOrDefault("column")
         known = dict(zip(STATISTICS, self.getOrDefault("statistics"), strict=True))
