@@ -17,12 +17,16 @@ from nudgelab.operators import association as L
 from nudgelab.operators import clean as C
 from nudgelab.operators import client_aggregates as G
 from nudgelab.operators import experiment as E
+from nudgelab.operators import importance as I
+from nudgelab.operators import learners as M
 from nudgelab.operators import profiling as Q
 from nudgelab.operators import ranking as R
 from nudgelab.operators import segments, split
 from nudgelab.operators.business import BUSINESS_FEATURES
 from nudgelab.plans import features as P
+from nudgelab.plans import modelling as jobs
 from nudgelab.session import cut_lineage, scratch_path
+from nudgelab.sources import artifacts
 from nudgelab.sources import driver_tables as D
 from nudgelab.sources import files, schemas, scorelog
 
@@ -532,3 +536,128 @@ def stratified_split_3way(spark: SparkSession, d: str) -> DataFrame:
 @query
 def kfold_assign(spark: SparkSession, d: str) -> DataFrame:
     return split.assign_folds(D.campaign(spark, d))
+
+
+# --- models ----------------------------------------------------------------------------
+# Boosting rounds are kept low here: the rounds run one after another, and a check needs
+# whole tables, not long training. The library defaults are the full settings.
+
+ROUNDS = 10
+
+
+def _training(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.training_frame(*_tables(spark, d))
+
+
+def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    train, test = jobs.with_parts(_training(spark, d))
+    return cut_lineage(train), test
+
+
+@query
+def propensity(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.propensity_check(_audit(spark, d))
+
+
+@query
+def t_learner(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    return M.scored_columns(M.t_learner(train).fit(train).transform(test), "t_learner")
+
+
+@query
+def s_learner(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    model = M.s_learner(train, validate=True, maxIter=ROUNDS).fit(train)
+    return M.scored_columns(model.transform(test), "s_learner")
+
+
+@query
+def x_learner(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    model = M.x_learner(train, maxIter=ROUNDS).fit(train)
+    return M.scored_columns(model.transform(test), "x_learner")
+
+
+@query
+def baseline_response(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    model = M.baseline_learner(train, validate=True, maxIter=ROUNDS).fit(train)
+    return M.scored_columns(model.transform(test), "baseline")
+
+
+@query
+def t_learner_candidates(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    numbers, texts = M.split_kinds(train, with_gender=False)
+    bases = {
+        "logreg": M.RidgeLogistic(numbers, texts),
+        "forest": M.forest_classifier(numbers, texts, numTrees=ROUNDS, seed=42, maxBins=64),
+        "boosted": M.boosted_classifier(numbers, texts, maxIter=ROUNDS, seed=42, maxBins=64),
+    }
+    models = {name: M.TLearner(base).fit(train) for name, base in bases.items()}
+    return R.metric_table(jobs.score_all(models, test), ["model"])
+
+
+@query
+def tune_t_learner(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _parts(spark, d)
+    study = jobs.tune_t_learner(train, families=("logreg",), trials=2)
+    return jobs.refit_best(train, test, study)
+
+
+@query
+def tune_x_learner(spark: SparkSession, d: str) -> DataFrame:
+    frame = _training(spark, d)
+    return jobs.tune_x_learner(frame, trials=1, overrides={"maxIter": ROUNDS}).table(spark)
+
+
+@query
+def model_comparison(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.compare_learners(_training(spark, d), trees=ROUNDS).metrics
+
+
+@query
+def importance_t(spark: SparkSession, d: str) -> DataFrame:
+    frame = _training(spark, d)
+    return I.coefficient_gap(spark, M.t_learner(frame).fit(frame))
+
+
+@query
+def importance_tree(spark: SparkSession, d: str) -> DataFrame:
+    frame = _training(spark, d)
+    return I.learner_importance(spark, M.baseline_learner(frame, maxIter=ROUNDS).fit(frame))
+
+
+@query
+def importance_x(spark: SparkSession, d: str) -> DataFrame:
+    frame = _training(spark, d)
+    return I.learner_importance(spark, M.x_learner(frame, maxIter=ROUNDS).fit(frame))
+
+
+@query
+def importance_table(spark: SparkSession, d: str) -> DataFrame:
+    frame = _training(spark, d)
+    models = {
+        "t_learner": M.t_learner(frame).fit(frame),
+        "s_learner": M.s_learner(frame, maxIter=ROUNDS).fit(frame),
+        "baseline": M.baseline_learner(frame, maxIter=ROUNDS).fit(frame),
+    }
+    return I.importance_table(spark, models)
+
+
+@query
+def train_job(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "learner")
+    jobs.train_job(*_tables(spark, d), path)
+    model, _ = artifacts.load_learner(spark, path)
+    return I.coefficient_importance(spark, model)
+
+
+@query
+def score_batch(spark: SparkSession, d: str) -> DataFrame:
+    people, labels, lines = _tables(spark, d)
+    path = scratch_path(spark, "learner")
+    jobs.train_job(people, labels, lines, path)
+    model, _ = artifacts.load_learner(spark, path)
+    return jobs.score_clients(people, lines, model, artifacts.load_ages(path))

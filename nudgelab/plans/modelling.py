@@ -6,8 +6,10 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,11 +154,12 @@ FAMILIES: dict[str, Family] = {
 
 @dataclass
 class Trial:
-    """One drawn setting and its mean AUUC over the folds."""
+    """One drawn setting and its AUUC; a failed fit counts as 0 and keeps its message."""
 
     family: str
     params: dict
     auuc: float
+    error: str | None = None
 
 
 @dataclass
@@ -165,6 +168,13 @@ class Study:
 
     trials: list[Trial] = field(default_factory=list)
 
+    def run(self, family: str, params: dict, measure: Callable[[], float]) -> None:
+        """Record one trial."""
+        try:
+            self.trials.append(Trial(family, params, measure()))
+        except (PySparkException, Py4JError) as error:
+            self.trials.append(Trial(family, params, 0.0, str(error)))
+
     def best(self, family: str | None = None) -> Trial:
         """The trial with the largest AUUC (of one family)."""
         pool = [t for t in self.trials if family in (None, t.family)]
@@ -213,7 +223,7 @@ def tune_t_learner(
             params = FAMILIES[name].draw(rng)
             params |= {k: v for k, v in (overrides or {}).items() if k in params}
             base = FAMILIES[name].build(numbers, texts, params)
-            study.trials.append(Trial(name, params, cross_validated_auuc(folded, base, folds)))
+            study.run(name, params, partial(cross_validated_auuc, folded, base, folds))
     return study
 
 
@@ -231,12 +241,15 @@ def tune_x_learner(
             "maxDepth": rng.randint(4, 7),
             "stepSize": rng.uniform(0.03, 0.2),
         } | (overrides or {})
-        model = M.x_learner(train, **params).fit(train)
-        auuc = M.AUUCEvaluator().evaluate(M.scored_columns(model.transform(held), "x_learner"))
-        study.trials.append(Trial("x_learner", params, auuc))
+        study.run("x_learner", params, partial(_validated_auuc, train, held, params))
     return study
 
 
+def _validated_auuc(train: DataFrame, held: DataFrame, params: dict) -> float:
+    model = M.x_learner(train, **params).fit(train)
+    return M.AUUCEvaluator().evaluate(M.scored_columns(model.transform(held), "x_learner"))
+
+
 def refit_best(train: DataFrame, test: DataFrame, study: Study) -> DataFrame:
     """Best setting of each family fitted on all training rows: test metrics, best first."""
     numbers, texts = M.split_kinds(train, with_gender=False)
