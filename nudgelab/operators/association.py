@@ -16,6 +16,12 @@ RARE_SHARE = 0.005
 SUMMARY = ("kind", "score", "sign", "auc", "auc_norm", "smd", "smd_norm", "eta2", "combined")
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation aggregate that is null, not an error, for a constant column."""
+    spread = F.stddev_samp(x) * F.stddev_samp(y)
+    return F.when(spread > 0, F.covar_samp(x, y) / spread)
+
+
 def numeric_association(
     df: DataFrame, target: str, features: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -28,7 +34,7 @@ def numeric_association(
     x, y = F.col("value"), F.col(target)
     keys = [*by, "feature"]
     moments = values.groupBy(*keys).agg(
-        F.corr(x, y.cast("double")).alias("r"),
+        pearson(x, y.cast("double")).alias("r"),
         F.avg(F.when(y == 0, x)).alias("m0"),
         F.avg(F.when(y == 1, x)).alias("m1"),
         F.var_samp(F.when(y == 0, x)).alias("v0"),
@@ -36,9 +42,8 @@ def numeric_association(
         F.max(F.when(x.isin(0.0, 1.0), 0).otherwise(1)).alias("beyond_binary"),
     )
     kind = F.when(F.col("beyond_binary") == 0, F.lit("binary")).otherwise(F.lit("numeric"))
-    known_r = F.nanvl("r", F.lit(None).cast("double"))
     # A constant 0/1 column has phi 0; a constant number has no correlation.
-    r = F.when(kind == "binary", F.coalesce(known_r, F.lit(0.0))).otherwise(known_r)
+    r = F.when(kind == "binary", F.coalesce("r", F.lit(0.0))).otherwise(F.col("r"))
     smd = standardized_difference(*(F.col(c) for c in ("m1", "m0", "v1", "v0")))
     return moments.join(roc_auc(values, "value", target, keys), keys).select(
         *keys,
@@ -200,7 +205,7 @@ def correlation_pairs(df: DataFrame, features: Sequence[str] | None = None) -> D
     )
     known = pairs.where("y IS NOT NULL").selectExpr("i", "i + k + 1 AS j", "x", "y")
     name = F.array(*(F.lit(c) for c in names))
-    found = known.groupBy("i", "j").agg(F.corr("x", "y").alias("corr"))
+    found = known.groupBy("i", "j").agg(pearson(F.col("x"), F.col("y")).alias("corr"))
     grid = (
         df.sparkSession.range(1)
         .selectExpr(f"explode(sequence(0, {len(names) - 1})) AS i")
@@ -210,7 +215,7 @@ def correlation_pairs(df: DataFrame, features: Sequence[str] | None = None) -> D
     return grid.join(F.broadcast(found), ["i", "j"], "left").select(
         F.get(name, F.col("i")).alias("feature_1"),
         F.get(name, F.col("j")).alias("feature_2"),
-        F.nanvl("corr", F.lit(None).cast("double")).alias("corr"),
+        "corr",
     )
 
 
