@@ -248,7 +248,7 @@ def client_tx(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def client_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(G.amount_quantiles(G.transactions(_cleaned(spark, d))))
+    return rounded(G.amount_quantiles(cut_lineage(G.transactions(_cleaned(spark, d)))))
 
 
 POINT_COLUMNS = (

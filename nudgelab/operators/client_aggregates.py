@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nudgelab.functions import scalars as S
-from nudgelab.operators.prefix import exact_quantiles
+from nudgelab.operators.quantiles import exact_quantiles
 
 POINTS = (
     "regular_points_received",
@@ -124,7 +124,7 @@ def amount_spread(tx: DataFrame) -> DataFrame:
 
 
 def amount_quantiles(tx: DataFrame) -> DataFrame:
-    """Interpolated quartiles of the transaction amount."""
+    """Interpolated quartiles of the transaction amount (reads ``tx`` twice)."""
     return exact_quantiles(tx, "purchase_sum", AMOUNT_QUANTILES, by=["client_id"])
 
 

@@ -1,4 +1,4 @@
-"""Running totals and exact quantiles over a global order, without a single task.
+"""Running totals over a global order, without a single task.
 
 ``Window.orderBy`` without a partition sends the whole table to one task, and a
 window per key does the same for a hot key. Here rows are range-partitioned on
@@ -75,36 +75,3 @@ def _border_shifts(ranged: DataFrame, keys: list[str], sums: Sequence[str]) -> D
         *(F.sum(c).over(earlier).alias(f"{c}_before") for c in sums),
         *(F.sum(c).over(group).alias(f"{c}_group") for c in sums),
     )
-
-
-def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Interpolated quantiles per group, exact at any group size.
-
-    Equal values collapse before the first shuffle; then the one or two values
-    that straddle each wanted position are picked by their running counts.
-    """
-    v, run, total = F.col(value), F.col("n_run"), F.col("n_all")
-    collapsed = (
-        df.where(v.isNotNull()).groupBy(*by, v.alias(value)).agg(F.count("*").alias("n"))
-    )
-    counted = running_totals(collapsed, [v], ["n"], by)
-
-    def holds(position: Column) -> Column:
-        return (run - F.col("n") <= position) & (position < run)
-
-    def positions(p: float) -> tuple[Column, Column, Column]:
-        exact = (total - 1) * F.lit(p)
-        return exact, F.floor(exact), F.ceil(exact)
-
-    wanted = F.lit(False)
-    picks = []
-    for name, p in probabilities.items():
-        exact, low, high = positions(p)
-        wanted = wanted | holds(low) | holds(high)
-        low_value = F.max(F.when(holds(low), v))
-        high_value = F.max(F.when(holds(high), v))
-        weight = F.max(exact - low)
-        picks.append((low_value + (high_value - low_value) * weight).cast("double").alias(name))
-    return counted.where(wanted).groupBy(*by).agg(*picks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nudgelab.functions.scalars import column, text_columns
-from nudgelab.operators.prefix import exact_quantiles
+from nudgelab.operators.quantiles import column_quantiles
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
 LOW_CARDINALITY = 100
@@ -31,12 +31,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         )
     moments = df.agg(F.array(*entries).alias("e")).select(F.inline("e"))
-    values = df.select(*(column(c).cast("double").alias(c) for c in columns)).unpivot(
-        [], [column(c) for c in columns], "column", "value"
-    )
-    quantiles = exact_quantiles(
-        values, "value", {f"p{p}": p / 100 for p in PERCENTILES}, by=["column"]
-    )
+    quantiles = column_quantiles(df, columns, {f"p{p}": p / 100 for p in PERCENTILES})
     return moments.join(F.broadcast(quantiles), "column", "left")
 
 

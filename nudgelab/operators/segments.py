@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nudgelab.operators.prefix import exact_quantiles
+from nudgelab.operators.quantiles import exact_quantiles
 
 PERCENTAGE = "uplift_percentage"
 

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nudgelab.operators.prefix import exact_quantiles, running_totals
+from nudgelab.operators import quantiles
+from nudgelab.operators.prefix import running_totals
+from nudgelab.operators.quantiles import column_quantiles, exact_quantiles
 
 
 def skewed_rows(n=4000, seed=3):
@@ -55,13 +57,14 @@ def test_hot_group_is_cut_into_several_slices(spark):
     assert len(sizes) == 4 and max(sizes) < 0.5 * 20000
 
 
+@pytest.mark.parametrize("limit", [2, 60, 100_000])
 @pytest.mark.parametrize("by", [(), ("g",), ("g", "h")])
-def test_quantiles_match_numpy(spark, by):
+def test_quantiles_match_numpy(spark, by, limit):
     rows = [(i, g, "ab"[i % 2], v) for i, g, v, _ in skewed_rows(3000)]
     rows += [(9001, 99, "a", 4.0), (9002, 98, "b", None)]
     df = spark.createDataFrame(rows, "id long, g long, h string, v double").repartition(5)
     probabilities = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q95": 0.95, "q100": 1.0}
-    got = exact_quantiles(df, "v", probabilities, by).collect()
+    got = exact_quantiles(df, "v", probabilities, by, group_limit=limit).collect()
     groups: dict = {}
     place = {"g": 1, "h": 2}
     for row in rows:
@@ -72,3 +75,26 @@ def test_quantiles_match_numpy(spark, by):
         values = groups[tuple(row[b] for b in by)]
         for name, p in probabilities.items():
             assert row[name] == pytest.approx(np.quantile(values, p), abs=1e-9)
+
+
+@pytest.mark.parametrize("sample", [50, 100_000])
+def test_column_quantiles_do_not_depend_on_the_sample(spark, monkeypatch, sample):
+    """Heavy tails, heavy ties, nulls and a constant column; the sample may be tiny."""
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", sample)
+    rng = random.Random(8)
+    rows = [
+        (rng.lognormvariate(0, 4), 50.0 if rng.random() < 0.4 else float(rng.randrange(9)),
+         None if i % 3 else float(i), 7, None)
+        for i in range(3000)
+    ]
+    schema = "`a.b` double, ties double, gaps double, same int, none double"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    probabilities = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
+    got = {r["column"]: r for r in column_quantiles(df, df.columns, probabilities).collect()}
+    assert set(got) == {"a.b", "ties", "gaps", "same"}
+    for i, name in enumerate(df.columns[:4]):
+        values = [r[i] for r in rows if r[i] is not None]
+        for q, p in probabilities.items():
+            assert got[name][q] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    empty = column_quantiles(df.select("none"), ["none"], probabilities)
+    assert empty.columns == ["column", *probabilities] and empty.count() == 0
