@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from nudgelab.functions.scalars import guarded_div
 from nudgelab.operators.prefix import running_totals
+from nudgelab.session import cut_lineage
 
 SCORE, ARM, RESPONSE, KEY = "uplift", "treatment_flg", "target", "client_id"
 COUNTS = ("n_t", "n_c", "y_t", "y_c")
@@ -55,7 +56,7 @@ CURVES = {"auuc": uplift_value, "qini": qini_value}
 
 
 def _areas(points: DataFrame, by: Sequence[str], names: dict[str, str]) -> DataFrame:
-    """Trapezoid areas under the curves, from (0, 0), with each curve's last point."""
+    """Trapezoid areas under the curves, from (0, 0), one row per group."""
     run = [F.col(f"{c}_run") for c in COUNTS]
     before = [F.col(f"{c}_run") - F.col(c) for c in COUNTS]
     width = F.col("n_t") + F.col("n_c")
@@ -63,7 +64,9 @@ def _areas(points: DataFrame, by: Sequence[str], names: dict[str, str]) -> DataF
         *(
             F.sum(width * (CURVES[curve](*run) + CURVES[curve](*before)) / 2).alias(alias)
             for curve, alias in names.items()
-        )
+        ),
+        # The last point of every curve: rows and responses per arm.
+        *(F.max(f"{c}_run").alias(f"{c}_end") for c in COUNTS),
     )
 
 
@@ -72,14 +75,14 @@ def arm_totals(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return scored.groupBy(*by).agg(*_tallies(F.col(ARM), F.col(RESPONSE)))
 
 
-def perfect_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def perfect_points(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Running tallies of the ideal ranking of each metric (a few rows per group).
 
     The ideal score depends only on (arm, response), so the four cells of that
-    table are all the data there is.
+    table, given as arm totals, are all the data there is.
     """
-    totals, keys = _with_group(arm_totals(scored, by), by)
-    cells = totals.select(
+    keyed, keys = _with_group(totals, by)
+    cells = keyed.select(
         *keys,
         (F.col("y_c") > F.col("n_t") - F.col("y_t")).alias("response_first"),
         F.inline(
@@ -95,22 +98,11 @@ def perfect_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "auuc": "2 * int(y = t) + CASE WHEN response_first THEN y ELSE t END",
         "qini": "y * t - y * (1 - t)",
     }
-    t, y, n = F.col("t"), F.col("y"), F.col("n")
-    ranked = cells.select(
-        *keys,
-        "t",
-        "y",
-        "n",
-        F.inline(
-            F.expr(
-                "array("
-                + ", ".join(
-                    f"named_struct('curve', '{c}', 'score', {sql})" for c, sql in ideal.items()
-                )
-                + ")"
-            )
-        ),
+    scores = ", ".join(
+        f"named_struct('curve', '{c}', 'score', {sql})" for c, sql in ideal.items()
     )
+    ranked = cells.select(*keys, "t", "y", "n", F.inline(F.expr(f"array({scores})")))
+    t, y, n = F.col("t"), F.col("y"), F.col("n")
     groups = ranked.groupBy(*keys, "curve", "score").agg(
         F.sum(t * n).alias("n_t"),
         F.sum((1 - t) * n).alias("n_c"),
@@ -127,36 +119,45 @@ def perfect_points(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _normalised_area(curve: str, totals: Column) -> Column:
-    perfect, actual = F.col(f"perfect_{curve}"), F.col(f"area_{curve}")
-    diagonal = (F.col("n_t") + F.col("n_c")) * totals / 2
-    return guarded_div(actual - diagonal, perfect - diagonal).alias(curve)
-
-
 def gain_areas(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """AUUC and Qini AUC: (area - random) / (perfect - random), one row per group."""
+    """AUUC and Qini AUC: (area - random) / (perfect - random), one row per group.
+
+    The scored table is read once; all else works on one row per group.
+    """
     keyed, keys = _with_group(scored, by)
-    actual = _areas(
-        score_points(keyed, keys), keys, {c: f"area_{c}" for c in CURVES}
+    measured = cut_lineage(
+        _areas(score_points(keyed, keys), keys, {c: f"area_{c}" for c in CURVES})
     )
-    perfect = perfect_points(keyed, keys)
-    ideal = None
-    for curve in CURVES:
-        area = _areas(perfect.where(F.col("curve") == curve), keys, {curve: f"perfect_{curve}"})
-        ideal = area if ideal is None else ideal.join(area, keys)
-    counts = [F.col(c) for c in COUNTS]
-    return (
-        actual.join(ideal, keys)
-        .join(arm_totals(keyed, keys), keys)
-        .select(*by, *(_normalised_area(c, CURVES[c](*counts)) for c in CURVES))
+    ends = [F.col(f"{c}_end") for c in COUNTS]
+    totals = measured.select(*keys, *(e.alias(c) for e, c in zip(ends, COUNTS, strict=True)))
+    ideal = _areas(
+        perfect_points(totals, keys), [*keys, "curve"], {c: f"perfect_{c}" for c in CURVES}
     )
+    rows = measured.join(
+        ideal.groupBy(*keys).agg(
+            *(
+                F.max(F.when(F.col("curve") == c, F.col(f"perfect_{c}"))).alias(f"perfect_{c}")
+                for c in CURVES
+            )
+        ),
+        keys,
+    )
+
+    def normalised(curve: str) -> Column:
+        diagonal = (F.col("n_t_end") + F.col("n_c_end")) * CURVES[curve](*ends) / 2
+        return guarded_div(
+            F.col(f"area_{curve}") - diagonal, F.col(f"perfect_{curve}") - diagonal
+        ).alias(curve)
+
+    return rows.select(*by, *(normalised(c) for c in CURVES))
 
 
 def perfect_curve(scored: DataFrame) -> DataFrame:
     """Points of the ideal curves and the end of the random line, per curve."""
     run = [F.col(f"{c}_run") for c in COUNTS]
     value = F.when(F.col("curve") == "auuc", uplift_value(*run)).otherwise(qini_value(*run))
-    perfect = perfect_points(scored).select(
+    totals = arm_totals(scored)
+    perfect = perfect_points(totals).select(
         "curve",
         F.lit("perfect").alias("line"),
         (F.col("n_t_run") + F.col("n_c_run")).alias("n"),
@@ -164,7 +165,7 @@ def perfect_curve(scored: DataFrame) -> DataFrame:
     )
     counts = [F.col(c) for c in COUNTS]
     ends = [
-        arm_totals(scored).select(
+        totals.select(
             F.lit(curve).alias("curve"),
             F.lit("random").alias("line"),
             (F.col("n_t") + F.col("n_c")).alias("n"),
