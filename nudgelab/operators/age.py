@@ -29,9 +29,14 @@ def age_stats(clients: DataFrame, column: str = "age") -> DataFrame:
     """
     valid = clients.where(F.col(column).between(YOUNGEST, OLDEST))
     histogram = valid.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    quartiles = histogram.agg(
-        F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q")
-    ).select(*(F.col("q")[i].alias(f"age_q{i + 1}") for i in range(3)))
+    # One row: the quartiles next to the whole (short) histogram.
+    summary = histogram.agg(
+        F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q"),
+        F.collect_list(F.struct("v", "n")).alias("h"),
+    )
+    rows = summary.select(
+        *(F.col("q")[i].alias(f"age_q{i + 1}") for i in range(3)), F.inline_outer("h")
+    )
     v, n = F.col("v"), F.col("n")
 
     def band_mean(condition: Column) -> Column:
@@ -44,7 +49,7 @@ def age_stats(clients: DataFrame, column: str = "age") -> DataFrame:
         "mean_high": v > F.col("age_q3"),
         "mean_all": F.lit(True),
     }
-    return histogram.join(F.broadcast(quartiles)).agg(
+    return rows.agg(
         *(F.first(f"age_q{i}").alias(f"age_q{i}") for i in (1, 2, 3)),
         *(band_mean(cond).cast("double").alias(name) for name, cond in bands.items()),
     )

@@ -133,7 +133,10 @@ def association(
     by: Sequence[str] = (),
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """Ranked summary of every feature: one row per feature (and group)."""
+    """Ranked summary of every feature: one row per feature (and group).
+
+    The frame is read a fixed number of times, so pass a materialised one.
+    """
     skip = (target, *by, *exclude)
     rows = numeric_association(df, target, numeric_columns(df, skip), by)
     texts = text_columns(df, skip)

@@ -156,7 +156,7 @@ def perfect_curve(scored: DataFrame) -> DataFrame:
     """Points of the ideal curves and the end of the random line, per curve."""
     run = [F.col(f"{c}_run") for c in COUNTS]
     value = F.when(F.col("curve") == "auuc", uplift_value(*run)).otherwise(qini_value(*run))
-    totals = arm_totals(scored)
+    totals = cut_lineage(arm_totals(scored))
     perfect = perfect_points(totals).select(
         "curve",
         F.lit("perfect").alias("line"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nudgelab.operators.quantiles import exact_quantiles
+from nudgelab.session import cut_lineage
 
 PERCENTAGE = "uplift_percentage"
 
@@ -23,7 +24,8 @@ def uplift_by_segment(
     clients: DataFrame, scores: DataFrame, by: Sequence[str], key: str = "client_id"
 ) -> DataFrame:
     """count, mean, median, deviation, min and max per segment; null segments are left out."""
-    merged = with_percentage(clients, scores, key).dropna(subset=list(by))
+    labelled = with_percentage(clients, scores, key).dropna(subset=list(by))
+    merged = cut_lineage(labelled.select(*by, PERCENTAGE))
     v = F.col(PERCENTAGE)
     moments = merged.groupBy(*by).agg(
         F.count(v).alias("count"),
