@@ -1038,3 +1038,8 @@ _third = "(CAST(1 AS DOUBLE) / 3)"
 ORACLES["kfold_assign"] = _split(
     "CAST(target AS VARCHAR)", {"0": _third, "1": f"({_third} + {_third})"}, "2", "fold"
 )
+
+# Every request holds one valid line, so all of them are scored.
+ORACLES["score_stream"] = with_ctes(
+    "SELECT 200 AS status_code, 'scored' AS outcome, count(*) AS n FROM purchases", "purchases"
+)

@@ -29,6 +29,7 @@ from nudgelab.session import cut_lineage, scratch_path
 from nudgelab.sources import artifacts
 from nudgelab.sources import driver_tables as D
 from nudgelab.sources import files, schemas, scorelog
+from nudgelab.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,17 +112,21 @@ def csv_scan(spark: SparkSession, d: str) -> DataFrame:
     return rounded(files.read_csv(spark, path, schemas.PURCHASES))
 
 
-@query
-def payload_explode(spark: SparkSession, d: str) -> DataFrame:
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    """One scoring request per purchase line, with its client."""
     lines, people = D.purchases(spark, d), D.clients(spark, d)
     person = F.struct(*(F.col(f"p.{c}") for c in people.columns))
     line = F.struct(*(F.col(f"l.{c}") for c in lines.columns))
-    requests = lines.alias("l").join(people.alias("p"), "client_id").select(
+    return lines.alias("l").join(people.alias("p"), "client_id").select(
         F.to_json(
             F.struct(F.array(person).alias("client"), F.array(line).alias("purchases"))
         ).alias("input_data")
     )
-    exploded = files.request_purchases(files.parse_requests(requests))
+
+
+@query
+def payload_explode(spark: SparkSession, d: str) -> DataFrame:
+    exploded = files.request_purchases(files.parse_requests(_requests(spark, d)))
     return rounded(
         exploded.select(
             *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PURCHASES.fields)
@@ -661,3 +666,20 @@ def score_batch(spark: SparkSession, d: str) -> DataFrame:
     jobs.train_job(people, labels, lines, path)
     model, _ = artifacts.load_learner(spark, path)
     return jobs.score_clients(people, lines, model, artifacts.load_ages(path))
+
+
+@query
+def score_stream(spark: SparkSession, d: str) -> DataFrame:
+    landing, scores, log, state = (
+        scratch_path(spark, f"stream-{part}") for part in ("in", "scores", "log", "state")
+    )
+    _requests(spark, d).select(
+        F.monotonically_increasing_id().alias("id"),
+        F.lit("2024-03-01T09:00:00").alias("ts"),
+        "input_data",
+    ).write.json(landing)
+    frame = _training(spark, d)
+    ages = A.AgeImputer().fit(_labelled(spark, d))
+    model = M.t_learner(frame).fit(frame)
+    scoring.start_scoring(spark, landing, model, ages, scores, log, state).awaitTermination()
+    return scorelog.status_counts(scorelog.read_log(spark, log))

@@ -11,13 +11,9 @@ from nudgelab.operators import learners as M
 from nudgelab.operators.age import AgeImputer
 from nudgelab.plans import modelling as jobs
 from nudgelab.sources import driver_tables as D
-from nudgelab.sources import scorelog
+from nudgelab.sources import files, schemas, scorelog
 from nudgelab.streaming import scoring
 
-LOG = ("id long, ts timestamp_ntz, processing_time double, input_size long, input_tokens long, "
-       "status_code int, input_data string, output_data string")
-
-
 def test_append_read_truncate(spark, tmp_path):
     path = str(tmp_path / "log")
     rows = spark.sql(
@@ -51,6 +47,18 @@ def test_input_statistics_ignore_zero(spark):
     assert got == {"input_size": (10.0, 10.0, 1), "input_tokens": (4.0, 4.0, 1)}
 
 
+def test_csv_columns_match_by_name(spark, tmp_path):
+    (tmp_path / "c.csv").write_text(
+        "gender,client_id,age,first_issue_date\nF,7,33,2022-01-10 00:00:00\n,8,,\n"
+    )
+    rows = files.read_csv(spark, str(tmp_path / "c.csv"), schemas.CLIENTS).collect()
+    assert [(r["client_id"], r["age"], r["gender"]) for r in rows] == [(7, 33, "F"), (8, None, None)]
+    assert rows[0]["first_redeem_date"] is None and rows[0]["first_issue_date"].year == 2022
+    (tmp_path / "bad.csv").write_text("id,age\n1,2\n")
+    with pytest.raises(ValueError, match="client_id"):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.CLIENTS)
+
+
 def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
     frame = jobs.training_frame(
         D.clients(spark, folder), D.campaign(spark, folder), D.purchases(spark, folder)
