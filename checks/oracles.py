@@ -556,6 +556,31 @@ ORACLES["confusion_matrix"] = with_ctes(
     guessed="SELECT target, CAST(uplift > 0.5 AS INTEGER) AS guess FROM scores",
 )
 
+_report_classes = " UNION ALL ".join(
+    f"SELECT {c} AS class, 1.0 * hit / nullif(guessed_n, 0) AS precision, "
+    "1.0 * hit / nullif(support, 0) AS recall, 2.0 * hit / nullif(guessed_n + support, 0) AS f1, "
+    "support, hit FROM "
+    f"(SELECT count(*) FILTER (target = {c} AND guess = {c}) AS hit, "
+    f"count(*) FILTER (guess = {c}) AS guessed_n, count(*) FILTER (target = {c}) AS support "
+    "FROM guessed) k"
+    for c in (0, 1)
+)
+_measures = ("precision", "recall", "f1")
+ORACLES["classification_report"] = with_ctes(
+    "SELECT CAST(class AS VARCHAR) AS line, "
+    + ", ".join(f"{r(m)} AS {m}" for m in _measures)
+    + ", support FROM report UNION ALL SELECT 'accuracy', NULL, NULL, "
+    + f"{r('sum(hit) / CAST(sum(support) AS DOUBLE)')}, CAST(sum(support) AS BIGINT) FROM report "
+    + "UNION ALL SELECT 'macro avg', "
+    + ", ".join(r(f"avg({m})") for m in _measures)
+    + ", CAST(sum(support) AS BIGINT) FROM report UNION ALL SELECT 'weighted avg', "
+    + ", ".join(r(f"sum({m} * support) / sum(support)") for m in _measures)
+    + ", CAST(sum(support) AS BIGINT) FROM report",
+    "scores",
+    guessed="SELECT target, CAST(uplift > 0.5 AS INTEGER) AS guess FROM scores",
+    report=_report_classes,
+)
+
 # --- experiment ------------------------------------------------------------------------
 
 ORACLES["target_distribution"] = with_ctes(

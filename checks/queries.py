@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nudgelab.functions import scalars as S
 from nudgelab.operators import age as A
 from nudgelab.operators import association as L
 from nudgelab.operators import clean as C
@@ -376,6 +375,11 @@ def confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Q.confusion_matrix(D.scores(spark, d), "uplift", "target"))
 
 
+@query
+def classification_report(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(Q.classification_report(D.scores(spark, d), "uplift", "target"))
+
+
 # --- experiment ------------------------------------------------------------------------
 
 

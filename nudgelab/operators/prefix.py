@@ -10,6 +10,8 @@ slice has two ends, so the shift table holds at most two rows per slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<c>_run`` (inclusive running sum) and ``<c>_all`` (group total) per column.
 
-    ``order`` must be a total order inside each group. ``by`` columns must not be null.
+    ``order`` must be a total order inside each group; null is a group of its own.
     The slices are checkpointed, since each later step has to see the same borders.
     """
     keys = list(by)
@@ -48,9 +50,15 @@ def running_totals(
         *(F.sum(c).over(in_slice).alias(f"{c}_all") for c in sums),
     )
 
-    shifts = _border_shifts(ranged, keys, sums)
-    shifted = local.join(F.broadcast(shifts), [SLICE, *keys], "left")
+    shifts = _border_shifts(ranged, keys, sums).withColumnsRenamed(
+        {c: f"_border_{c}" for c in (SLICE, *keys)}
+    )
+    same = reduce(
+        and_, (F.col(c).eqNullSafe(F.col(f"_border_{c}")) for c in (SLICE, *keys))
+    )
+    shifted = local.join(F.broadcast(shifts), same, "left")
     extra = [f"{c}_{part}" for c in sums for part in ("before", "group")]
+    extra += [f"_border_{c}" for c in (SLICE, *keys)]
     return shifted.withColumns(
         {f"{c}_run": F.col(f"{c}_run") + F.coalesce(f"{c}_before", F.lit(0)) for c in sums}
         | {f"{c}_all": F.coalesce(f"{c}_group", f"{c}_all") for c in sums}
@@ -60,10 +68,14 @@ def running_totals(
 def _border_shifts(ranged: DataFrame, keys: list[str], sums: Sequence[str]) -> DataFrame:
     """Per slice and border group: the sum over earlier slices and over all slices."""
     key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-    ends = ranged.groupBy(SLICE).agg(F.min(key).alias("_low"), F.max(key).alias("_high"))
+    # Nulls sort first, so a slice that holds any starts with them.
+    ends = ranged.groupBy(SLICE).agg(
+        F.when(F.count_if(key.isNull()) == 0, F.min(key)).alias("_low"),
+        F.max(key).alias("_high"),
+    )
     border = (
         ranged.join(F.broadcast(ends), SLICE)
-        .where((key == F.col("_low")) | (key == F.col("_high")))
+        .where(key.eqNullSafe(F.col("_low")) | key.eqNullSafe(F.col("_high")))
         .groupBy(SLICE, *keys)
         .agg(*(F.sum(c).alias(c) for c in sums))
     )

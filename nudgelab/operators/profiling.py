@@ -185,3 +185,30 @@ def confusion_matrix(df: DataFrame, score: str, label: str, threshold: float = 0
         )
 
     return cells.select(F.inline(F.array(line(0), line(1))))
+
+
+def classification_report(
+    df: DataFrame, score: str, label: str, threshold: float = 0.5
+) -> DataFrame:
+    """Precision, recall, F1 and support per class, with accuracy and both averages."""
+    classes = confusion_matrix(df, score, label, threshold)
+    measures = ("precision", "recall", "f1")
+    n = F.sum("support")
+    hits = F.sum(F.when(F.col("class") == 0, F.col("predicted_0")).otherwise(F.col("predicted_1")))
+    nothing = F.lit(None).cast("double")
+    lines = {
+        "accuracy": (nothing, nothing, hits / n),
+        "macro avg": tuple(F.avg(m) for m in measures),
+        "weighted avg": tuple(F.sum(F.col(m) * F.col("support")) / n for m in measures),
+    }
+    entries = [
+        F.struct(
+            F.lit(name).alias("line"),
+            *(v.alias(m) for v, m in zip(values, measures, strict=True)),
+            n.alias("support"),
+        )
+        for name, values in lines.items()
+    ]
+    overall = classes.agg(F.array(*entries).alias("e")).select(F.inline("e"))
+    per_class = classes.select(F.col("class").cast("string").alias("line"), *measures, "support")
+    return per_class.unionByName(overall)

@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -53,12 +55,15 @@ def exact_quantiles(
     n_large = large.count()
     if n_large == 0:
         return by_value_counts(collapsed, value, probabilities, keys)
-    listed = F.broadcast(large) if n_large <= BROADCAST_GROUPS else large
+    listed = large.withColumnsRenamed({k: f"_large_{k}" for k in keys})
+    if n_large <= BROADCAST_GROUPS:
+        listed = F.broadcast(listed)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys))
     small_part = by_value_counts(
-        collapsed.join(listed, keys, "left_anti"), value, probabilities, keys
+        collapsed.join(listed, same, "left_anti"), value, probabilities, keys
     )
     large_part = by_running_counts(
-        collapsed.join(listed, keys, "left_semi"), value, probabilities, keys
+        collapsed.join(listed, same, "left_semi"), value, probabilities, keys
     )
     return small_part.unionByName(large_part)
 

@@ -15,6 +15,7 @@ from nudgelab.session import cut_lineage
 KEY, ARM, RESPONSE = "client_id", "treatment_flg", "target"
 LABELS = (ARM, RESPONSE)
 
+# The names of the features, as the result has to carry them.
 STATIC_FEATURES = ("first_issue_month", "first_issue_weekday", "first_issue_year_quarter_idx")
 BEHAVIOUR_FEATURES = (
     "total_transactions",

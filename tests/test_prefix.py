@@ -60,7 +60,7 @@ def test_hot_group_is_cut_into_several_slices(spark):
 @pytest.mark.parametrize("limit", [2, 60, 100_000])
 @pytest.mark.parametrize("by", [(), ("g",), ("g", "h")])
 def test_quantiles_match_numpy(spark, by, limit):
-    rows = [(i, g, "ab"[i % 2], v) for i, g, v, _ in skewed_rows(3000)]
+    rows = [(i, None if g == 7 else g, "ab"[i % 2], v) for i, g, v, _ in skewed_rows(3000)]
     rows += [(9001, 99, "a", 4.0), (9002, 98, "b", None)]
     df = spark.createDataFrame(rows, "id long, g long, h string, v double").repartition(5)
     probabilities = {"q0": 0.0, "q25": 0.25, "q50": 0.5, "q95": 0.95, "q100": 1.0}

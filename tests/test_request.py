@@ -51,6 +51,16 @@ def test_request_features(parsed):
     assert len(a) == 1 + len(P.MODEL_FEATURES)
 
 
+def test_wide_request_features(parsed):
+    clients, lines = files.request_clients(parsed), files.request_purchases(parsed)
+    rows = P.scoring_features(clients, lines, drop_redundant=False).collect()
+    a = next(r for r in rows if r["client_id"] == 123)
+    assert a["most_frequent_store"] == "54a4a11a29" and a["redeem_lag_days"] == 0
+    assert a["transaction_amount_q0.25"] == 705.0 and a["std_transaction_amount"] == 466.690476
+    b = next(r for r in rows if r["client_id"] == 555)
+    assert b["redeem_lag_days"] == 36 and b["std_transaction_amount"] == 0.0
+
+
 def test_habits_and_spread(parsed):
     lines = C.clean_purchases(files.request_purchases(parsed))
     tx = G.transactions(lines)
