@@ -24,7 +24,7 @@ from nudgelab.operators import segments, split
 from nudgelab.operators.business import BUSINESS_FEATURES
 from nudgelab.plans import features as P
 from nudgelab.plans import modelling as jobs
-from nudgelab.session import cut_lineage, scratch_path
+from nudgelab.session import materialize, scratch_path
 from nudgelab.sources import artifacts
 from nudgelab.sources import driver_tables as D
 from nudgelab.sources import files, schemas, scorelog
@@ -88,7 +88,7 @@ def _cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 def _audit(spark: SparkSession, d: str) -> DataFrame:
     """The audit frame, materialised: its readers make several passes."""
-    return cut_lineage(P.audit_features(*_tables(spark, d)))
+    return materialize(P.audit_features(*_tables(spark, d)))
 
 
 def _log(spark: SparkSession, d: str) -> DataFrame:
@@ -252,7 +252,7 @@ def client_tx(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def client_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(G.amount_quantiles(cut_lineage(G.transactions(_cleaned(spark, d)))))
+    return rounded(G.amount_quantiles(materialize(G.transactions(_cleaned(spark, d)))))
 
 
 POINT_COLUMNS = (
@@ -560,7 +560,7 @@ def _training(spark: SparkSession, d: str) -> DataFrame:
 
 def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     train, test = jobs.with_parts(_training(spark, d))
-    return cut_lineage(train), test
+    return materialize(train), test
 
 
 @query

@@ -1,6 +1,6 @@
 """Effect learners on ``pyspark.ml``: two-model, single-model, cross-fitted, response only.
 
-Fits are iterative, so pass a materialised frame (``cut_lineage`` or a table).
+Fits are iterative, so pass a frame from ``materialize`` or a table.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ from nudgelab.operators import age as A
 from nudgelab.operators import clean as C
 from nudgelab.operators import client_aggregates as G
 from nudgelab.operators.business import add_business_features
-from nudgelab.session import cut_lineage
+from nudgelab.session import materialize
 
 KEY, ARM, RESPONSE = "client_id", "treatment_flg", "target"
 LABELS = (ARM, RESPONSE)
@@ -71,7 +71,7 @@ def wide_behaviour(purchases: DataFrame) -> DataFrame:
     that table is materialised once.
     """
     cleaned = C.clean_purchases(purchases)
-    tx = cut_lineage(G.transactions(cleaned))
+    tx = materialize(G.transactions(cleaned))
     return (
         G.transaction_features(tx, habits=True)
         .join(G.amount_spread(tx), KEY, "left")

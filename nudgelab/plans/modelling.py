@@ -20,13 +20,13 @@ from nudgelab.operators import ranking as R
 from nudgelab.operators import split
 from nudgelab.operators.age import AgeImputer, AgeImputerModel
 from nudgelab.plans import features as P
-from nudgelab.session import cut_lineage
+from nudgelab.session import materialize
 from nudgelab.sources import artifacts
 
 
 def training_frame(clients: DataFrame, campaign: DataFrame, purchases: DataFrame) -> DataFrame:
     """The labelled feature frame, null-free and materialised for iterative fits."""
-    return cut_lineage(P.client_features(clients, campaign, purchases, na_fill=0.0))
+    return materialize(P.client_features(clients, campaign, purchases, na_fill=0.0))
 
 
 def with_parts(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -54,7 +54,7 @@ def propensity_scores(frame: DataFrame, features: Sequence[str] = P.AUDIT_FEATUR
 
 def propensity_check(frame: DataFrame) -> DataFrame:
     """One row: AUC of the propensity and its Qini; both say nothing if the arms are random."""
-    scored = cut_lineage(propensity_scores(frame))
+    scored = materialize(propensity_scores(frame))
     auc = R.roc_auc(scored, M.SCORE, P.ARM)
     return auc.join(F.broadcast(R.gain_areas(scored).select("qini")))
 
@@ -74,7 +74,7 @@ class Comparison:
 def score_all(models: dict[str, M.EffectModel], rows: DataFrame) -> DataFrame:
     """One narrow table (client, model, score, labels), materialised once for all metrics."""
     tables = [M.scored_columns(m.transform(rows), name) for name, m in models.items()]
-    return cut_lineage(reduce(DataFrame.unionByName, tables))
+    return materialize(reduce(DataFrame.unionByName, tables))
 
 
 def compare_learners(frame: DataFrame, trees: int | None = None) -> Comparison:
@@ -84,7 +84,7 @@ def compare_learners(frame: DataFrame, trees: int | None = None) -> Comparison:
     """
     train, test = with_parts(frame)
     rounds = {} if trees is None else {"maxIter": trees}
-    fit_rows = cut_lineage(train)
+    fit_rows = materialize(train)
     estimators: dict[str, Estimator] = {
         "t_learner": M.t_learner(fit_rows),
         "s_learner": M.s_learner(fit_rows, validate=True, **rounds),
@@ -216,7 +216,7 @@ def tune_t_learner(
     settings of the tree families.
     """
     rng, study = random.Random(seed), Study()
-    folded = cut_lineage(split.assign_folds(train, folds, seed=seed))
+    folded = materialize(split.assign_folds(train, folds, seed=seed))
     numbers, texts = M.split_kinds(folded, with_gender=False)
     for name in families:
         for _ in range(trials):
@@ -232,7 +232,7 @@ def tune_x_learner(
 ) -> Study:
     """Random search of the tree settings on the 60 / 20 / 20 validation part."""
     rng, study = random.Random(seed), Study()
-    parted = cut_lineage(split.three_way_split(frame))
+    parted = materialize(split.three_way_split(frame))
     train = parted.where("part = 'train'").drop("part")
     held = parted.where("part = 'validation'").drop("part")
     for _ in range(trials):

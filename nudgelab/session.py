@@ -44,6 +44,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return posixpath.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    For wide or often-read frames: unlike a checkpoint it is compressed and each
+    reader loads only its columns. The table stays until the folder is cleared.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slice_count(spark: SparkSession) -> int:
     """Number of range slices for globally ordered work."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -91,6 +91,12 @@ def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
     assert by_request[1] == pytest.approx(by_request[4])
     assert by_request[1][123] != by_request[3][123]  # scored on its own purchases
 
+    # A repeated micro-batch replaces its own output.
+    again = spark.createDataFrame([(4, None, good)], "id long, ts timestamp_ntz, input_data string")
+    again = again.withColumn("ts", F.expr("TIMESTAMP_NTZ'2024-03-01 09:00:00'"))
+    scoring.score_batch(again, 1, model, ages, paths[0], paths[1])
+    assert spark.read.parquet(paths[0]).count() == len(scores)
+
     log = {r["id"]: r for r in scorelog.read_log(spark, paths[1]).collect()}
     assert {i: r["status_code"] for i, r in log.items()} == {1: 200, 2: 400, 3: 200, 4: 200}
     answer = json.loads(log[1]["output_data"])["uplift"]
