@@ -4,17 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from nudgelab.llm import decontamination, mixing, rule_ensemble, sharding
 from nudgelab.llm import near_duplicates as near
+from nudgelab.llm.common import labelled_sample
 from nudgelab.session import materialize
 
+LEAST_QUALITY = 0.7
+SHARDS = 8
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble, learnt on all training labels, does not reject."""
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    sample = labelled_sample(whole, labels, "quality", 4, 2, rule_ensemble.TRAINING_ROWS)
+    return rule_ensemble.accepted(docs, rule_ensemble.learn(sample), LEAST_QUALITY)
+
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (five-word shingles, 0.8)."""
+    """One document of each near-duplicate group (five-word shingles, 0.8)."""
     return near.deduplicated(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages they share with the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.decontaminated(docs, benchmark)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target shares: all documents once, small sources again for more epochs."""
+    return mixing.mix_of(docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard and slot."""
+    return sharding.sharded(docs, SHARDS)
+
+
 STAGES = [
+    ("quality_filter", quality_filter),
     ("near_deduplication", near_deduplication),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mix", source_mix),
+    ("shards", shards),
 ]
 
 #: Stages with a fitted model, sketches or a schedule have no SQL form.
