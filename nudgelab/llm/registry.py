@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from nudgelab.llm import (
     chat,
+    class_ngrams,
     decontamination,
     mixing,
     quality_rules,
     rule_ensemble,
     sharding,
+    token_counts,
     toxicity,
 )
 from nudgelab.llm import near_duplicates as near
@@ -36,11 +38,22 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Word-piece token counts of all documents."""
+    vocabulary = token_counts.load_vocabulary()
+    return token_counts.token_counts(table(spark, folder, "documents"), vocabulary)
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in eight shards of the ring, sizes at most one row apart."""
     return sharding.sharded(table(spark, folder, "documents"), shards=8, keep=False)
 
 
+def op4_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    """Class-bigram and unigram scores of all documents."""
+    return class_ngrams.scored(table(spark, folder, "documents"))
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents by 2-word shingles at a similarity of 0.8."""
     return near.near_duplicates(table(spark, folder, "documents"), width=2)
@@ -94,8 +107,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_toxicity, op3_sharding, op5_near_duplicates, op6_mixing, op7_chat_formatting,
-        op8_quality, op9_decontamination, op10_quality_rules,
+        op1_toxicity, op2_token_counts, op3_sharding, op4_class_ngrams, op5_near_duplicates,
+        op6_mixing, op7_chat_formatting, op8_quality, op9_decontamination, op10_quality_rules,
     )
 }
 
