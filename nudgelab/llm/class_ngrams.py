@@ -269,7 +269,8 @@ def exchange(
         corner, to, at = pairs[index, index], r[:movable], p[:movable]
         gain += _entropy(corner + to + at + s) + _entropy(corner)
         gain -= _entropy(corner + to) + _entropy(corner + at)
-        out, into = pairs.sum(axis=1)[:movable], pairs.sum(axis=0)[:movable]
+        # The sums of the other classes do not depend on where the word goes.
+        out, into = pairs.sum(axis=1)[:movable] + at, pairs.sum(axis=0)[:movable] + to
         gain -= _entropy(out + r.sum() + s) - _entropy(out)
         gain -= _entropy(into + p.sum() + s) - _entropy(into)
         new = int(np.argmax(gain))

@@ -43,7 +43,7 @@ def suffix_order(codes: np.ndarray, ends: np.ndarray, n_words: int) -> np.ndarra
     key = symbols.copy()
     for j in range(1, packed):
         key <<= width
-        key[: n - j] |= symbols[j:]
+        key[: max(0, n - j)] |= symbols[j:]
     order = np.argsort(key)
     ranks = np.empty(n, dtype=np.int64)
     key = key[order]

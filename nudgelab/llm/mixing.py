@@ -80,6 +80,8 @@ def horizon(
     sizes: dict[str, int], weights: dict[str, int], plan: list[tuple[str, int, int]], block: int
 ) -> tuple[int, dict[str, int]]:
     """Slots until every source is read whole, and the blocks each source has had by then."""
+    if not plan:
+        return 0, {}
     slots = {(s, j): slot for s, j, slot in plan}
     period, end = len(plan), 0
     for s, n in sizes.items():

@@ -31,7 +31,7 @@ from nudgelab.session import materialize
 #: Labelled texts the lexicon and the curve are learnt from, about.
 TRAINING_ROWS = 12_000
 #: A term needs this many toxic training texts, this share of them, and this log-odds weight.
-MIN_TOXIC, MIN_SHARE, MIN_WEIGHT = 5, 0.005, 4.0
+MIN_TOXIC, MIN_SHARE, MIN_WEIGHT = 3, 0.005, 3.5
 PREFIXES = (4, 5, 6)
 MAX_TERMS = 20_000
 #: An exception phrase needs this many clean training texts.
