@@ -6,8 +6,9 @@
 2. Band keys put sketches into buckets. Each member of a bucket is checked against the bucket's
    smallest id on full sets; the links found give first components.
 3. A bucket that still holds several components is compared in blocks: all of its members
-   against those outside its largest component. Sketches rule out a pair whose agreement is
-   ``SIGMAS`` standard deviations below the threshold, all others are checked on full sets.
+   against those outside its largest component, each pair in the first bucket it shares.
+   Sketches rule out a pair whose agreement is ``SIGMAS`` standard deviations below the
+   threshold; the others are checked on full sets, which travel once per block and document.
    A pair inside one component cannot change the result and is not looked at.
 
 At no point do all pairs of a group become rows, and nothing is capped: blocks only cut the work.
@@ -190,8 +191,8 @@ def _link_heads(docs, heads, given, width, percent, id_col, text_col) -> DataFra
         .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
-    pairs = _block_pairs(placed, heads.select("doc_id", "signature"), percent)
-    rest = verified(pairs, sets, percent)
+    likely = materialize(_likely_pairs(placed, heads, percent))
+    rest = _block_links(likely, sets, percent)
     # The second round runs on components of the first.
     root = first.select(F.col("node"), F.col("component").alias("root"))
     for side in ("u", "v"):
@@ -217,8 +218,8 @@ def _sizes_allow(a, b, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _block_pairs(placed: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (u, v) of one bucket and two components; see the module's step 3."""
+def _likely_pairs(placed: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """(block, us, vs): likely pairs of one bucket and two components; see the module's step 3."""
     shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
         shares.groupBy("band")
@@ -229,93 +230,149 @@ def _block_pairs(placed: DataFrame, signatures: DataFrame, percent: int) -> Data
                 F.ceil(F.col("all") / BLOCK).cast("int").alias("columns"),
                 F.ceil((F.col("all") - F.col("top.n")) / BLOCK).cast("int").alias("rows"))
     )
-    found = materialize(placed.join(mixed, "band"))
+    found = materialize(
+        placed.join(mixed, "band").withColumn("minor", F.col("component") != F.col("main"))
+    )
     spread = lambda count: F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    kept = ["band", "doc_id", "n_shingles", "component"]
-    right = found.withColumn("j", spread("columns")).withColumn("i", every("rows"))
-    left = (
-        found.where("component <> main")
-        .withColumn("i", spread("rows"))
-        .withColumn("j", every("columns"))
-    )
-    blocks = right.select(*kept, "i", "j", F.lit(False).alias("minor")).unionByName(
-        left.select(*kept, "i", "j", F.lit(True).alias("minor"))
+    kept = ["band", "doc_id", "n_shingles", "component", "minor"]
+    column = found.withColumn("j", spread("columns")).withColumn("i", every("rows"))
+    row = (
+        found.where("minor").withColumn("i", spread("rows")).withColumn("j", every("columns"))
     )
-    blocks = blocks.join(signatures, "doc_id").withColumn(
-        "block", F.xxhash64("band", "i", "j")
+    blocks = column.select(*kept, "i", "j", F.lit(False).alias("is_row")).unionByName(
+        row.select(*kept, "i", "j", F.lit(True).alias("is_row"))
     )
     return (
-        blocks.select("block", "minor", "doc_id", "n_shingles", "component", "signature")
+        blocks.join(heads.select("doc_id", "bands", "signature"), "doc_id")
+        .select(F.xxhash64("band", "i", "j").alias("block"), "is_row", *kept, "bands", "signature")
         .repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(_compare_blocks(percent), _PAIRS)
-        .distinct()
+        .mapInArrow(_compare_blocks(percent), "block long, us array<long>, vs array<long>")
     )
 
 
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, from batches that are sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = batch.column("block").to_numpy()
+        if held and held[-1].column("block")[0].as_py() != block[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), batch.num_rows]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            held.append(batch.slice(start, stop - start))
+            if stop < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _compare_blocks(percent: int):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    listed = pa.list_(pa.int64())
+    schema = pa.schema([("block", pa.int64()), ("us", listed), ("vs", listed)])
     size, share = BANDS * ROWS, percent / 100
     least = int(size * (share - SIGMAS * (share * (1 - share) / size) ** 0.5))
 
-    def compare(table: pa.Table) -> pa.RecordBatch:
-        minor = table.column("minor").to_numpy()
-        ids, sizes = table.column("doc_id").to_numpy(), table.column("n_shingles").to_numpy()
-        part = table.column("component").to_numpy()
-        marks = np.frombuffer(
-            b"".join(table.column("signature").to_pylist()), dtype=np.uint8
-        ).reshape(len(ids), size)
-        rows, columns = np.flatnonzero(minor), np.flatnonzero(~minor)
-        us, vs = [], []
+    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        get = {c: table.column(c).to_numpy() for c in
+               ("is_row", "minor", "band", "doc_id", "n_shingles", "component")}
+        ids, sizes, part = get["doc_id"], get["n_shingles"], get["component"]
+        marks = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8)
+        marks = marks.reshape(len(ids), size)
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        here = int(np.flatnonzero(bands[0] == get["band"][0])[0])
+        rows, columns = np.flatnonzero(get["is_row"]), np.flatnonzero(~get["is_row"])
+        us, vs, agreed = [], [], []
         for k in rows:
             near = columns[
                 (part[columns] != part[k])
                 & (np.minimum(sizes[columns], sizes[k]) * 100
                    >= np.maximum(sizes[columns], sizes[k]) * percent)
+                & (~get["minor"][columns] | (ids[columns] > ids[k]))
             ]
+            near = near[~(bands[near, :here] == bands[k, :here]).any(axis=1)]
             agree = (marks[near] == marks[k]).sum(axis=1)
-            other = ids[near[agree >= least]]
-            us.append(np.maximum(other, ids[k]))
-            vs.append(np.minimum(other, ids[k]))
-        none = np.zeros(0, np.int64)
-        return as_batch(
-            {"u": np.concatenate(us or [none]), "v": np.concatenate(vs or [none])}, schema
-        )
+            near, agree = near[agree >= least], agree[agree >= least]
+            us.append(np.full(len(near), ids[k]))
+            vs.append(ids[near])
+            agreed.append(agree)
+        if not us:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        order = np.argsort(-np.concatenate(agreed), kind="stable")
+        return np.concatenate(us)[order], np.concatenate(vs)[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            block = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), batch.num_rows]
-            if held and held[-1].column("block")[0].as_py() != block[0]:
-                yield compare(pa.Table.from_batches(held))
-                held = []
-            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-                held.append(batch.slice(start, stop - start))
-                if stop < batch.num_rows:
-                    yield compare(pa.Table.from_batches(held))
-                    held = []
-        if held:
-            yield compare(pa.Table.from_batches(held))
+        for table in _by_block(batches):
+            us, vs = compare(table)
+            if len(us):
+                block = table.column("block")[0].as_py()
+                yield as_batch({"block": [block], "us": [us], "vs": [vs]}, schema)
 
     return run
 
 
+def _block_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) among the likely pairs that connect what their block has not connected yet."""
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _by_block(batches):
+            own: dict[int, list[np.ndarray]] = {}
+            for i, x in zip(table.column("doc_id"), table.column("shingles"), strict=True):
+                if x.is_valid:
+                    own.setdefault(i.as_py(), []).append(np.frombuffer(x.as_py(), np.uint64))
+            top = {i: i for i in own}
+            found = []
+            for us, vs in zip(table.column("us"), table.column("vs"), strict=True):
+                for u, v in zip(us.as_py() or (), vs.as_py() or (), strict=True):
+                    a, b = _root(top, u), _root(top, v)
+                    if a != b and any(_similar(x, y, percent) for x in own[u] for y in own[v]):
+                        top[a] = b
+                        found.append((u, v))
+            if found:
+                yield as_batch({"u": [x for x, _ in found], "v": [x for _, x in found]}, schema)
+
+    ids = F.explode(F.array_distinct(F.concat("us", "vs")))
+    members = likely.select("block", ids.alias("doc_id")).join(sets, "doc_id")
+    none = F.lit(None)
+    rows = likely.select(
+        "block", "us", "vs", none.cast("long").alias("doc_id"), none.cast("binary").alias("shingles")
+    ).unionByName(members.select("block", "doc_id", "shingles"), allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(check, _PAIRS)
+
+
+def _root(top: dict[int, int], node: int) -> int:
+    while top[node] != node:
+        top[node] = node = top[top[node]]
+    return node
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two ascending, non-empty sets reach the threshold."""
+    if not len(x) or not len(y):
+        return False
+    merged = np.concatenate([x, y])
+    merged.sort(kind="stable")
+    both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+    return both * 100 >= percent * (len(merged) - both)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets reach the threshold."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x = np.frombuffer(a.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(b.as_buffer(), dtype=np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y)) if len(x) and len(y) else 0
-                good.append(both * 100 >= percent * (len(x) + len(y) - both) and both > 0)
+            read = lambda x: np.frombuffer(x.as_buffer(), dtype=np.uint64)
+            good = [
+                _similar(read(a), read(b), percent)
+                for a, b in zip(batch.column("a"), batch.column("b"), strict=True)
+            ]
             kept = batch.filter(pa.array(good, pa.bool_()))
             yield as_batch({"u": kept.column("u"), "v": kept.column("v")}, schema)
 
