@@ -19,16 +19,14 @@ DAY = 86400000000
 
 
 def r(sql: str, digits: int = 6) -> str:
-    """Half-even rounding without a negative zero."""
-    return f"(round_even(CAST({sql} AS DOUBLE), {digits}) + 0.0)"
+    """Half-even rounding, by way of 9 places, without a negative zero."""
+    fine = f"round_even(CAST({sql} AS DOUBLE), 9)" if digits < 9 else f"CAST({sql} AS DOUBLE)"
+    return f"(round_even({fine}, {digits}) + 0.0)"
 
 
 def total(column: str) -> str:
-    """Order-independent sum in ten-thousandths."""
-    return (
-        f"(CAST(coalesce(sum(CAST(round_even({column}*10000, 0) AS BIGINT)), 0) AS DOUBLE)"
-        "/CAST(10000 AS DOUBLE))"
-    )
+    """Plain sum, 0 over nothing but nulls."""
+    return f"coalesce(sum(CAST({column} AS DOUBLE)), 0.0)"
 
 
 def quarter_label(d: str) -> str:
@@ -107,8 +105,8 @@ CTES["visits"] = (
     'quantile_cont(purchase_sum, 0.5) AS "transaction_amount_q0.5", '
     'quantile_cont(purchase_sum, 0.75) AS "transaction_amount_q0.75", '
     + ", ".join(f"{total(c)} AS total_{c}" for c in POINTS)
-    + f", {total('regular_points_received')} / count(*) AS avg_regular_points_per_transaction, "
-    f"{total('express_points_received')} / count(*) AS avg_express_points_per_transaction, "
+    + f", {total('regular_points_received')} / count(regular_points_received) AS avg_regular_points_per_transaction, "
+    f"{total('express_points_received')} / count(express_points_received) AS avg_express_points_per_transaction, "
     f"{RECEIVED} / ({SPENT} + 1) AS points_earned_to_spent_ratio, "
     "min(transaction_datetime) AS first_transaction_date, "
     "max(transaction_datetime) AS last_transaction_date FROM tx GROUP BY client_id"
@@ -265,8 +263,10 @@ WIDE_FEATURES = (
 )
 CTES["audit"] = f"SELECT client_id, {cells(AUDIT_FEATURES)}, treatment_flg, target FROM frame"
 CTES["log"] = (
-    "SELECT id, ts, processing_time, CAST(strlen(input_data) AS BIGINT) AS input_size, "
-    "CAST(len(string_split_regex(trim(input_data), '\\s+')) AS BIGINT) AS input_tokens, "
+    # The documents hold numbers only, so every comma and colon is a separator.
+    "SELECT id, ts, processing_time, CAST(strlen(json(input_data)) "
+    "+ length(regexp_replace(json(input_data), '[^,:]', '', 'g')) AS BIGINT) AS input_size, "
+    "CAST(1 + length(regexp_replace(json(input_data), '[^,:]', '', 'g')) AS BIGINT) AS input_tokens, "
     "CAST(status_code AS INTEGER) AS status_code, input_data FROM request_log"
 )
 
@@ -1064,7 +1064,66 @@ ORACLES["kfold_assign"] = _split(
     "CAST(target AS VARCHAR)", {"0": _third, "1": f"({_third} + {_third})"}, "2", "fold"
 )
 
+ORACLES["stratified_split_target"] = _split(
+    "CAST(target AS VARCHAR)", {"'test'": "CAST(0.2 AS DOUBLE)"}, "'train'", "part"
+)
+
 # Every request holds one valid line, so all of them are scored.
 ORACLES["score_stream"] = with_ctes(
-    "SELECT 200 AS status_code, 'scored' AS outcome, count(*) AS n FROM purchases", "purchases"
+    "SELECT client_id, 200 AS status_code, true AS own, true AS usable, true AS told FROM purchases",
+    "purchases",
+)
+
+# --- what SQL can state about fitted models --------------------------------------------
+
+LEARNERS = ("t_learner", "s_learner", "x_learner", "baseline")
+
+
+def _tested(*models: str) -> str:
+    """The test clients once per model, with usable scores that vary."""
+    rows = " UNION ALL ".join(
+        f"SELECT client_id, '{m}' AS model, treatment_flg, target, true AS usable, "
+        "true AS scores_vary FROM parted WHERE part = 'test'" for m in models
+    )
+    return f"WITH parted AS ({ORACLES['stratified_split']}) {rows}"
+
+
+for _model in LEARNERS:
+    _name = "baseline_response" if _model == "baseline" else _model
+    ORACLES[_name] = _tested(_model)
+ORACLES["t_learner_candidates"] = _tested("logreg", "forest", "boosted")
+ORACLES["model_comparison"] = (
+    f"SELECT model, count(*) AS n, true AS scores_vary, true AS measured "
+    f"FROM ({_tested(*LEARNERS)}) GROUP BY model"
+)
+ORACLES["tune_t_learner"] = (
+    "SELECT CAST(i AS INTEGER) AS trial, 'logreg' AS family, true AS in_range, true AS measured, "
+    "true AS refitted FROM range(2) t(i)"
+)
+ORACLES["tune_x_learner"] = "SELECT CAST(0 AS INTEGER) AS trial, true AS in_range, true AS measured"
+ORACLES["propensity"] = with_ctes(
+    "SELECT count(*) AS n, round_even(avg(treatment_flg), 3) AS mean_score, true AS usable, "
+    "true AS arms_look_random FROM audit",
+    "audit",
+)
+ORACLES["propensity_histogram"] = with_ctes(
+    "SELECT count(*) AS n, true AS inside FROM audit", "audit"
+)
+
+
+def _features(columns: str, without: tuple[str, ...] = ()) -> str:
+    names = ", ".join(f"('{f}')" for f in MODEL_FEATURES if f not in without)
+    return f"SELECT feature, {columns} FROM (VALUES {names}) t(feature)"
+
+
+ORACLES["importance_t"] = _features("true AS usable", ("gender",))
+ORACLES["importance_tree"] = _features("true AS fine, true AS sums_to_one")
+ORACLES["importance_x"] = _features("true AS fine, true AS sums_to_one")
+_SUMS = ", ".join(f"true AS {m}_sums_to_one" for m in (*LEARNERS, "mean_importance"))
+ORACLES["importance_table"] = (
+    f"{_features(_SUMS)} UNION ALL SELECT 'treatment_flg' AS feature, {_SUMS}"
+)
+ORACLES["train_job"] = _features("true AS survives_saving", ("gender",))
+ORACLES["score_batch"] = with_ctes(
+    "SELECT client_id, true AS usable, true AS survives_saving FROM clients", "clients"
 )

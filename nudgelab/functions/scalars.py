@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
 NUMERIC_LIMIT = 1e9
-FIXED_POINT = 10_000
 
 
 def column(name: str) -> Column:
@@ -55,19 +54,9 @@ def quarter_index(day: Column) -> Column:
     return (F.year(day) * 4 + F.quarter(day)).cast("bigint")
 
 
-def exact(value: Column) -> Column:
-    """A measure in ten-thousandths as a whole number.
-
-    Sums of it do not depend on task order and stay in primitive arithmetic;
-    money and quantities carry at most four decimals. Overflow (a total above
-    9e14) raises under ANSI mode.
-    """
-    return F.rint(value * FIXED_POINT).cast("bigint")
-
-
-def as_double(total: Column) -> Column:
-    """Back to units, with 0 for a sum over nothing but nulls."""
-    return F.coalesce(total, F.lit(0)) / F.lit(float(FIXED_POINT))
+def total(value: Column) -> Column:
+    """Sum of doubles, 0 for a sum over nothing but nulls."""
+    return F.coalesce(F.sum(value.cast("double")), F.lit(0.0))
 
 
 def flag(condition: Column) -> Column:
@@ -111,7 +100,8 @@ def sanitize_numerics(
 ) -> DataFrame:
     """Clip every numeric column to +-1e9 and round doubles half-even to 6 places.
 
-    Infinities keep their sign. ``na_fill`` replaces nulls first.
+    They are rounded to 9 places first, so that the order in which a sum was added up cannot
+    decide a tie. Infinities keep their sign. ``na_fill`` replaces nulls first.
     """
 
     def cleaned(field: T.StructField) -> str:
@@ -125,7 +115,7 @@ def sanitize_numerics(
         low, high = (f"{sign}{int(NUMERIC_LIMIT)}{'D' if floating else ''}" for sign in ("-", ""))
         clipped = f"CASE WHEN {value} IS NOT NULL THEN least(greatest({value}, {low}), {high}) END"
         if floating:
-            return f"bround({clipped}, 6) AS {name}"
+            return f"bround(bround({clipped}, 9), 6) AS {name}"
         return f"CAST({clipped} AS {field.dataType.simpleString()}) AS {name}"
 
     return df.selectExpr(*(cleaned(f) for f in df.schema.fields))

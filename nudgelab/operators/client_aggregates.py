@@ -44,10 +44,12 @@ def store_visits(tx: DataFrame, clock: bool = False) -> DataFrame:
     return tx.groupBy("client_id", "store_id").agg(
         F.count("*").alias("visits"),
         F.count("purchase_sum").alias("amounts"),
-        F.sum(S.exact(F.col("purchase_sum"))).alias("amount"),
+        S.total(F.col("purchase_sum")).alias("amount"),
         F.min("purchase_sum").alias("amount_min"),
         F.max("purchase_sum").alias("amount_max"),
-        *(F.sum(S.exact(F.col(c))).alias(c) for c in POINTS),
+        *(S.total(F.col(c)).alias(c) for c in POINTS),
+        F.count("regular_points_received").alias("regular_received_rows"),
+        F.count("express_points_received").alias("express_received_rows"),
         F.min("transaction_datetime").alias("first_seen"),
         F.max("transaction_datetime").alias("last_seen"),
         *(F.expr(slot) for slot in slots if clock),
@@ -82,20 +84,20 @@ def transaction_features(tx: DataFrame, habits: bool = False) -> DataFrame:
         ]
     per_client = store_visits(tx, clock=habits).groupBy("client_id").agg(
         n.alias("total_transactions"),
-        S.as_double(F.sum("amount")).alias("total_purchase_sum"),
-        S.guarded_div(S.as_double(F.sum("amount")), F.sum("amounts")).alias(
+        F.sum("amount").alias("total_purchase_sum"),
+        S.guarded_div(F.sum("amount"), F.sum("amounts")).alias(
             "avg_transaction_amount"
         ),
         F.max("amount_max").alias("max_transaction_amount"),
         F.min("amount_min").alias("min_transaction_amount"),
-        *(S.as_double(F.sum(c)).alias(f"total_{c}") for c in POINTS),
-        (S.as_double(F.sum("regular_points_received")) / n).alias(
-            "avg_regular_points_per_transaction"
-        ),
-        (S.as_double(F.sum("express_points_received")) / n).alias(
-            "avg_express_points_per_transaction"
-        ),
-        (S.as_double(received) / (S.as_double(spent) + 1)).alias("points_earned_to_spent_ratio"),
+        *(F.sum(c).alias(f"total_{c}") for c in POINTS),
+        S.guarded_div(
+            F.sum("regular_points_received"), F.sum("regular_received_rows")
+        ).alias("avg_regular_points_per_transaction"),
+        S.guarded_div(
+            F.sum("express_points_received"), F.sum("express_received_rows")
+        ).alias("avg_express_points_per_transaction"),
+        (received / (spent + 1)).alias("points_earned_to_spent_ratio"),
         F.min("first_seen").alias("first_transaction_date"),
         F.max("last_seen").alias("last_transaction_date"),
         F.count("store_id").alias("unique_stores_visited"),
@@ -132,15 +134,15 @@ def product_features(purchases: DataFrame) -> DataFrame:
     """Product-line aggregates, collapsed to (client, product) first."""
     baskets = purchases.groupBy("client_id", "product_id").agg(
         F.count("product_quantity").alias("lines"),
-        F.sum(S.exact(F.col("product_quantity"))).alias("quantity"),
-        F.sum(S.exact(F.col("trn_sum_from_iss"))).alias("issued"),
-        F.sum(S.exact(F.col("trn_sum_from_red"))).alias("redeemed"),
+        S.total(F.col("product_quantity")).alias("quantity"),
+        S.total(F.col("trn_sum_from_iss")).alias("issued"),
+        S.total(F.col("trn_sum_from_red")).alias("redeemed"),
     )
-    quantity = S.as_double(F.sum("quantity"))
+    quantity = F.sum("quantity")
     return baskets.groupBy("client_id").agg(
         quantity.alias("total_products_purchased"),
         F.count("product_id").alias("unique_products_count"),
-        S.as_double(F.sum("issued")).alias("total_trn_sum_from_iss"),
-        S.as_double(F.sum("redeemed")).alias("total_trn_sum_from_red"),
+        F.sum("issued").alias("total_trn_sum_from_iss"),
+        F.sum("redeemed").alias("total_trn_sum_from_red"),
         S.guarded_div(quantity, F.sum("lines")).alias("avg_product_quantity"),
     )

@@ -5,8 +5,11 @@ Fits are iterative, so pass a frame from ``materialize`` or a table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from nudgelab.functions.scalars import numeric_columns
 from nudgelab.operators.ranking import gain_areas
 from nudgelab.plans.features import ARM, KEY, LABELS, MODEL_FEATURES, RESPONSE
+from nudgelab.session import materialize
 
 SCORE = "uplift"
 PSEUDO_EFFECT = "pseudo_effect"
@@ -39,6 +43,12 @@ RESPONSE_TREES = {
     "maxBins": 254,
     "seed": 67,
 }
+#: Independent fits that run at the same time.
+FITS_AT_ONCE = 4
+#: Rounds without a larger ROC area on the held-out rows that end boosting.
+PATIENCE = 25
+#: Rows of a partition of a tree learner's input.
+PARTITION_ROWS = 50_000
 
 
 def split_kinds(
@@ -136,29 +146,118 @@ class RidgeLogistic(Estimator):
         return Pipeline(stages=[*stages, classifier]).fit(dataset)
 
 
+class TreeLearner(Estimator):
+    """Trees over indexed features; ``maxBins`` grows with the levels of the text features.
+
+    The indexed rows are written once, in partitions of ``PARTITION_ROWS``, since every round of
+    every tree reads them again. With ``patience`` the rows marked ``is_validation`` take no part
+    in the fit: rounds are added until the ROC area on them has not risen for ``patience`` rounds
+    (or ``maxIter`` is reached), and the model keeps the rounds up to its largest area.
+    """
+
+    def __init__(
+        self, kind: type, numbers: Sequence[str], texts: Sequence[str], label: str,
+        patience: int | None = None, **params,
+    ) -> None:
+        super().__init__()
+        self.kind, self.label, self.settings = kind, label, dict(params)
+        self.numbers, self.texts, self.patience = list(numbers), list(texts), patience
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        learned = dataset
+        if self.patience is not None:
+            learned = dataset.where(~F.col(VALIDATION))
+        prepared = Pipeline(stages=tree_stages(self.numbers, self.texts)).fit(learned)
+        levels = max((len(x) for x in _levels(prepared)), default=0)
+        bins = max(self.settings.get("maxBins", 64), levels + 2)
+        rows = _compact(prepared.transform(learned).select("features", self.label))
+        if self.patience is None:
+            model = self._grow(rows, bins, self.settings.get("maxIter"))
+        else:
+            held = dataset.where(F.col(VALIDATION))
+            held = _compact(prepared.transform(held).select("features", self.label))
+            model = self._stopped(rows, held, bins)
+        return PipelineModel([*prepared.stages, model])
+
+    def _grow(self, rows: DataFrame, bins: int, rounds: int | None) -> Model:
+        params = self.settings | {"maxBins": bins} | ({"maxIter": rounds} if rounds else {})
+        return self.kind(labelCol=self.label, **params).fit(rows)
+
+    def _stopped(self, rows: DataFrame, held: DataFrame, bins: int) -> Model:
+        most = self.settings["maxIter"]
+        rounds = min(most, 2 * self.patience)
+        while True:
+            model = self._grow(rows, bins, rounds)
+            areas = auc_by_round(model, held, self.label)
+            best = max(range(len(areas)), key=areas.__getitem__) + 1
+            if rounds == most or rounds - best >= self.patience:
+                break
+            rounds = min(most, 2 * rounds)
+        # The same seed grows the same trees again, as many as are wanted.
+        return model if best == rounds else self._grow(rows, bins, best)
+
+
+def auc_by_round(model: Model, rows: DataFrame, label: str, bins: int = 1000) -> list[float]:
+    """ROC area after each boosting round, from counts over ``bins`` equal score ranges.
+
+    One pass over the rows; at most ``bins`` counts per round come back.
+    """
+    scored = rows.select(F.col(label).alias("label"), "features")
+    for i, tree in enumerate(model.trees):
+        scored = tree.copy().setPredictionCol(f"tree_{i}").transform(scored)
+    steps = F.array(*[F.col(f"tree_{i}") * w for i, w in enumerate(model.treeWeights)])
+    margins = F.aggregate(
+        steps,
+        F.array(F.lit(0.0)),
+        lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)),
+    )
+    rounds = scored.select("label", F.posexplode(margins).alias("round", "margin"))
+    chance = 1 / (1 + F.exp(-2 * F.col("margin")))
+    counts = (
+        rounds.where("round > 0")
+        .groupBy("round", F.floor(chance * bins).alias("bin"))
+        .agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("all"))
+        .collect()
+    )
+    areas = []
+    for i in range(1, len(model.treeWeights) + 1):
+        below = won = ones = 0.0
+        for r in sorted((r for r in counts if r["round"] == i), key=lambda r: r["bin"]):
+            zeros = r["all"] - r["ones"]
+            won += r["ones"] * (below + zeros / 2)
+            below, ones = below + zeros, ones + r["ones"]
+        areas.append(won / (ones * below) if ones and below else 0.5)
+    return areas
+
+
+def _levels(prepared: PipelineModel) -> list:
+    return [x for s in prepared.stages if hasattr(s, "labelsArray") for x in s.labelsArray]
+
+
+def _compact(rows: DataFrame) -> DataFrame:
+    written = materialize(rows)
+    return written.coalesce(max(1, -(-written.count() // PARTITION_ROWS)))
+
+
 def boosted_classifier(
     numbers: Sequence[str], texts: Sequence[str], label: str = RESPONSE, **params
-) -> Pipeline:
+) -> TreeLearner:
     """Gradient-boosted trees for a 0/1 label."""
-    return Pipeline(
-        stages=[*tree_stages(numbers, texts), GBTClassifier(labelCol=label, **params)]
-    )
+    return TreeLearner(GBTClassifier, numbers, texts, label, **params)
 
 
 def boosted_regressor(
     numbers: Sequence[str], texts: Sequence[str], label: str = PSEUDO_EFFECT, **params
-) -> Pipeline:
+) -> TreeLearner:
     """Gradient-boosted trees for a real label."""
-    return Pipeline(stages=[*tree_stages(numbers, texts), GBTRegressor(labelCol=label, **params)])
+    return TreeLearner(GBTRegressor, numbers, texts, label, **params)
 
 
 def forest_classifier(
     numbers: Sequence[str], texts: Sequence[str], label: str = RESPONSE, **params
-) -> Pipeline:
+) -> TreeLearner:
     """A random forest for a 0/1 label."""
-    return Pipeline(
-        stages=[*tree_stages(numbers, texts), RandomForestClassifier(labelCol=label, **params)]
-    )
+    return TreeLearner(RandomForestClassifier, numbers, texts, label, **params)
 
 
 def add_probability(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
@@ -172,6 +271,15 @@ def add_prediction(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     return model.transform(df).select(*df.columns, F.col("prediction").alias(name))
 
 
+def side_by_side(fits: Sequence[Callable[[], Model]]) -> list[Model]:
+    """Run independent fits at the same time, ``FITS_AT_ONCE`` at most.
+
+    Boosting is a long row of small jobs, so one fit alone leaves most of the cores idle.
+    """
+    with ThreadPool(min(FITS_AT_ONCE, len(fits))) as pool:
+        return pool.map(lambda run: run(), [inheritable_thread_target(f) for f in fits])
+
+
 # --- learners --------------------------------------------------------------------------
 
 
@@ -193,10 +301,9 @@ class TLearner(Estimator):
         self.estimator = estimator
 
     def _fit(self, dataset: DataFrame) -> TLearnerModel:
-        return TLearnerModel(
-            treated=self.estimator.fit(dataset.where(F.col(ARM) == 1)),
-            control=self.estimator.fit(dataset.where(F.col(ARM) == 0)),
-        )
+        arms = [dataset.where(F.col(ARM) == arm) for arm in (1, 0)]
+        treated, control = side_by_side([partial(self.estimator.fit, rows) for rows in arms])
+        return TLearnerModel(treated=treated, control=control)
 
 
 class TLearnerModel(EffectModel):
@@ -258,7 +365,13 @@ class XLearner(Estimator):
 
     def _fit(self, dataset: DataFrame) -> XLearnerModel:
         control, treated = (dataset.where(F.col(ARM) == arm) for arm in (0, 1))
-        response_0, response_1 = self.outcome.fit(control), self.outcome.fit(treated)
+        response_0, response_1, propensity = side_by_side(
+            [
+                partial(self.outcome.fit, control),
+                partial(self.outcome.fit, treated),
+                partial(self.propensity.fit, dataset),
+            ]
+        )
         y = F.col(RESPONSE)
         effect_0 = add_probability(response_1, control, "p").withColumn(
             PSEUDO_EFFECT, F.col("p") - y
@@ -266,12 +379,13 @@ class XLearner(Estimator):
         effect_1 = add_probability(response_0, treated, "p").withColumn(
             PSEUDO_EFFECT, y - F.col("p")
         )
+        effects = side_by_side([partial(self.effect.fit, rows) for rows in (effect_0, effect_1)])
         return XLearnerModel(
             response_0=response_0,
             response_1=response_1,
-            effect_0=self.effect.fit(effect_0),
-            effect_1=self.effect.fit(effect_1),
-            propensity=self.propensity.fit(dataset),
+            effect_0=effects[0],
+            effect_1=effects[1],
+            propensity=propensity,
         )
 
 
@@ -318,21 +432,21 @@ def t_learner(df: DataFrame, with_gender: bool = False) -> TLearner:
 def s_learner(df: DataFrame, validate: bool = False, **overrides) -> SLearner:
     """Boosted trees with the arm as a feature; ``validate`` stops early on ``is_validation``."""
     numbers, texts = split_kinds(df)
-    params = _stopping(RESPONSE_TREES | overrides, validate)
+    params = RESPONSE_TREES | {"patience": PATIENCE if validate else None} | overrides
     return SLearner(boosted_classifier([*numbers, ARM], texts, **params))
 
 
 def baseline_learner(df: DataFrame, validate: bool = False, **overrides) -> ResponseLearner:
     """Boosted trees on the response, without the arm."""
-    params = _stopping(RESPONSE_TREES | overrides, validate)
+    params = RESPONSE_TREES | {"patience": PATIENCE if validate else None} | overrides
     return ResponseLearner(boosted_classifier(*split_kinds(df), **params))
 
 
 def x_learner(df: DataFrame, **overrides) -> XLearner:
     """Boosted trees for responses, effects and propensity."""
     numbers, texts = split_kinds(df)
-    trees = EFFECT_TREES | {"maxBins": 64} | overrides
-    propensity = PROPENSITY_TREES | {"maxBins": 64}
+    trees = EFFECT_TREES | overrides
+    propensity = dict(PROPENSITY_TREES)
     propensity |= {k: v for k, v in overrides.items() if k == "maxIter"}
     return XLearner(
         outcome=boosted_classifier(numbers, texts, **trees),
@@ -341,10 +455,6 @@ def x_learner(df: DataFrame, **overrides) -> XLearner:
     )
 
 
-def _stopping(params: dict, validate: bool) -> dict:
-    return params | ({"validationIndicatorCol": VALIDATION} if validate else {})
-
-
 def scored_columns(scored: DataFrame, model: str) -> DataFrame:
     """The narrow scored table every metric reads."""
     return scored.select(

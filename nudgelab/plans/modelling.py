@@ -91,7 +91,8 @@ def compare_learners(frame: DataFrame, trees: int | None = None) -> Comparison:
         "x_learner": M.x_learner(fit_rows, **rounds),
         "baseline": M.baseline_learner(fit_rows, validate=True, **rounds),
     }
-    models = {name: e.fit(fit_rows) for name, e in estimators.items()}
+    fitted = M.side_by_side([partial(e.fit, fit_rows) for e in estimators.values()])
+    models = dict(zip(estimators, fitted, strict=True))
     scored = score_all(models, test)
     return Comparison(models, scored, R.metric_table(scored, ["model"]))
 
@@ -119,11 +120,11 @@ def _build_logistic(numbers: list[str], texts: list[str], p: dict) -> Estimator:
 
 
 def _build_forest(numbers: list[str], texts: list[str], p: dict) -> Estimator:
-    return M.forest_classifier(numbers, texts, seed=42, maxBins=64, **p)
+    return M.forest_classifier(numbers, texts, seed=42, **p)
 
 
 def _build_boosted(numbers: list[str], texts: list[str], p: dict) -> Estimator:
-    return M.boosted_classifier(numbers, texts, seed=42, maxBins=64, **p)
+    return M.boosted_classifier(numbers, texts, seed=42, **p)
 
 
 # The ranges of the reference search.

@@ -54,6 +54,25 @@ def test_planted_effect(planted, kind):
     assert R.gain_areas(scored).first()["auuc"] > 0.05
 
 
+@pytest.mark.parametrize("make", [M.s_learner, M.baseline_learner])
+def test_stopping_keeps_the_best_rounds(planted, make):
+    marked = planted.withColumn(M.VALIDATION, F.col("client_id") % 5 == 0)
+    learner = make(marked, validate=True, maxIter=60, maxDepth=3, patience=10)
+    model = learner.fit(marked)
+    trees = model.parts["response"].stages[-1].getNumTrees
+    scored = model.transform(marked)
+    assert scored.select("uplift").distinct().count() > 1
+    if make is M.s_learner:  # without the arm one tree says all there is
+        assert 1 < trees <= 60 and young_minus_old(scored) > 0.15
+
+
+def test_many_levels_fit(spark, planted):
+    wide = planted.withColumn(
+        "first_transaction_quarter", F.concat(F.lit("q"), (F.col("client_id") % 150).cast("string"))
+    )
+    assert M.x_learner(wide, maxIter=1, maxDepth=2).fit(wide).parts["effect_0"] is not None
+
+
 def test_gender_stays_out_by_default(planted):
     assert "gender" not in M.t_learner(planted).estimator.texts
     assert "gender" in M.t_learner(planted, with_gender=True).estimator.texts

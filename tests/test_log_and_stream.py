@@ -59,6 +59,31 @@ def test_csv_columns_match_by_name(spark, tmp_path):
         files.read_csv(spark, str(tmp_path / "bad.csv"), schemas.CLIENTS)
 
 
+def test_csv_orders(spark, tmp_path):
+    """Paths with other column orders are read right; a folder that mixes them raises."""
+    (tmp_path / "a.csv").write_text("client_id,treatment_flg,target\n77,1,0\n")
+    (tmp_path / "b.csv").write_text("treatment_flg,client_id,target\n1,78,0\n")
+    both = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    rows = files.read_csv(spark, both, schemas.CAMPAIGN).orderBy("client_id").collect()
+    assert [(r["client_id"], r["treatment_flg"]) for r in rows] == [(77, 1), (78, 1)]
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), schemas.CAMPAIGN).collect()
+
+
+@pytest.mark.parametrize("document", [
+    {"a": 1, "b": 2}, {"t": "x, y: z \" \\ \n end", "l": [1, "two", {"k": []}]}, [], {},
+    {"é": "ü  ß", "n": None, "b": True}, {"long": "word, " * 4000},
+])
+def test_request_size_of_the_document_written_anew(spark, document):
+    shown = json.dumps(document, ensure_ascii=False)
+    odd = json.dumps(document, separators=(",", ":")).replace("[", "[\n ")
+    rows = [(1, shown), (2, odd if "long" not in document else shown), (3, "{broken")]
+    df = spark.createDataFrame(rows, "id int, input_data string")
+    got = {r.id: (r.input_size, r.input_tokens) for r in files.request_size(df).collect()}
+    expected = (len(shown.encode()), len(shown.split()))
+    assert got == {1: expected, 2: expected, 3: (0, 0)}
+
+
 def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
     frame = jobs.training_frame(
         D.clients(spark, folder), D.campaign(spark, folder), D.purchases(spark, folder)
@@ -79,7 +104,11 @@ def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
         assert query.exception() is None
 
     good = json.dumps(request_rows)
-    only_first = json.dumps({"client": request_rows["client"][:1], "purchases": []})
+    # Text keys, a row without a key, and one purchase only.
+    only_first = json.dumps({
+        "client": [request_rows["client"][0] | {"client_id": "123"}, {"age": 5}],
+        "purchases": [request_rows["purchases"][0] | {"client_id": "123"}],
+    })
     land("a.json", (1, good), (2, "broken"), (3, only_first))
     land("b.json", (4, good))
 

@@ -19,8 +19,10 @@ def parsed(spark, request_rows):
     texts = [
         (1, json.dumps(request_rows)),
         (2, "not json"),
-        (3, json.dumps({"client": [{"age": 3}], "purchases": []})),
+        (3, json.dumps({"client": [{"age": 3}], "purchases": [{"client_id": 1}]})),
         (4, json.dumps({"client": [{"client_id": 1}]})),
+        (6, json.dumps({"client": [{"client_id": 1}], "purchases": []})),
+        (7, json.dumps({"client": [{"client_id": "x1"}], "purchases": [{"client_id": "x1"}]})),
         (5, json.dumps({
             "client": [{"client_id": 1}],
             "purchases": [{"client_id": 1, "transaction_datetime": "yesterday"}],
@@ -31,7 +33,7 @@ def parsed(spark, request_rows):
 
 def test_request_status(parsed):
     status = {r["id"]: r["status_code"] for r in parsed.collect()}
-    assert status == {1: 200, 2: 400, 3: 400, 4: 400, 5: 403}
+    assert status == {1: 200, 2: 400, 3: 400, 4: 400, 5: 403, 6: 400, 7: 403}
 
 
 def test_request_features(parsed):
