@@ -491,6 +491,20 @@ ORACLES["null_counts"] = with_ctes(
     "purchases",
     counted=_null_rows,
 )
+ORACLES["null_counts_clients"] = with_ctes(
+    "SELECT * FROM counted UNION ALL SELECT '(all)', CAST(sum(nulls) AS BIGINT) FROM counted",
+    "clients",
+    counted=" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM clients"
+        for c in ("client_id", "first_issue_date", "first_redeem_date", "age", "gender")
+    ),
+)
+ORACLES["profile_gender"] = with_ctes(
+    "SELECT 'gender' AS \"column\", CAST(sum(k) AS BIGINT) AS n, count(*) AS \"unique\", "
+    "min_by(v, (-k, v)) AS top, max(k) AS freq FROM (SELECT gender AS v, count(*) AS k "
+    "FROM clients WHERE gender IS NOT NULL GROUP BY 1) t",
+    "clients",
+)
 ORACLES["profile_distinct"] = with_ctes(
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values, CAST("
@@ -958,7 +972,8 @@ ORACLES["uplift_deciles"] = with_ctes(
     deciles=DECILES,
 )
 ORACLES["weighted_avg_uplift"] = with_ctes(
-    f"SELECT {r('sum(bin_uplift * n_treated) / sum(n_treated)')} AS wau FROM deciles",
+    "SELECT CASE WHEN count(*) = count(bin_uplift) "
+    f"THEN {r('sum(bin_uplift * n_treated) / sum(n_treated)')} END AS wau FROM deciles",
     "scores",
     ranked=RANKED,
     deciles=DECILES,

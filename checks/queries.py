@@ -337,6 +337,16 @@ def null_counts(spark: SparkSession, d: str) -> DataFrame:
     return Q.null_counts(D.purchases(spark, d))
 
 
+@query
+def null_counts_clients(spark: SparkSession, d: str) -> DataFrame:
+    return Q.null_counts(D.clients(spark, d))
+
+
+@query
+def profile_gender(spark: SparkSession, d: str) -> DataFrame:
+    return Q.profile_categorical(D.clients(spark, d), ("gender",))
+
+
 @query
 def profile_distinct(spark: SparkSession, d: str) -> DataFrame:
     static = C.add_static(_labelled(spark, d))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from nudgelab.functions.scalars import column, guarded_div, numeric_columns, text_columns
 from nudgelab.operators.experiment import standardized_difference
 from nudgelab.operators.ranking import roc_auc
+from nudgelab.session import materialize
 
 RARE_SHARE = 0.005
 SUMMARY = ("kind", "score", "sign", "auc", "auc_norm", "smd", "smd_norm", "eta2", "combined")
@@ -161,27 +162,27 @@ def association(
 def association_by_arm(
     df: DataFrame, target: str, arm: str, exclude: Sequence[str] = ()
 ) -> DataFrame:
-    """Combined strength in each arm and the change, both arms in one pass."""
+    """Combined strength in each arm and the change, for features that occur in both arms.
+
+    The summary is evaluated once; its rows, one per feature and arm, are folded.
+    """
     both = association(df, target, by=[arm], exclude=exclude)
-    side = {
-        i: both.where(F.col(arm) == i).select("feature", "kind", F.col("combined").alias(f"c{i}"))
-        for i in (0, 1)
-    }
-    return (
-        side[0]
-        .join(side[1].drop("kind"), "feature")
-        .select(
-            "feature",
-            "kind",
-            F.col("c0").alias("combined_t0"),
-            F.col("c1").alias("combined_t1"),
-            (F.col("c1") - F.col("c0")).alias("delta"),
-        )
+    of = lambda i, c: F.max(F.when(F.col(arm) == i, F.col(c)))
+    folded = both.groupBy("feature").agg(
+        of(0, "kind").alias("kind"),
+        of(0, "combined").alias("combined_t0"),
+        of(1, "combined").alias("combined_t1"),
+        F.countDistinct(arm).alias("arms"),
     )
+    return folded.where("arms = 2").select(
+        "feature", "kind", "combined_t0", "combined_t1",
+        (F.col("combined_t1") - F.col("combined_t0")).alias("delta"),
+    )
 
 
 def strongest_changes(compared: DataFrame, k: int = 10) -> DataFrame:
-    """The k largest and the k smallest changes between the arms."""
+    """The k largest and the k smallest changes between the arms; one row per feature is written."""
+    compared = materialize(compared)
     rising = compared.orderBy(F.col("delta").desc(), "feature").limit(k)
     falling = compared.orderBy(F.col("delta").asc(), F.col("feature").desc()).limit(k)
     return rising.withColumn("side", F.lit("rising")).unionByName(

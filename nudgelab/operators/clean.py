@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nudgelab.functions import scalars as S
+from nudgelab.session import materialize
 
 KNOWN_ROW = "ok"
 
+#: Levels whose means are broadcast.
+BROADCAST_LEVELS = 100_000
+
 
 def labelled_clients(clients: DataFrame, campaign: DataFrame) -> DataFrame:
     """Clients of the experiment with arm and response, matched by key."""
@@ -101,8 +105,14 @@ def rare_levels(df: DataFrame, column: str, min_share: float = 0.005) -> DataFra
 
 
 def target_encode(df: DataFrame, column: str, target: str) -> DataFrame:
-    """Replace a category by the mean response of its level."""
+    """Replace a category by the mean response of its level.
+
+    The means are broadcast if there are ``BROADCAST_LEVELS`` at most, so a frequent level is no
+    hot key; more levels are joined on the level, where adaptive execution splits hot ones.
+    """
     level = F.coalesce(F.col(column), F.lit("nan"))
-    means = df.groupBy(level.alias("level")).agg(F.avg(target).alias("encoded"))
+    means = materialize(df.groupBy(level.alias("level")).agg(F.avg(target).alias("encoded")))
+    if means.limit(BROADCAST_LEVELS + 1).count() <= BROADCAST_LEVELS:
+        means = F.broadcast(means)
     return df.withColumn("level", level).join(means, "level", "left")
 

@@ -87,11 +87,37 @@ def two_sided_p(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
+def two_sided_t(t: float, freedom: float, steps: int = 300) -> float:
+    """Two-sided tail of Student's t: the regularised incomplete beta I_x(freedom / 2, 1 / 2)."""
+    a, b, x = freedom / 2, 0.5, freedom / (freedom + t * t)
+    if x in (0.0, 1.0):
+        return x
+    if x >= (a + 1) / (a + b + 2):  # the fraction converges fast on the other side
+        return 1.0 - _beta_fraction(b, a, 1 - x, steps)
+    return _beta_fraction(a, b, x, steps)
+
+
+def _beta_fraction(a: float, b: float, x: float, steps: int) -> float:
+    """I_x(a, b) by its continued fraction, from the inside out."""
+    value = 1.0
+    for m in range(steps, 0, -1):
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        value = 1.0 + even / (1.0 + odd / value)
+    first = -(a + b) * x / (a + 1)
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    front = math.exp(scale + a * math.log(x) + b * math.log1p(-x)) / a
+    return front / (1.0 + first / value)
+
+
 def significance(df: DataFrame) -> dict[str, float]:
-    """z, t and their p-values (normal tails), from two one-row results."""
+    """z, t and their p-values (normal and Student tails), from two one-row results."""
     z = z_test(df).first()["z"]
-    t = t_test(df).first()["t"]
-    return {"z": z, "p_z": two_sided_p(z), "t": t, "p_t": two_sided_p(t)}
+    row = t_test(df).first()
+    return {
+        "z": z, "p_z": two_sided_p(z), "t": row["t"],
+        "p_t": two_sided_t(row["t"], row["degrees_of_freedom"]),
+    }
 
 
 def conversion_intervals(df: DataFrame, z: float = Z_95) -> DataFrame:

@@ -63,8 +63,13 @@ def split_kinds(
 # --- building blocks -------------------------------------------------------------------
 
 
-def linear_stages(numbers: Sequence[str], texts: Sequence[str], center: bool = True) -> list:
-    """Scale numbers, one-hot text; an unseen or null level becomes all zeros."""
+def linear_stages(
+    numbers: Sequence[str], texts: Sequence[str], center: bool = True, scale_levels: bool = False
+) -> list:
+    """Scale numbers, one-hot text; an unseen or null level becomes all zeros.
+
+    ``scale_levels`` scales the one-hot columns too.
+    """
     stages: list = []
     if texts:
         stages += [
@@ -80,15 +85,20 @@ def linear_stages(numbers: Sequence[str], texts: Sequence[str], center: bool = T
                 dropLast=True,
             ),
         ]
+    levels = [f"{t}_levels" for t in texts]
+    if scale_levels:
+        return [
+            *stages,
+            VectorAssembler(inputCols=[*numbers, *levels], outputCol="numbers"),
+            StandardScaler(inputCol="numbers", outputCol="features", withMean=center, withStd=True),
+        ]
     return [
         *stages,
         VectorAssembler(inputCols=list(numbers), outputCol="numbers"),
         StandardScaler(
             inputCol="numbers", outputCol="scaled", withMean=center, withStd=True
         ),
-        VectorAssembler(
-            inputCols=["scaled", *(f"{t}_levels" for t in texts)], outputCol="features"
-        ),
+        VectorAssembler(inputCols=["scaled", *levels], outputCol="features"),
     ]
 
 
@@ -119,8 +129,10 @@ class RidgeLogistic(Estimator):
         c: float = LOGISTIC_C,
         balanced: bool = False,
         center: bool = True,
+        scale_levels: bool = False,
     ) -> None:
         super().__init__()
+        self.scale_levels = scale_levels
         self.numbers, self.texts, self.label = list(numbers), list(texts), label
         self.c, self.balanced, self.center = c, balanced, center
 
@@ -142,7 +154,7 @@ class RidgeLogistic(Estimator):
             weight = F.when(positive, n / (2.0 * k)).otherwise(n / (2.0 * (n - k)))
             dataset = dataset.withColumn(WEIGHT, weight)
             classifier = classifier.setWeightCol(WEIGHT)
-        stages = linear_stages(self.numbers, self.texts, self.center)
+        stages = linear_stages(self.numbers, self.texts, self.center, self.scale_levels)
         return Pipeline(stages=[*stages, classifier]).fit(dataset)
 
 

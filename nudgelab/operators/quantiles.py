@@ -96,8 +96,9 @@ def by_running_counts(
         wanted = wanted | holds(low) | holds(high)
         low_value = F.max(F.when(holds(low), v))
         high_value = F.max(F.when(holds(high), v))
-        weight = F.max(exact - low)
-        picks.append((low_value + (high_value - low_value) * weight).cast("double").alias(name))
+        weight, left = F.max(exact - low), F.max(high - exact)
+        between = low_value * left + high_value * weight
+        picks.append(F.when(weight == 0, low_value).otherwise(between).cast("double").alias(name))
     return counted.where(wanted).groupBy(*by).agg(*picks)
 
 
@@ -168,7 +169,11 @@ def column_quantiles(
         ranked.join(F.broadcast(wanted), "name")
         .where(at_low | at_high)
         .groupBy("column", "probability")
-        .agg((low + (high - low) * F.max("w")).alias("q"))
+        .agg(
+            F.when(F.max("w") == 0, low)
+            .otherwise(low * (1 - F.max("w")) + high * F.max("w"))
+            .alias("q")
+        )
     )
     return picked.groupBy("column").pivot("probability", list(probabilities)).agg(F.max("q"))
 

@@ -278,12 +278,11 @@ def uplift_deciles(ranked: DataFrame, bins: int = 10, by: Sequence[str] = ()) ->
 
 
 def weighted_avg_uplift(ranked: DataFrame, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
-    """Mean bin uplift weighted by the bin's treated rows."""
-    n = F.col("n_treated")
+    """Mean bin uplift weighted by the bin's treated rows; null if a bin lacks an arm."""
+    n, lacking = F.col("n_treated"), F.count_if(F.col("bin_uplift").isNull())
+    mean = guarded_div(F.sum(F.col("bin_uplift") * n), F.sum(n))
     return (
-        uplift_deciles(ranked, bins, by)
-        .groupBy(*by)
-        .agg(guarded_div(F.sum(F.col("bin_uplift") * n), F.sum(n)).alias("wau"))
+        uplift_deciles(ranked, bins, by).groupBy(*by).agg(F.when(lacking == 0, mean).alias("wau"))
     )
 
 

@@ -44,10 +44,12 @@ def with_parts(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def propensity_scores(frame: DataFrame, features: Sequence[str] = P.AUDIT_FEATURES) -> DataFrame:
-    """Probability of treatment from a logistic model (scaled, not centred)."""
+    """Probability of treatment from a logistic model (all columns scaled, none centred)."""
     filled = frame.fillna(0.0)
     numbers, texts = M.split_kinds(filled, features)
-    model = M.RidgeLogistic(numbers, texts, label=P.ARM, c=1.0, center=False).fit(filled)
+    model = M.RidgeLogistic(
+        numbers, texts, label=P.ARM, c=1.0, center=False, scale_levels=True
+    ).fit(filled)
     scored = M.add_probability(model, filled, M.SCORE)
     return scored.select(P.KEY, M.SCORE, *P.LABELS)
 
