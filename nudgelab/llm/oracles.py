@@ -62,7 +62,115 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from texts left join words using (n) left join named using (n)
 """
 
+_RULES = r"""
+with texts as (
+  select row_number() over () as n, doc_id, lang, source, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents),
+counted as (
+  select n, doc_id, lang, source, w, len(w)::bigint as n_words,
+    length(array_to_string(w, ''))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from texts),
+grams as (
+  select n, i, array_to_string(w[i:i + 4], ' ') as gram
+  from (select n, w, unnest(generate_series(1, len(w) - 4)) as i from texts where len(w) >= 5)),
+again as (select n, i from (select n, i, count(*) over (partition by n, gram) as k from grams) where k > 1),
+repeated as (
+  select n, count(distinct p)::bigint as n_repeat_words
+  from (select n, unnest(generate_series(i, i + 4)) as p from again) group by n),
+base as (
+  select n, doc_id, lang, source, n_words, word_chars, n_symbols, len(lines) as n_lines,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
+  from counted left join repeated using (n)),
+measured as (
+  select *,
+    case when n_words > 0 then n_symbols / n_words::double else 0 end as symbol_share,
+    case when n_lines > 0 then n_dup_lines / n_lines::double else 0 end as duplicate_line_share,
+    case when n_words > 0 then n_repeat_words / n_words::double else 0 end as repeat_share,
+    case when n_words > 0 then word_chars / n_words::double else 0 end as word_length
+  from base),
+metrics as (
+  select lang, source, 'symbol_share' as metric, symbol_share as v from measured
+  union all select lang, source, 'duplicate_line_share', duplicate_line_share from measured
+  union all select lang, source, 'repeat_share', repeat_share from measured
+  union all select lang, source, 'word_length', word_length from measured),
+sketch as (
+  select lang, source, metric,
+    case when v > 0 then ceil(ln(v) / ln(1.01 / 0.99))::int end as b, count(*) as k
+  from metrics group by all),
+levels as (
+  select 'own' as level, lang, source, metric, b, k from sketch
+  union all select 'lang', lang, null, metric, b, sum(k) from sketch group by lang, metric, b
+  union all select 'all', null, null, metric, b, sum(k) from sketch group by metric, b),
+summed as (
+  select *, sum(k) over (whole order by b nulls first) as upto, sum(k) over whole as total,
+    coalesce(power(1.01 / 0.99, b) * 2 / (1.01 / 0.99 + 1), 0) as value_at
+  from levels window whole as (partition by level, lang, source, metric)),
+quartiles as (
+  select level, lang, source, metric, max(total) as total,
+    min_by(value_at, upto) filter (upto > 0.25 * (total - 1)) as q1,
+    min_by(value_at, upto) filter (upto > 0.75 * (total - 1)) as q3
+  from summed group by level, lang, source, metric),
+chosen as (
+  select o.lang, o.source, o.metric,
+    case when o.total >= 100 then o.q1 when l.total >= 100 then l.q1 else a.q1 end as q1,
+    case when o.total >= 100 then o.q3 when l.total >= 100 then l.q3 else a.q3 end as q3
+  from quartiles o
+  join quartiles l on l.level = 'lang' and l.metric = o.metric and l.lang is not distinct from o.lang
+  join quartiles a on a.level = 'all' and a.metric = o.metric
+  where o.level = 'own'),
+fences as (
+  select lang, source, metric, case when metric = 'word_length' then q1 - reach end as low, q3 + reach as high
+  from (select *, greatest(3 * (q3 - q1), case metric when 'symbol_share' then 0.1
+      when 'duplicate_line_share' then 0.3 when 'repeat_share' then 0.2 else 3.0 end) as reach from chosen)),
+broken as (
+  select m.n, count(*) as k
+  from measured m join fences f
+    on f.lang is not distinct from m.lang and f.source is not distinct from m.source
+  where (case f.metric when 'symbol_share' then symbol_share when 'repeat_share' then repeat_share
+      when 'duplicate_line_share' then duplicate_line_share else word_length end) > f.high
+    or (f.metric = 'word_length' and word_length < f.low)
+  group by m.n)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and k is null as kept
+from (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from measured)
+left join broken using (n)
+"""
+
+_NEAR = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 1], ' ') as gram
+  from (select doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 1))) as i
+    from texts where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as k
+  from shingles a join shingles b on a.gram = b.gram and a.doc_id < b.doc_id
+  group by all),
+links as (
+  select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+  where 100 * k >= 80 * (a.n + b.n - k)),
+steps as (select x, y from links union all select y, x from links),
+reach as (
+  select x, y from steps
+  union
+  select r.x, s.y from reach r join steps s on r.y = s.x),
+tops as (select x as doc_id, min(y) as top from reach group by x)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(top, doc_id)) as component_id,
+  doc_id = least(doc_id, coalesce(top, doc_id)) as kept
+from texts left join sizes using (doc_id) left join tops using (doc_id)
+"""
+
 SQL: dict[str, str] = {
+    "op5_near_duplicates": _NEAR,
+    "op10_quality_rules": _RULES,
     "op7_chat_formatting": _CHAT,
     "op9_decontamination": _HITS,
 }
