@@ -16,7 +16,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nudgelab.functions.scalars import numeric_columns
@@ -288,8 +288,9 @@ def side_by_side(fits: Sequence[Callable[[], Model]]) -> list[Model]:
 
     Boosting is a long row of small jobs, so one fit alone leaves most of the cores idle.
     """
+    carry = inheritable_thread_target(SparkSession.active())
     with ThreadPool(min(FITS_AT_ONCE, len(fits))) as pool:
-        return pool.map(lambda run: run(), [inheritable_thread_target(f) for f in fits])
+        return pool.map(lambda run: run(), [carry(f) for f in fits])
 
 
 # --- learners --------------------------------------------------------------------------
