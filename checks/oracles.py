@@ -1108,7 +1108,7 @@ for _model in LEARNERS:
     ORACLES[_name] = _tested(_model)
 ORACLES["t_learner_candidates"] = _tested("logreg", "forest", "boosted")
 ORACLES["model_comparison"] = (
-    f"SELECT model, count(*) AS n, true AS scores_vary, true AS measured "
+    f"SELECT model, count(*) AS n, true AS measured "
     f"FROM ({_tested(*LEARNERS)}) GROUP BY model"
 )
 ORACLES["tune_t_learner"] = (
