@@ -11,10 +11,17 @@ from nudgelab.session import materialize
 
 LEAST_QUALITY = 0.7
 SHARDS = 8
+#: Whole rows pass through Python workers; smaller batches keep those workers small.
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble, learnt on all training labels, does not reject."""
+    small_batches(spark)
     whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     sample = labelled_sample(whole, labels, "quality", 4, 2, rule_ensemble.TRAINING_ROWS)
@@ -23,11 +30,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, 0.8)."""
+    small_batches(spark)
     return near.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages they share with the benchmark."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.decontaminated(docs, benchmark)
 

@@ -28,7 +28,7 @@ from nudgelab.llm.words import _ALNUM as WORD_BYTES
 from nudgelab.llm.words import _LOWER as LOWER
 
 WINDOW = 10
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 8_000_000
 BLOCK_ITEMS = 20_000
 
 _MATCHES = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"

@@ -169,10 +169,18 @@ def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
 
 def accepted(docs: DataFrame, model: RuleEnsemble, least: float = 0.7) -> DataFrame:
     """The rows of ``docs`` whose texts score ``least`` or more, all columns as they were."""
+    names = [c.lower() for c in docs.columns]
     row = F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        # The text is read inside the row, so it travels once.
+        both = (
+            pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(0).field(names.index("text"))], names=["row", "text"]
+            )
+            for b in batches
+        )
+        for piece in pieces(both, "text"):
             found = text_statistics(piece.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [piece.column("row"), *(pa.array(found[c]) for c in STATISTICS)],
@@ -182,5 +190,4 @@ def accepted(docs: DataFrame, model: RuleEnsemble, least: float = 0.7) -> DataFr
     kinds = StructType([
         StructField("row", docs.schema, False), *(StructField(c, DoubleType()) for c in STATISTICS)
     ])
-    whole = docs.select(row, docs["text"].cast("string").alias("text"))
-    return whole.mapInArrow(run, kinds).where(model.score() >= least).select("row.*")
+    return docs.select(row).mapInArrow(run, kinds).where(model.score() >= least).select("row.*")

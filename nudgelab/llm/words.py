@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 6_000_000
+PIECE_BYTES = 3_000_000
 
 _SPACE = np.ones(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = False
@@ -61,6 +61,8 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = PIECE_BYTES
             stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
