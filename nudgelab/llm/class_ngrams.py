@@ -1,19 +1,20 @@
 """Brown class-based bigrams over words.
 
-P(w | v) = P(class(w) | class(v)) * P(w | class(w)). Words that make up at least the share
-``LEAST_SHARE`` of all training tokens are put into ``CLASSES`` classes by exchange: a word moves
-to the class that raises the likelihood of the class bigrams most. There are at most
-1 / LEAST_SHARE such words whatever the corpus, so they are the only thing that is broadcast. All
-other words, seen or not, belong to classes of word shapes, and the end of a text to a class of
-its own. Every word's own count enters its emission probability.
+P(w | v) = P(class(w) | class(v)) * P(w | class(w)). Every word seen at least ``LEAST_COUNT`` times
+in the training texts is put into one of ``CLASSES`` classes by exchange: a word moves to the class
+that raises the likelihood of the class bigrams most, until a sweep over all words brings no more
+rise. Rarer and unseen words belong to classes of word shapes, the end of a text to a class of its
+own. Every word's own count enters its emission probability.
 
 Texts are coded once: a block of texts becomes one row with its distinct words and the codes of all
-its words. Counts, bigrams and scores read those rows. Word counts of the whole corpus stay
-distributed; each block gets those of its own words by a join.
+its words. Words are numbered by their frequency in a distributed table, which a join brings to the
+blocks; bigram counts of all numbers stay distributed in chunks. What travels in a turn is one byte
+for every exchanged word, its class.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,12 +31,16 @@ from nudgelab.session import materialize
 
 CLASSES = 48
 SHAPES = 32
-#: 20,000 words at most are exchanged between classes.
-LEAST_SHARE = 5e-5
-#: Exchange turns; each moves the words of one part out of four.
-TURNS, PARTS = 12, 4
-#: Parts of the bigram table; it has at most (1 / LEAST_SHARE + SHAPES + 1) squared cells.
-CHUNKS = 64
+#: Training words seen so often are exchanged between classes; the rest shows how unseen words behave.
+LEAST_COUNT = 5
+#: Turns of a sweep, each for the words of one part; a sweep with a turn undone doubles them.
+PARTS, MOST_PARTS = 4, 16
+#: A sweep that raises the log likelihood by less (natural logarithm a training token) is the last.
+LEAST_RISE = 1e-3
+#: Chunks of the bigram table: 64, and more from 64 times so many training tokens.
+CHUNKS, CHUNK_TOKENS = 64, 2_000_000
+#: Words that a task exchanges at once, at most.
+AT_ONCE = 256
 BLOCK_BYTES = 12_000_000
 #: Counts added to every word of a class, and weight of the class unigrams in the transitions.
 ADDED, BACKOFF = 0.5, 5.0
@@ -126,19 +131,106 @@ def word_counts(coded: DataFrame) -> DataFrame:
 
 
 class Symbols:
-    """Numbers for the words of a block: exchanged words, then shapes, then the end of a text."""
+    """Numbers: exchanged words by falling frequency, then shapes, then the end of a text."""
 
-    def __init__(self, frequent: list[bytes]):
-        self.frequent = frequent
-        self.end = len(frequent) + SHAPES
+    def __init__(self, words: int):
+        self.frequent = range(words)
+        self.end = words + SHAPES
         self.size = self.end + 1
 
-    def of(self, words: pa.Array) -> np.ndarray:
-        if not len(words):
-            return np.zeros(0, dtype=np.int64)
-        known = pc.index_in(words, value_set=pa.array(self.frequent, pa.binary()))
-        known = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        return np.where(known >= 0, known, len(self.frequent) + shapes(words))
+
+def numbered_words(counts: DataFrame) -> DataFrame:
+    """(word, n, symbol) of the words to exchange, written to the shared folder."""
+    placed = materialize(
+        counts.where(F.col("n") >= LEAST_COUNT)
+        .orderBy(F.desc("n"), "word")
+        .select("word", "n", F.monotonically_increasing_id().alias("at"))
+    )
+    part = F.shiftright("at", 33)
+    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    starts, total = [], 0
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        starts.append((r["part"], total))
+        total += r["n"]
+    table = counts.sparkSession.createDataFrame(starts, "part long, start long")
+    return placed.withColumn("part", part).join(F.broadcast(table), "part").select(
+        "word", "n", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("symbol")
+    )
+
+
+def _release(df: DataFrame) -> None:
+    """Have Spark drop the shuffle files of finished steps, which stay as long as the driver's garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def linked_blocks(coded: DataFrame, counts: DataFrame, numbered: DataFrame, symbols: Symbols) -> DataFrame:
+    """The blocks with symbols and training counts in place of words, written to the shared folder."""
+    asking = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("word", pa.binary())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(batch.column("block"), batch.column("words"), strict=True):
+                words = _words_of(packed.as_py())
+                yield as_batch(
+                    {"block": np.full(len(words), block.as_py()),
+                     "place": np.arange(len(words), dtype=np.int32), "word": words}, asking,
+                )
+
+    packed = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("found", pa.binary()),
+                        ("symbols", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            if not len(block):
+                continue
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
+            place, n, symbol = (batch.column(c).to_numpy() for c in ("place", "n", "symbol"))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                yield as_batch({"block": [block[a]], "places": [_pack(place[a:b])], "found": [_pack(n[a:b])],
+                                "symbols": [_pack(symbol[a:b])]}, packed)
+
+    linking = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("bounds", pa.binary()),
+                         ("codes", pa.binary()), ("own", pa.binary()), ("n", pa.binary())])
+    first = len(symbols.frequent)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
+                words = _words_of(get("words"))
+                own, n = first + shapes(words), np.zeros(len(words), dtype=np.int64)
+                for places, found, symbol in zip(
+                    get("places") or (), get("found") or (), get("symbols") or (), strict=True
+                ):
+                    places, symbol = _unpack(places, np.int32), _unpack(symbol, np.int64)
+                    n[places] = _unpack(found, np.int64)
+                    own[places[symbol >= 0]] = symbol[symbol >= 0]
+                yield as_batch(
+                    {"ids": [get("ids")], "train": [get("train")], "bounds": [get("bounds")],
+                     "codes": [get("codes")], "own": [_pack(own)], "n": [_pack(n)]}, linking,
+                )
+
+    known = counts.select("word", "n").join(numbered.select("word", "symbol"), "word", "left")
+    asked = coded.select("block", "words").mapInArrow(ask, "block long, place int, word binary")
+    answered = asked.join(known.fillna(-1, ["symbol"]), "word").select("block", "place", "n", "symbol")
+    rows = answered.repartition("block").sortWithinPartitions("block")
+    found = rows.mapInArrow(pack, "block long, places binary, found binary, symbols binary")
+    parts = F.collect_list(F.struct("places", "found", "symbols")).alias("parts")
+    found = found.groupBy("block").agg(parts).select(
+        "block", "parts.places", "parts.found", "parts.symbols"
+    )
+    kinds = "ids array<long>, train array<boolean>, bounds binary, codes binary, own binary, n binary"
+    return materialize(coded.join(found, "block", "left").mapInArrow(link, kinds))
+
+
+def _linked(batch: pa.RecordBatch):
+    """(row number, symbols, counts, codes, bounds, train) of every linked block of a batch."""
+    for i in range(batch.num_rows):
+        get = lambda c, kind: _unpack(batch.column(c)[i].as_py(), kind)  # noqa: B023, E731
+        yield (i, get("own", np.int64), get("n", np.int64), get("codes", np.int32),
+               get("bounds", np.int64), np.array(batch.column("train")[i].as_py(), dtype=bool))
 
 
 def chain(symbols: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
@@ -150,7 +242,7 @@ def chain(symbols: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
-def bigram_table(coded: DataFrame, symbols: Symbols) -> DataFrame:
+def bigram_table(linked: DataFrame, symbols: Symbols, chunks: int = CHUNKS) -> DataFrame:
     """(chunk, after, before): training bigrams by their first and by their second symbol.
 
     A row's cells are packed (own symbol * size + other symbol, count) pairs in ascending order.
@@ -162,26 +254,23 @@ def bigram_table(coded: DataFrame, symbols: Symbols) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, words, codes, bounds, train in _blocks(batch):
+            for _, own_of, _, codes, bounds, train in _linked(batch):
                 kept = _trained(bounds, train)
                 ends = np.concatenate([[0], np.cumsum(np.diff(bounds)[train])])
                 if not train.any():
                     continue
-                row = chain(symbols.of(words)[codes[kept]], ends, symbols.end)
+                row = chain(own_of[codes[kept]], ends, symbols.end)
                 for side, (own, other) in enumerate(((row[:-1], row[1:]), (row[1:], row[:-1]))):
-                    part = own % CHUNKS
-                    cells, counts = np.unique(
-                        (part * size + own) * size + other, return_counts=True
-                    )
-                    cuts = np.searchsorted(cells, np.arange(CHUNKS + 1) * size * size)
-                    for c in range(CHUNKS):
-                        mine = slice(cuts[c], cuts[c + 1])
-                        if cuts[c] < cuts[c + 1]:
-                            yield as_batch(
-                                {"chunk": [c], "side": [side],
-                                 "cells": [_pack(np.diff(cells[mine] - c * size * size, prepend=0))],
-                                 "counts": [_pack(counts[mine].astype(np.int32))]}, schema,
-                            )
+                    cells, counts = np.unique(own * size + other, return_counts=True)
+                    part = (cells // size) % chunks
+                    order = np.argsort(part, kind="stable")
+                    cuts = np.searchsorted(part[order], np.arange(chunks + 1))
+                    for c in np.flatnonzero(np.diff(cuts)).tolist():
+                        mine = order[cuts[c] : cuts[c + 1]]
+                        yield as_batch(
+                            {"chunk": [c], "side": [side], "cells": [_pack(np.diff(cells[mine], prepend=0))],
+                             "counts": [_pack(counts[mine].astype(np.int32))]}, schema,
+                        )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
@@ -207,8 +296,8 @@ def bigram_table(coded: DataFrame, symbols: Symbols) -> DataFrame:
                             "counts": [_pack(counts)]}, schema)
 
     kinds = "chunk int, side int, cells binary, counts binary"
-    counted = coded.select("codes", "bounds", "train", "words").mapInArrow(count, kinds)
-    merged = counted.repartition(CHUNKS, "chunk").mapInArrow(merge, kinds)
+    counted = linked.select("own", "n", "codes", "bounds", "train").mapInArrow(count, kinds)
+    merged = counted.repartition(chunks, "chunk").mapInArrow(merge, kinds)
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
     return materialize(
         merged.groupBy("chunk").agg(
@@ -222,18 +311,24 @@ def _entropy(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.where(x > 0, x, 1.0))
 
 
-def class_bigrams(table: DataFrame, classes: np.ndarray, size: int, total: int) -> np.ndarray:
-    """How often each class follows each class; one packed row per chunk comes to the driver."""
+def class_bigrams(
+    table: DataFrame, classes: np.ndarray, size: int, total: int, chunks: int
+) -> np.ndarray:
+    """How often each class follows each class; one packed row per task comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(total * total)
         for batch in batches:
-            for cells, n in zip(batch.column("after"), batch.column("after_n"), strict=True):
+            for chunk, cells, n in zip(*(batch.column(c) for c in ("chunk", "after", "after_n")), strict=True):
                 cells, n = _unpack(cells.as_py(), np.int64), _unpack(n.as_py(), np.int64)
-                pair = classes[cells // size].astype(np.int64) * total + classes[cells % size]
-                sums = np.bincount(pair, weights=n, minlength=total * total)
-                yield pa.RecordBatch.from_pydict({"sums": [_pack(sums)]})
-
-    found = table.select("after", "after_n").mapInArrow(run, "sums binary").collect()
+                own = np.arange(chunk.as_py(), size, chunks)
+                each = np.diff(np.searchsorted(cells, own * size), append=len(cells))
+                other = cells - np.repeat(own * size, each)
+                pair = np.repeat(classes[own].astype(np.int64) * total, each) + classes[other]
+                sums += np.bincount(pair, weights=n, minlength=total * total)
+        yield pa.RecordBatch.from_pydict({"sums": [_pack(sums)]})
+
+    found = table.select("chunk", "after", "after_n").mapInArrow(run, "sums binary").collect()
     out = np.zeros(total * total)
     for row in found:
         out += _unpack(bytes(row["sums"]), np.float64)
@@ -284,38 +379,98 @@ def exchange(
     return moved
 
 
-def _moves(classes: np.ndarray, pairs: np.ndarray, symbols_size: int, words: int, total: int, turn: int):
-    """A pass over the words of each chunk whose turn it is."""
+def best_classes(
+    rows: tuple, columns: tuple, loops: np.ndarray, old: np.ndarray, pairs: np.ndarray, movable: int
+) -> np.ndarray:
+    """The best class of each word of a batch, each as ``exchange`` would find it in ``pairs``.
+
+    ``rows`` and ``columns`` are the non-zero neighbour counts (word, class, count) behind and in
+    front of the words, themselves left out.
+    """
+    n, total = len(old), len(pairs)
+    dense = []
+    for word, other, count in (rows, columns):
+        flat = np.bincount(word * total + other, weights=count, minlength=n * total)
+        dense.append(flat.reshape(n, total))
+    gain = np.zeros((n, movable))
+    for (word, other, count), across, table in (
+        (rows, dense[1], pairs[:movable].T), (columns, dense[0], pairs[:, :movable])
+    ):
+        if not len(word):
+            continue
+        # Entries of one class and count share their row, but for what the word itself adds.
+        keys, at_key = np.unique(count.astype(np.int64) * total + other, return_inverse=True)
+        lines = table[keys % total]
+        change = (_entropy(lines + (keys // total)[:, None]) - _entropy(lines))[at_key]
+        own = table[other, old[word]] - count
+        change[np.arange(len(word)), old[word]] = _entropy(own + count) - _entropy(own)
+        same = np.flatnonzero(other == old[word])
+        base = table[other[same]] - across[word[same], :movable]
+        base[np.arange(len(same)), old[word[same]]] -= loops[word[same]] + count[same]
+        change[same] = _entropy(base + count[same, None]) - _entropy(base)
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        gain[word[starts]] += np.add.reduceat(change, starts, axis=0)
+    each, s = np.arange(n), loops[:, None]
+    to, at = dense[0][:, :movable], dense[1][:, :movable]
+    corner = np.tile(np.diagonal(pairs)[:movable], (n, 1))
+    corner[each, old] -= to[each, old] + at[each, old] + loops
+    gain += _entropy(corner + to + at + s) + _entropy(corner)
+    gain -= _entropy(corner + to) + _entropy(corner + at)
+    for axis, sums in ((1, dense[0]), (0, dense[1])):
+        mass = sums.sum(axis=1) + loops
+        side = np.tile(pairs.sum(axis=axis)[:movable], (n, 1))
+        side[each, old] -= mass
+        gain -= _entropy(side + mass[:, None]) - _entropy(side)
+    new = np.argmax(gain, axis=1)
+    return np.where(gain[each, new] > gain[each, old] + 1e-9, new, old)
+
+
+def _moves(
+    classes: np.ndarray, pairs: np.ndarray, size: int, words: int, total: int, chunks: int, part: int, parts: int
+):
+    """New classes of the words of one part of each chunk."""
 
     def contexts(cells, counts, own):
-        first, other = cells // symbols_size, cells % symbols_size
-        row = np.searchsorted(own, first)
-        row[row == len(own)] = 0
-        mine = (own[row] == first) & (first != other)
-        flat = np.bincount(
-            row[mine] * total + classes[other[mine]], weights=counts[mine], minlength=len(own) * total
-        )
-        loop = (own[row] == first) & (first == other)
+        start, stop = np.searchsorted(cells, own * size), np.searchsorted(cells, (own + 1) * size)
+        row = np.repeat(np.arange(len(own)), stop - start)
+        mine = np.arange(len(row)) + np.repeat(start - np.cumsum(stop - start) + (stop - start), stop - start)
+        other, counts = cells[mine] - own[row] * size, counts[mine]
+        loop = other == own[row]
         loops = np.bincount(row[loop], weights=counts[loop], minlength=len(own))
-        return flat.reshape(len(own), total), loops
+        flat = row[~loop] * total + classes[other[~loop]]
+        dense = np.bincount(flat, weights=counts[~loop], minlength=len(own) * total)
+        found = np.flatnonzero(dense)
+        return found // total, found % total, dense[found], loops
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("symbol", pa.int64()), ("class", pa.int64())])
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: _unpack(batch.column(c)[i].as_py(), np.int64)  # noqa: B023, E731
                 chunk = batch.column("chunk")[i].as_py()
-                own = np.arange(chunk, words, CHUNKS)
-                own = own[(own // CHUNKS) % PARTS == turn % PARTS]
+                own = np.arange(chunk, words, chunks)
+                own = own[(own // chunks) % parts == part]
                 if not len(own):
                     continue
-                after, loops = contexts(get("after"), get("after_n"), own)
-                before, _ = contexts(get("before"), get("before_n"), own)
-                found = exchange(
-                    own.tolist(), after, before, loops, classes, pairs.copy(), CLASSES
-                )
-                yield as_batch(
-                    {"symbol": [s for s, _ in found], "class": [c for _, c in found]}, schema
+                *after, loops = contexts(get("after"), get("after_n"), own)
+                *before, _ = contexts(get("before"), get("before_n"), own)
+                mine, held, start = classes[own].astype(np.int64), pairs.copy(), 0
+                # The frequent words one by one, rarer ones in growing batches.
+                while start < len(own):
+                    stop = min(len(own), start + 1 + min(start // 8, AT_ONCE - 1))
+                    sides = []
+                    for word, other, count in (after, before):
+                        a, b = np.searchsorted(word, [start, stop])
+                        sides.append((word[a:b] - start, other[a:b], count[a:b]))
+                    old = mine[start:stop]
+                    new = best_classes(*sides, loops[start:stop], old, held, CLASSES)
+                    for k, sign in ((old, -1), (new, 1)):
+                        (w, j, r), (v, m, p) = sides
+                        np.add.at(held, (k[w], j), sign * r)
+                        np.add.at(held, (m, k[v]), sign * p)
+                        np.add.at(held, (k, k), sign * loops[start:stop])
+                    mine[start:stop], start = new, stop
+                yield pa.RecordBatch.from_pydict(
+                    {"chunk": pa.array([chunk], pa.int32()), "classes": [_pack(mine.astype(np.uint8))]}
                 )
 
     return run
@@ -323,10 +478,12 @@ def _moves(classes: np.ndarray, pairs: np.ndarray, symbols_size: int, words: int
 
 @dataclass
 class ClassModel:
-    """Classes of the exchanged words and all log10 probabilities but those of rarer words."""
+    """Classes of the exchanged words and all log10 probabilities but the words' own counts."""
 
     symbols: Symbols
-    frequent_n: np.ndarray
+    numbered: DataFrame
+    """(word, n, symbol) of the exchanged words."""
+    linked: DataFrame
     classes: np.ndarray
     moves: np.ndarray
     """log10 P(class | class in front)."""
@@ -337,99 +494,92 @@ class ClassModel:
     train_texts: int
     history: list[float]
 
+    @property
+    def frequent_n(self) -> np.ndarray:
+        """Training counts of the exchanged words; all come to the driver."""
+        rows = self.numbered.orderBy("symbol").select("n").collect()
+        return np.array([r["n"] for r in rows], dtype=np.int64)
+
 
 def fit(coded: DataFrame, counts: DataFrame) -> ClassModel:
-    """Cluster the frequent words and estimate the model from the training rows of ``coded``.
+    """Cluster the words and estimate the model from the training rows of ``coded``.
 
-    Turns go round the parts of the words; a task exchanges its words one after another against
-    its own copy of the counts. A turn that does not raise the likelihood is taken back.
+    Turns go round the parts of the words; a task exchanges its words against its own copy of the
+    counts. A turn that does not raise the likelihood is taken back, and the next sweep has smaller
+    parts. The last sweep is the first that raises the likelihood by less than ``LEAST_RISE``.
     """
     texts = coded.agg(F.sum(F.expr("size(filter(train, x -> x))"))).first()[0] or 0
-    row = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    tokens, distinct = row[1] + texts, row[0] + (1 if texts else 0)
-    kept = counts.where(F.col("n") >= F.lit(LEAST_SHARE) * tokens).collect() if texts else []
-    kept = sorted(kept, key=lambda r: (-r["n"], bytes(r["word"])))
-    symbols = Symbols([bytes(r["word"]) for r in kept])
-    words, total = len(kept), CLASSES + SHAPES + 1
+    row = counts.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") >= LEAST_COUNT)
+    ).first()
+    tokens, distinct, words = row[1] + texts, row[0] + (1 if texts else 0), row[2]
+    symbols, total = Symbols(words), CLASSES + SHAPES + 1
+    numbered = numbered_words(counts)
+    linked = linked_blocks(coded, counts, numbered, symbols)
     classes = np.concatenate(
         [np.arange(words) % CLASSES, CLASSES + np.arange(SHAPES + 1)]
-    ).astype(np.int64)
-    table = bigram_table(coded, symbols)
-    pairs = class_bigrams(table, classes, symbols.size, total)
-    history = [likelihood(pairs)]
-    for turn in range(TURNS if words else 0):
-        moved = table.mapInArrow(
-            _moves(classes, pairs, symbols.size, words, total, turn), "symbol long, class long"
-        ).collect()
-        following = classes.copy()
-        for r in moved:
-            following[r["symbol"]] = r["class"]
-        after = class_bigrams(table, following, symbols.size, total) if moved else pairs
-        if likelihood(after) <= history[-1]:
-            continue
-        classes, pairs = following, after
-        history.append(likelihood(pairs))
-    frequent_n = np.array([r["n"] for r in kept], dtype=np.int64)
+    ).astype(np.uint8)
+    _release(coded)
+    chunks = max(CHUNKS, tokens // CHUNK_TOKENS)
+    table = bigram_table(linked, symbols, chunks)
+    _release(coded)
+    pairs = class_bigrams(table, classes, symbols.size, total, chunks)
+    history, parts = [likelihood(pairs)], PARTS
+    while words:
+        began, undone = history[-1], False
+        for part in range(parts):
+            moved = table.mapInArrow(
+                _moves(classes, pairs, symbols.size, words, total, chunks, part, parts),
+                "chunk int, classes binary",
+            ).collect()
+            following = classes.copy()
+            for r in moved:
+                own = np.arange(r["chunk"], words, chunks)
+                following[own[(own // chunks) % parts == part]] = _unpack(bytes(r["classes"]), np.uint8)
+            if np.array_equal(following, classes):
+                continue
+            after = class_bigrams(table, following, symbols.size, total, chunks)
+            if likelihood(after) <= history[-1]:
+                undone = True
+                continue
+            classes, pairs = following, after
+            history.append(likelihood(pairs))
+        small = history[-1] - began < LEAST_RISE * tokens
+        if small and (not undone or parts >= MOST_PARTS):
+            break
+        parts = min(2 * parts, MOST_PARTS) if undone else parts
     rare = {
         r["shape"]: (r["n"], r["v"])
-        for r in counts.where(F.col("n") < F.lit(LEAST_SHARE) * tokens)
+        for r in counts.where(F.col("n") < LEAST_COUNT)
         .groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     }
     mass, kinds = np.zeros(total), np.zeros(total)
-    np.add.at(mass, classes[:words], frequent_n)
-    np.add.at(kinds, classes[:words], 1)
+    mass[:CLASSES] = pairs.sum(axis=0)[:CLASSES]
+    kinds[:CLASSES] = np.bincount(classes[:words], minlength=CLASSES)
     for shape, (n, v) in rare.items():
         mass[CLASSES + shape], kinds[CLASSES + shape] = n, v
     kinds[CLASSES : CLASSES + SHAPES] += 1  # the unseen words of a shape
     unigrams = (pairs.sum(axis=0) + 1) / (pairs.sum() + total)
     moves = (pairs + BACKOFF * unigrams) / (pairs.sum(axis=1, keepdims=True) + BACKOFF)
     base = np.log10(np.maximum(mass + ADDED * kinds, ADDED))
-    return ClassModel(symbols, frequent_n, classes, np.log10(moves), base, int(tokens),
+    return ClassModel(symbols, numbered, linked, classes, np.log10(moves), base, int(tokens),
                       int(distinct), int(texts), history)
 
 
-def class_table(spark, model: ClassModel) -> DataFrame:
+def class_table(model: ClassModel) -> DataFrame:
     """(word, class, n) of the exchanged words."""
-    rows = [
-        (w.decode("utf-8", "replace"), int(c), int(n))
-        for w, c, n in zip(model.symbols.frequent, model.classes, model.frequent_n, strict=False)
-    ]
-    return spark.createDataFrame(rows, "word string, class int, n long")
-
-
-def _rare_lookups(coded: DataFrame, counts: DataFrame, symbols: Symbols) -> DataFrame:
-    """(block, places, found): training counts of each block's rarer words."""
-    schema = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("word", pa.binary())])
+    classes = model.classes
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, words, *_ in _blocks(batch):
-                rare = np.flatnonzero(symbols.of(words) >= len(symbols.frequent))
-                block = batch.column("block")[i].as_py()
-                yield as_batch(
-                    {"block": np.full(len(rare), block), "place": rare.astype(np.int32),
-                     "word": words.take(pa.array(rare))}, schema,
-                )
+            found = classes[batch.column("symbol").to_numpy()].astype(np.int32)
+            yield pa.RecordBatch.from_pydict(
+                {"word": batch.column("word"), "class": pa.array(found), "n": batch.column("n")}
+            )
 
-    packed = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("found", pa.binary())])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column("block").to_numpy()
-            if not len(block):
-                continue
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
-            place, n = batch.column("place").to_numpy(), batch.column("n").to_numpy()
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield as_batch({"block": [block[a]], "places": [_pack(place[a:b])],
-                                "found": [_pack(n[a:b])]}, packed)
-
-    asked = coded.select("block", "codes", "bounds", "train", "words").mapInArrow(
-        ask, "block long, place int, word binary"
+    return model.numbered.select(F.col("word").cast("string").alias("word"), "symbol", "n").mapInArrow(
+        run, "word string, class int, n long"
     )
-    answered = asked.join(counts.select("word", "n"), "word").select("block", "place", "n")
-    rows = answered.repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(pack, "block long, places binary, found binary")
 
 
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -445,34 +595,26 @@ def _score_blocks(model: ClassModel):
         ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("base_score", pa.float64()), ("score", pa.float64()),
     ])
-    symbols, words = model.symbols, len(model.symbols.frequent)
-    spread = np.log10(model.train_tokens + model.train_words + 1)
+    end, classes, moves, base = model.symbols.end, model.classes, model.moves, model.emission_base
+    train_texts, spread = model.train_texts, np.log10(model.train_tokens + model.train_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, vocabulary, codes, bounds, _ in _blocks(batch):
-                own = symbols.of(vocabulary)
-                n = np.zeros(len(own), dtype=np.int64)
-                n[own < words] = model.frequent_n[own[own < words]]
-                for places, found in zip(
-                    batch.column("places")[i].as_py() or (), batch.column("found")[i].as_py() or (),
-                    strict=True,
-                ):
-                    n[_unpack(places, np.int32)] = _unpack(found, np.int64)
-                kind = model.classes[own]
-                emission = np.log10(n + ADDED) - model.emission_base[kind]
+            for i, own, n, codes, bounds, _ in _linked(batch):
+                kind = classes[own].astype(np.int64)
+                emission = np.log10(n + ADDED) - base[kind]
                 # The classes of a text, from the end in front of it to the end behind it.
-                row = chain(kind[codes], bounds, int(model.classes[symbols.end]))
-                steps = model.moves[row[:-1], row[1:]]
+                row = chain(kind[codes], bounds, int(classes[end]))
+                steps = moves[row[:-1], row[1:]]
                 upto = bounds + np.arange(len(bounds))
                 yield as_batch(
                     {
                         "doc_id": batch.column("ids")[i].as_py(),
                         "n_tokens": np.diff(bounds) + 1,
                         "n_known": _sums((n > 0)[codes].astype(np.float64), bounds).astype(np.int64)
-                        + (model.train_texts > 0),
+                        + (train_texts > 0),
                         "base_score": _sums(np.log10(n + 1.0)[codes], bounds)
-                        + np.log10(model.train_texts + 1.0) - spread * (np.diff(bounds) + 1),
+                        + np.log10(train_texts + 1.0) - spread * (np.diff(bounds) + 1),
                         "score": _sums(emission[codes], bounds) + _sums(steps, upto),
                     },
                     schema,
@@ -486,12 +628,13 @@ def scored(
 ) -> DataFrame:
     """Fit on the rows whose crc32 of the id is not ``part`` modulo ``parts``; score all rows.
 
-    Returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score). Words are
-    lower-cased (A-Z) and end at white space; every text has one end token more. ``base_score``
-    is the add-one unigram score, ``score`` the class model's log10 probability of the text. Null
-    texts are empty; rows without an id are held out; repeated rows count each and are answered
-    alike. Without training rows every word is unseen. Other columns are not read; an empty table
-    gives no rows.
+    Returns (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity,
+    held_out_perplexity): the perplexity of the text, and that of all held-out rows together (null
+    without such rows). Words are lower-cased (A-Z) and end at white space; every text has one end
+    token more. ``base_score`` is the add-one unigram score, ``score`` the class model's log10
+    probability of the text. Null texts are empty; rows without an id are held out; repeated rows
+    count each and are answered alike. Without training rows every word is unseen. Other columns
+    are not read; an empty table gives no rows.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn(
         "train", ~held_out(F.col("doc_id"), parts, part)
@@ -499,12 +642,15 @@ def scored(
     coded = coded_texts(rows)
     counts = word_counts(coded)
     model = fit(coded, counts)
-    found = _rare_lookups(coded, counts, model.symbols).groupBy("block").agg(
-        F.collect_list("places").alias("places"), F.collect_list("found").alias("found")
-    )
     kinds = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    made = coded.join(found, "block", "left").mapInArrow(_score_blocks(model), kinds)
+    blocks = model.linked.select("ids", "own", "n", "codes", "bounds", "train")
+    made = materialize(blocks.mapInArrow(_score_blocks(model), kinds))
+    held = held_out(F.col("doc_id"), parts, part)
+    over = made.where(held).agg(F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).first()
+    whole = 10.0 ** (-over["s"] / over["n"]) if over["n"] else None
     return made.select(
-        "doc_id", held_out(F.col("doc_id"), parts, part).alias("held_out"), "n_tokens", "n_known",
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+        F.lit(whole).cast("double").alias("held_out_perplexity"),
     )

@@ -417,3 +417,49 @@ def test_exchange_gain_is_the_likelihood_change():
             classes[symbol] = c
         assert np.allclose(pairs, pairs_of(classes))
         assert np.isclose(class_ngrams.likelihood(pairs_of(classes)), best)
+
+
+def test_batched_exchange_finds_the_same_classes():
+    rng = np.random.default_rng(5)
+    n, movable, total = 14, 4, 6
+    counts = rng.integers(0, 5, (n, n)).astype(float)
+    classes = np.array([*rng.integers(0, movable, n - 2), 4, 5])
+    pairs = np.zeros((total, total))
+    np.add.at(pairs, (classes[:, None].repeat(n, 1), classes[None].repeat(n, 0)), counts)
+    words, alone = np.arange(n - 2), []
+    sides = [np.zeros((n - 2, total)), np.zeros((n - 2, total))]
+    for word in words:
+        others = np.delete(np.arange(n), word)
+        for side, seen in zip(sides, (counts[word, others], counts[others, word]), strict=True):
+            side[word] = np.bincount(classes[others], weights=seen, minlength=total)
+        moved = class_ngrams.exchange(
+            [word], sides[0][[word]], sides[1][[word]], counts[word, word][None], classes, pairs.copy(), movable
+        )
+        alone.append(moved[0][1] if moved else classes[word])
+    sparse = [(*np.nonzero(side), side[np.nonzero(side)]) for side in sides]
+    loops = np.diagonal(counts)[: n - 2]
+    found = class_ngrams.best_classes(*sparse, loops, classes[: n - 2], pairs, movable)
+    assert found.tolist() == alone
+
+
+def test_every_word_seen_five_times_is_clustered(spark):
+    """Also far below a share of 1/20,000 of the tokens, where words had no class of their own."""
+    fill = [(i, "the cat sat on the mat " * 5_000) for i in range(20)]
+    rare = [(100 + i, f"{'xy'[i % 2]} rare{i % 200} {'xy'[i % 2]}") for i in range(1400)]
+    docs = spark.createDataFrame(fill + rare, "doc_id long, text string").withColumn("train", F.lit(True))
+    coded = class_ngrams.coded_texts(docs)
+    counts = class_ngrams.word_counts(coded)
+    model = class_ngrams.fit(coded, counts)
+    table = {r["word"]: (r["class"], r["n"]) for r in class_ngrams.class_table(model).collect()}
+    expected = {r["word"].decode(): r["n"] for r in counts.collect() if r["n"] >= class_ngrams.LEAST_COUNT}
+    assert {w: n for w, (_, n) in table.items()} == expected and len(expected) == 207
+    classes = [{table[f"rare{i}"][0] for i in range(odd, 200, 2)} for odd in (0, 1)]
+    assert not classes[0] & classes[1]  # words between x are in other classes than words between y
+
+
+def test_held_out_perplexity_is_that_of_the_scores(spark, docs):
+    out = class_ngrams.scored(docs).toPandas()
+    held = out[out.held_out]
+    whole = 10 ** (-held.score.sum() / held.n_tokens.sum())
+    assert np.allclose(out.held_out_perplexity, whole) and 1 < whole
+    assert np.allclose(np.log10(out.perplexity), -out.score / out.n_tokens)
