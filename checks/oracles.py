@@ -464,6 +464,14 @@ ORACLES["profile_numeric"] = with_ctes(
     ),
     "purchases",
 )
+ORACLES["profile_numeric_clients"] = with_ctes(
+    f"SELECT 'age' AS \"column\", count(age) AS n, {r('avg(age)')} AS mean, "
+    f"{r('stddev_samp(age)')} AS std, {r('CAST(min(age) AS DOUBLE)')} AS min, "
+    f"{r('CAST(max(age) AS DOUBLE)')} AS max, "
+    + ", ".join(f"{r(f'quantile_cont(age, {p / 100})')} AS p{p}" for p in PERCENTILES)
+    + " FROM clients",
+    "clients",
+)
 ORACLES["profile_categorical"] = with_ctes(
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST(sum(k) AS BIGINT) AS n, count(*) AS \"unique\", "
@@ -749,6 +757,44 @@ ORACLES["cramers_v"] = with_ctes(
     ),
 )
 
+_detectable = (*AUDIT_FEATURES, "first_issue_quarter", "treatment_flg", "target")
+ORACLES["cramers_v_detected"] = with_ctes(
+    "SELECT feature_1, feature_2, "
+    + r(
+        "CASE WHEN least(kc, rc) - 1 > 0 THEN sqrt(greatest(0, phi2 - (k - 1) * (r - 1) / (n - 1))"
+        " / (least(kc, rc) - 1)) END"
+    )
+    + " AS v_cramer FROM (SELECT *, r - (r - 1) * (r - 1) / (n - 1) AS rc, "
+    "k - (k - 1) * (k - 1) / (n - 1) AS kc FROM stats) t",
+    "frame",
+    listed=" UNION ALL ".join(
+        f"SELECT client_id, {i} AS place, '{c}' AS feature, CAST({c} AS VARCHAR) AS v, "
+        f"{c in TEXT} AS is_text FROM frame WHERE {c} IS NOT NULL"
+        for i, c in enumerate(_detectable)
+    ),
+    detected=(
+        "SELECT feature FROM listed GROUP BY feature, is_text HAVING CASE WHEN is_text "
+        "THEN count(DISTINCT v) < 100 ELSE bool_and(TRY_CAST(v AS DOUBLE) IN (0, 1)) END"
+    ),
+    kept="SELECT * FROM listed WHERE feature IN (SELECT feature FROM detected)",
+    cells=(
+        "SELECT a.feature AS feature_1, b.feature AS feature_2, a.v AS v1, b.v AS v2, "
+        "CAST(count(*) AS DOUBLE) AS o FROM kept a JOIN kept b ON a.client_id = b.client_id "
+        "AND a.place <= b.place GROUP BY ALL"
+    ),
+    margins=(
+        "SELECT *, sum(o) OVER (PARTITION BY feature_1, feature_2, v1) AS ro, "
+        "sum(o) OVER (PARTITION BY feature_1, feature_2, v2) AS co, "
+        "sum(o) OVER (PARTITION BY feature_1, feature_2) AS n FROM cells"
+    ),
+    stats=(
+        "SELECT feature_1, feature_2, CAST(count(DISTINCT v1) AS DOUBLE) AS r, "
+        "CAST(count(DISTINCT v2) AS DOUBLE) AS k, max(n) AS n, "
+        "(sum((o - ro * co / n) * (o - ro * co / n) / (ro * co / n)) + max(n) "
+        "- sum(ro * co / n)) / max(n) AS phi2 FROM margins GROUP BY feature_1, feature_2"
+    ),
+)
+
 
 def association_ctes(arm: str) -> dict[str, str]:
     """Association of every audit feature with the response, per value of ``arm``."""

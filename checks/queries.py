@@ -327,6 +327,13 @@ def profile_numeric(spark: SparkSession, d: str) -> DataFrame:
     return rounded(Q.profile_numeric(D.purchases(spark, d), PROFILED))
 
 
+@query
+def profile_numeric_clients(spark: SparkSession, d: str) -> DataFrame:
+    people = D.clients(spark, d).drop(P.KEY)
+    numbers = [f.name for f in people.schema.fields if isinstance(f.dataType, T.NumericType)]
+    return rounded(Q.profile_numeric(people, numbers))
+
+
 @query
 def profile_categorical(spark: SparkSession, d: str) -> DataFrame:
     return Q.profile_categorical(D.purchases(spark, d), ("store_id", "product_id"))
@@ -450,6 +457,15 @@ def cramers_v(spark: SparkSession, d: str) -> DataFrame:
     return rounded(L.cramers_v(_audit(spark, d), CRAMER_FEATURES))
 
 
+@query
+def cramers_v_detected(spark: SparkSession, d: str) -> DataFrame:
+    """All columns that the detector finds on the audit frame with its first issue quarter."""
+    frame = materialize(P.audit_features(*_tables(spark, d), extra=("first_issue_quarter",)))
+    names = Q.categorical_columns(frame, [c for c in frame.columns if c != P.KEY])
+    pairs = rounded(L.cramers_v(frame, names))
+    return pairs.orderBy(F.col("v_cramer").desc_nulls_last(), "feature_1", "feature_2")
+
+
 @query
 def association(spark: SparkSession, d: str) -> DataFrame:
     skip = ("client_id", "treatment_flg")

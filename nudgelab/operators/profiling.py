@@ -111,6 +111,12 @@ def profile_distinct(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     )
 
 
+def categorical_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """The columns that ``profile_distinct`` counts as categorical, in their order."""
+    found = profile_distinct(df, columns).where("is_categorical = 1").select("column").collect()
+    return [c for c in columns or df.columns if c in {r["column"] for r in found}]
+
+
 def histogram(
     df: DataFrame, value: str, bins: int, low: float | None = None, high: float | None = None
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,12 +113,14 @@ def client_features(
     return S.sanitize_numerics(frame, exclude=(KEY, *LABELS), na_fill=na_fill)
 
 
-def audit_features(clients: DataFrame, campaign: DataFrame, purchases: DataFrame) -> DataFrame:
-    """Labelled frame of the experiment audit."""
+def audit_features(
+    clients: DataFrame, campaign: DataFrame, purchases: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Labelled frame of the experiment audit; ``extra`` names further columns to keep."""
     labelled = C.labelled_clients(clients, campaign)
     frame = with_client_columns(labelled, behaviour(purchases))
     return S.sanitize_numerics(
-        frame.select(KEY, *AUDIT_FEATURES, *LABELS), exclude=(KEY, *LABELS)
+        frame.select(KEY, *AUDIT_FEATURES, *extra, *LABELS), exclude=(KEY, *LABELS)
     )
 
 

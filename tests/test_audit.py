@@ -7,6 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from nudgelab.operators import association as L
 from nudgelab.operators import experiment as E
 from nudgelab.operators import profiling as Q
@@ -118,3 +119,16 @@ def test_segments_leave_out_null_keys(spark):
     assert set(got) == {"F", "M"}
     assert got["F"]["count"] == 2 and got["F"]["median"] == 20.0
     assert got["M"]["count"] == 0 and got["M"]["median"] is None
+
+
+def test_detector_feeds_cramers_v_with_the_issue_quarter(spark, folder):
+    rows = queries.REGISTRY["cramers_v_detected"](spark, folder).collect()
+    pairs = {frozenset((r["feature_1"], r["feature_2"])) for r in rows}
+    assert frozenset(("first_issue_quarter", "first_transaction_quarter")) in pairs
+    known = queries.REGISTRY["cramers_v"](spark, folder).collect()
+    assert {frozenset((r["feature_1"], r["feature_2"])) for r in known} <= pairs
+
+
+def test_client_numbers_are_profiled(spark, folder):
+    rows = queries.REGISTRY["profile_numeric_clients"](spark, folder).collect()
+    assert [r["column"] for r in rows] == ["age"]
