@@ -702,6 +702,28 @@ def tune_x_learner(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "trial int, in_range boolean, measured boolean")
 
 
+@query
+def tune_t_learner_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The whole search, three families of ten trials, and each family's best on the test rows."""
+    train, test = _parts(spark, d)
+    study = jobs.tune_t_learner(train)
+    rows = [(i, t.family, str(sorted(t.params.items())), t.auuc, t.error) for i, t in enumerate(study.trials)]
+    table = spark.createDataFrame(
+        rows, "trial int, family string, params string, cv_auuc double, error string"
+    )
+    refit = jobs.refit_best(train, test, study).select("model", F.col("auuc").alias("test_auuc"))
+    return table.join(F.broadcast(refit), F.col("family") == F.col("model"), "left").drop("model")
+
+
+@query
+def tune_x_learner_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The whole search: 80 trials with the drawn rounds; the best is marked."""
+    study = jobs.tune_x_learner(_training(spark, d))
+    best = study.best()
+    rows = [(i, str(sorted(t.params.items())), t.auuc, t.error, t is best) for i, t in enumerate(study.trials)]
+    return spark.createDataFrame(rows, "trial int, params string, auuc double, error string, best boolean")
+
+
 @query
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
     found = _comparison(spark, d)

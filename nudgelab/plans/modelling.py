@@ -165,6 +165,13 @@ class Trial:
     error: str | None = None
 
 
+def _tried(family: str, params: dict, measure: Callable[[], float]) -> Trial:
+    try:
+        return Trial(family, params, measure())
+    except (PySparkException, Py4JError) as error:
+        return Trial(family, params, 0.0, str(error))
+
+
 @dataclass
 class Study:
     """All trials of a search."""
@@ -173,10 +180,12 @@ class Study:
 
     def run(self, family: str, params: dict, measure: Callable[[], float]) -> None:
         """Record one trial."""
-        try:
-            self.trials.append(Trial(family, params, measure()))
-        except (PySparkException, Py4JError) as error:
-            self.trials.append(Trial(family, params, 0.0, str(error)))
+        self.trials.append(_tried(family, params, measure))
+
+    def run_all(self, drawn: Sequence[tuple[str, dict, Callable[[], float]]]) -> None:
+        """Record trials in the order they were drawn; they run side by side."""
+        if drawn:
+            self.trials.extend(M.side_by_side([partial(_tried, *trial) for trial in drawn]))
 
     def best(self, family: str | None = None) -> Trial:
         """The trial with the largest AUUC (of one family)."""
@@ -215,18 +224,20 @@ def tune_t_learner(
 ) -> Study:
     """Random search per family by mean cross-validated AUUC.
 
-    Trials run one after another, each fit is distributed. ``overrides`` pins
-    settings of the tree families.
+    All trials run side by side on the same folds, each fit is distributed.
+    ``overrides`` pins settings of the tree families.
     """
     rng, study = random.Random(seed), Study()
     folded = materialize(split.assign_folds(train, folds, seed=seed))
     numbers, texts = M.split_kinds(folded, with_gender=False)
+    drawn = []
     for name in families:
         for _ in range(trials):
             params = FAMILIES[name].draw(rng)
             params |= {k: v for k, v in (overrides or {}).items() if k in params}
             base = FAMILIES[name].build(numbers, texts, params)
-            study.run(name, params, partial(cross_validated_auuc, folded, base, folds))
+            drawn.append((name, params, partial(cross_validated_auuc, folded, base, folds)))
+    study.run_all(drawn)
     return study
 
 
@@ -238,13 +249,15 @@ def tune_x_learner(
     parted = materialize(split.three_way_split(frame))
     train = parted.where("part = 'train'").drop("part")
     held = parted.where("part = 'validation'").drop("part")
+    drawn = []
     for _ in range(trials):
         params = {
             "maxIter": rng.randint(100, 400),
             "maxDepth": rng.randint(4, 7),
             "stepSize": rng.uniform(0.03, 0.2),
         } | (overrides or {})
-        study.run("x_learner", params, partial(_validated_auuc, train, held, params))
+        drawn.append(("x_learner", params, partial(_validated_auuc, train, held, params)))
+    study.run_all(drawn)
     return study
 
 

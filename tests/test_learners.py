@@ -145,3 +145,19 @@ def test_model_queries_give_finite_numbers(spark, folder, name):
     assert rows
     doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     assert all(r[c] is None or math.isfinite(r[c]) for r in rows for c in doubles)
+
+
+def test_whole_searches_draw_every_family_and_trial(spark, folder, monkeypatch):
+    """Without the fits: what is drawn, measured and kept."""
+    from checks import queries
+
+    monkeypatch.setattr(jobs, "cross_validated_auuc", lambda folded, base, folds: 0.25)
+    monkeypatch.setattr(jobs, "_validated_auuc", lambda train, held, params: params["stepSize"])
+    refit = spark.createDataFrame([(f, 0.5) for f in jobs.FAMILIES], "model string, auuc double")
+    monkeypatch.setattr(jobs, "refit_best", lambda train, test, study: refit)
+    rows = queries.REGISTRY["tune_t_learner_whole"](spark, folder).collect()
+    assert sorted(r["family"] for r in rows) == sorted([*jobs.FAMILIES] * 10)
+    assert len({r["params"] for r in rows}) == 30 and {r["test_auuc"] for r in rows} == {0.5}
+    rows = queries.REGISTRY["tune_x_learner_whole"](spark, folder).collect()
+    assert len(rows) == 80 and len({r["params"] for r in rows}) == 80
+    assert [r["auuc"] for r in rows if r["best"]] == [max(r["auuc"] for r in rows)]
