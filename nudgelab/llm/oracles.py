@@ -168,7 +168,52 @@ select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(top,
 from texts left join sizes using (doc_id) left join tops using (doc_id)
 """
 
+_AUDIT = r"""
+with texts as (
+  select d.doc_id, coalesce(d.lang, '') as part, coalesce(d.text, '') as t,
+    regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') as w,
+    exists (select 1 from labels l where l.doc_id = d.doc_id and l.quality = 1) as good,
+    exists (select 1 from labels l where l.doc_id = d.doc_id and l.toxic = 1) as toxic
+  from documents d),
+failed as (
+  select part, good, toxic, [
+    len(w) < 200,
+    100 * len(list_distinct(w)) < 50 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) over (partition by t), false)] as fails
+  from texts),
+cells as (
+  select part, fails, count(*) as n, count(*) filter (good) as n_good, count(*) filter (toxic) as n_toxic
+  from failed group by part, fails),
+letters as (select unnest([1, 2, 3, 4, 5]) as x),
+orders as (
+  select [a.x, b.x, c.x, d.x, e.x] as o,
+    array_to_string(list_transform([a.x, b.x, c.x, d.x, e.x], lambda i: 'ABCDE'[i]), '') as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (
+  select part, filter_order, s.x as step, o[s.x] as letter, n, n_good, n_toxic,
+    fails[o[s.x]] as fails,
+    len(list_filter(o[1:s.x - 1], lambda i: fails[i])) > 0 as gone,
+    len(list_filter(fails, lambda f: f)) as n_failed
+  from cells, orders, letters s),
+summed as (
+  select part, filter_order, step, letter,
+    coalesce(sum(n) filter (not fails and not gone), 0)::bigint as kept,
+    coalesce(sum(n) filter (fails and not gone), 0)::bigint as removed,
+    coalesce(sum(n) filter (fails and gone), 0)::bigint as redundant,
+    coalesce(sum(n) filter (fails and n_failed = 1), 0)::bigint as unique_fails,
+    coalesce(sum(n_good) filter (fails and not gone), 0)::bigint as good_lost,
+    coalesce(sum(n_toxic) filter (fails and not gone), 0)::bigint as toxic_lost
+  from steps group by part, filter_order, step, letter)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, letter))::bigint as shapley
+from summed
+"""
+
 SQL: dict[str, str] = {
+    "op13_filter_audit": _AUDIT,
     "op5_near_duplicates": _NEAR,
     "op10_quality_rules": _RULES,
     "op7_chat_formatting": _CHAT,

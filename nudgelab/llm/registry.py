@@ -9,12 +9,15 @@ from nudgelab.llm import (
     chat,
     class_ngrams,
     decontamination,
+    filter_audit,
     mixing,
     quality_rules,
     rule_ensemble,
     sharding,
+    simhash,
     token_counts,
     toxicity,
+    whitening,
 )
 from nudgelab.llm import near_duplicates as near
 from nudgelab.llm.common import held_out, labelled_sample
@@ -104,11 +107,31 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened coordinates of all embeddings on their first eight principal directions."""
+    return whitening.whitened(table(spark, folder, "embeddings")).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened", "explained", "identity_error",
+    )
+
+
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and their groups at three differing bits."""
+    return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove from all documents at every step of every order, by language."""
+    cells = filter_audit.mask_cells(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(cells).drop("letter")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_token_counts, op3_sharding, op4_class_ngrams, op5_near_duplicates,
         op6_mixing, op7_chat_formatting, op8_quality, op9_decontamination, op10_quality_rules,
+        op11_whitening, op12_simhash, op13_filter_audit,
     )
 }
 
