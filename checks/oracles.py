@@ -353,6 +353,22 @@ ORACLES["latency_stats"] = with_ctes(
     + " FROM log WHERE processing_time > 0",
     "log",
 )
+ORACLES["latency_windows"] = with_ctes(
+    "SELECT window_start, window_end, count(*) AS n, "
+    f"{r('sum(processing_time)')} AS total, {r('avg(processing_time)')} AS mean, "
+    f"{r('min(processing_time)')} AS least, {r('max(processing_time)')} AS most, "
+    + ", ".join(f"{r(f'quantile_disc(processing_time, {p / 100})')} AS p{p}" for p in (50, 95, 99))
+    + " FROM arrived a WHERE window_end <= (SELECT max(ts) - INTERVAL 2 DAY FROM arrived) "
+    "AND coalesce(window_end > (SELECT max(b.ts) - INTERVAL 2 DAY FROM arrived b "
+    "WHERE b.arrival < a.arrival), true) GROUP BY window_start, window_end",
+    "log",
+    arrived=(
+        "SELECT ts, processing_time, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, "
+        "time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, "
+        "least(4, CAST(floor((day(ts) - 1) / 6) AS INTEGER) + CASE WHEN id % 29 = 0 THEN 3 "
+        "WHEN id % 13 = 0 THEN 1 ELSE 0 END) AS arrival FROM log WHERE processing_time > 0"
+    ),
+)
 ORACLES["input_stats"] = with_ctes(
     " UNION ALL ".join(
         f"SELECT '{c}' AS measure, {r(f'coalesce(avg(nullif({c}, 0)), 0)')} AS mean, "

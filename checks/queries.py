@@ -29,7 +29,7 @@ from nudgelab.session import materialize, scratch_path
 from nudgelab.sources import artifacts
 from nudgelab.sources import driver_tables as D
 from nudgelab.sources import files, schemas, scorelog
-from nudgelab.streaming import scoring
+from nudgelab.streaming import latency, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,6 +178,34 @@ def latency_stats(spark: SparkSession, d: str) -> DataFrame:
     return rounded(scorelog.latency_stats(_log(spark, d)))
 
 
+#: Batches in which the request log lands: six days each, every 13th request one batch late and
+#: every 29th three, with a watermark of two days.
+LANDINGS = 5
+ARRIVAL = (
+    "least(4, CAST(floor((day(ts) - 1) / 6) AS INT) "
+    "+ CASE WHEN id % 29 = 0 THEN 3 WHEN id % 13 = 0 THEN 1 ELSE 0 END)"
+)
+
+
+@query
+def latency_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly latency of a log that lands in five parts, out of order and partly too late.
+
+    Each landing is followed by a start of the stream, which goes on from its checkpoint.
+    """
+    landing, target, state = (scratch_path(spark, n) for n in ("landing", "windows", "state"))
+    rows = D.request_log(spark, d).select("id", "ts", "processing_time")
+    arrived = rows.withColumn("arrival", F.expr(ARRIVAL))
+    for part in range(LANDINGS):
+        landed = arrived.where(F.col("arrival") == part).drop("arrival")
+        landed.write.mode("append").parquet(landing)
+        latency.start_windows(spark, landing, target, state, "1 hour", "2 days").awaitTermination()
+    found = latency.readings(latency.read_windows(spark, target))
+    return rounded(found.withColumns({
+        c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")
+    }))
+
+
 @query
 def input_stats(spark: SparkSession, d: str) -> DataFrame:
     return rounded(scorelog.input_stats(_log(spark, d)))
