@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from nudgelab.functions.scalars import column, guarded_div, numeric_columns, text_columns
 from nudgelab.operators.experiment import standardized_difference
+from nudgelab.operators.gram import correlation, pair_sums
+from nudgelab.operators.levels import DENSE_LEVELS, bounded_levels, pair_counts
 from nudgelab.operators.ranking import roc_auc
 from nudgelab.session import materialize
 
@@ -194,53 +197,32 @@ def strongest_changes(compared: DataFrame, k: int = 10) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """Pearson r of every pair i < j over rows where both are known: one pass.
-
-    Each row fans out to its pairs inside the scan stage, and the partial
-    aggregate folds them to one buffer per pair before anything is shuffled.
-    Hundreds of ``corr`` columns in one aggregate would be too wide for
-    generated code.
-    """
-    names = list(features) if features is not None else numeric_columns(df)
-    values = F.array(*(column(c).cast("double") for c in names))
-    left = df.select(values.alias("v")).selectExpr("v", "posexplode(v) AS (i, x)")
-    pairs = left.where("x IS NOT NULL").selectExpr(
-        "i", "x", f"posexplode(slice(v, i + 2, {len(names)})) AS (k, y)"
-    )
-    known = pairs.where("y IS NOT NULL").selectExpr("i", "i + k + 1 AS j", "x", "y")
-    name = F.array(*(F.lit(c) for c in names))
-    found = known.groupBy("i", "j").agg(pearson(F.col("x"), F.col("y")).alias("corr"))
-    grid = (
-        df.sparkSession.range(1)
-        .selectExpr(f"explode(sequence(0, {len(names) - 1})) AS i")
-        .selectExpr("i", f"explode(sequence(0, {len(names) - 1})) AS j")
-        .where("i < j")
-    )
-    return grid.join(F.broadcast(found), ["i", "j"], "left").select(
-        F.get(name, F.col("i")).alias("feature_1"),
-        F.get(name, F.col("j")).alias("feature_2"),
-        "corr",
-    )
+    """Pearson r of every pair i < j over rows where both are known; see :mod:`.gram`."""
+    return _correlations(df, features).where("i < j").drop("i", "j")
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """All ordered pairs, the diagonal included."""
-    names = list(features) if features is not None else numeric_columns(df)
-    upper = correlation_pairs(df, names)
-    lower = upper.select(
-        F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "corr"
-    )
-    spread = df.agg(
-        *(F.expr(f"min(`{c}`) < max(`{c}`)").alias(f"varies_{i}") for i, c in enumerate(names))
-    )
-    diagonal = ", ".join(
-        f"named_struct('feature_1', '{c}', 'feature_2', '{c}', "
-        f"'corr', CASE WHEN varies_{i} THEN 1.0D END)"
-        for i, c in enumerate(names)
-    )
-    return upper.unionByName(lower).unionByName(
-        spread.selectExpr(f"inline(array({diagonal}))")
+    upper = _correlations(df, features)
+    both = F.when(
+        F.col("i") == F.col("j"), F.array(F.struct("feature_1", "feature_2"))
+    ).otherwise(
+        F.array(
+            F.struct("feature_1", "feature_2"),
+            F.struct(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2")),
+        )
     )
+    return upper.select(F.inline(both), "corr")
+
+
+def _correlations(df: DataFrame, features: Sequence[str] | None) -> DataFrame:
+    names = list(features) if features is not None else numeric_columns(df)
+    name = F.array(*(F.lit(c) for c in names))
+    r = F.when((F.col("i") == F.col("j")) & correlation().isNotNull(), 1.0).otherwise(correlation())
+    return pair_sums(df, names).select(
+        "i", "j", F.get(name, F.col("i")).alias("feature_1"), F.get(name, F.col("j")).alias("feature_2"),
+        r.alias("corr"),
+    )
 
 
 def strong_pairs(df: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -253,26 +235,24 @@ def strong_pairs(df: DataFrame, threshold: float = 0.7) -> DataFrame:
 
 
 def cramers_v(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Bias-corrected Cramer's V of every pair i <= j.
+    """Bias-corrected Cramer's V of every pair i <= j, over rows where both are known.
 
-    Rows first collapse to distinct combinations of all listed columns; the
-    pairs are built from that table, so the data is read once.
+    Columns of up to ``DENSE_LEVELS`` levels are coded once and counted in dense arrays, one pass
+    for all pairs; a pair with a longer column is counted by its own grouping.
     """
     names = list(features)
-    combos = df.groupBy(*(F.col(c).cast("string").alias(c) for c in names)).agg(
-        F.count("*").alias("n")
-    )
-    pairs = ", ".join(
-        f"named_struct('feature_1', '{a}', 'feature_2', '{b}', 'v1', `{a}`, 'v2', `{b}`)"
-        for a, b in combinations_with_replacement(names, 2)
-    )
+    levels = bounded_levels(df, names, DENSE_LEVELS + 1)
+    dense = {c: v for c, v in levels.items() if v}
     pair = ["feature_1", "feature_2"]
-    cells = (
-        combos.selectExpr("n", f"inline(array({pairs}))")
-        .where("v1 IS NOT NULL AND v2 IS NOT NULL")
-        .groupBy(*pair, "v1", "v2")
-        .agg(F.sum("n").alias("n"))
-    )
+    tables = [pair_counts(df, dense)] if dense else []
+    for a, b in combinations_with_replacement(names, 2):
+        if levels[a] is None or levels[b] is None:
+            both = df.select(*(column(c).cast("string").alias(v) for c, v in ((a, "v1"), (b, "v2"))))
+            counted = both.dropna().groupBy("v1", "v2").agg(F.count("*").alias("n"))
+            tables.append(counted.select(F.lit(a).alias(pair[0]), F.lit(b).alias(pair[1]), "v1", "v2", "n"))
+    if not tables:
+        return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, v_cramer double")
+    cells = materialize(reduce(DataFrame.unionByName, tables))
     rows = cells.groupBy(*pair, "v1").agg(F.sum("n").alias("row_n"))
     columns = cells.groupBy(*pair, "v2").agg(F.sum("n").alias("column_n"))
     shape = (

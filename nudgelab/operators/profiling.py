@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nudgelab.functions.scalars import column, text_columns
+from nudgelab.operators.levels import bounded_levels
 from nudgelab.operators.quantiles import column_quantiles
 
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 95, 99)
@@ -112,9 +113,21 @@ def profile_distinct(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def categorical_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """The columns that ``profile_distinct`` counts as categorical, in their order."""
-    found = profile_distinct(df, columns).where("is_categorical = 1").select("column").collect()
-    return [c for c in columns or df.columns if c in {r["column"] for r in found}]
+    """The columns that ``profile_distinct`` counts as categorical, in their order.
+
+    Nothing is counted beyond the limit: text columns by bounded sets, numbers by whether a value
+    other than 0 and 1 occurs. A column without values is not categorical.
+    """
+    names = list(columns) if columns is not None else df.columns
+    texts = [c for c in text_columns(df) if c in names]
+    found = {c for c, levels in bounded_levels(df, texts, LOW_CARDINALITY).items() if levels}
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name in names]
+    if numbers:
+        binary = df.agg(*[
+            F.every(column(c).cast("double").isin(0.0, 1.0)).alias(f"c{i}") for i, c in enumerate(numbers)
+        ]).first()
+        found |= {c for c, is_binary in zip(numbers, binary, strict=True) if is_binary}
+    return [c for c in names if c in found]
 
 
 def histogram(
