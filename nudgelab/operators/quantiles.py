@@ -3,22 +3,20 @@
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from collections.abc import Sequence
 from functools import reduce
 from itertools import accumulate
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nudgelab.functions.scalars import column
 from nudgelab.operators.prefix import running_totals
-from nudgelab.session import cut_lineage
+from nudgelab.session import cut_lineage, materialize
 
-SAMPLE_ROWS = 100_000
-BINS = 200
+#: Size of the sketches that enclose a column's quantiles: ranks within 2 / k^0.9 = 0.11 %.
+SKETCH_K = 4096
 # A group with more distinct values than this is not summarised inside one task.
 GROUP_LIMIT = 100_000
 BROADCAST_GROUPS = 500_000
@@ -106,109 +104,160 @@ def by_running_counts(
 
 
 def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: dict[str, float]
+    df: DataFrame, columns: Sequence[str], probabilities: dict[str, float], k: int = SKETCH_K
 ) -> DataFrame:
-    """Quantiles of whole columns, one row per column, without sorting the data.
+    """Exact quantiles of whole columns, one row per column with values, in two reads of ``df``.
 
-    A small sample proposes value ranges; a full count of each range then tells
-    which ranges hold the wanted positions; only values of those ranges are
-    collapsed and ranked. The sample decides how even the ranges are, never
-    the result. What reaches the driver is bounded: one count, at most BINS
-    cut points and at most BINS + 1 range counts per column.
+    The first read makes one mergeable sketch a column, whose ranks enclose every wanted position in
+    a bracket of values. The second counts the rows between the brackets and the values inside
+    them; a position is then picked by count, so no error of the sketch is left in the result. A
+    bracket that misses its position (the sketch's bounds hold with a high probability) is opened
+    and the rows are counted once more. Nulls and NaN are no values.
     """
     names = [f"c{i}" for i in range(len(columns))]
-    doubles = df.select(*(column(c).cast("double").alias(n) for c, n in zip(columns, names)))
-    sizes = doubles.agg(*(F.count(n).alias(n) for n in names)).first()
-    known = [n for n in names if sizes[n] > 0]
-    title = dict(zip(names, columns, strict=True))
-    if not known:
-        schema = ", ".join(["column string", *(f"{p} double" for p in probabilities)])
+    doubles = df.select(
+        *(F.nanvl(column(c).cast("double"), F.lit(None)).alias(n) for c, n in zip(columns, names, strict=True))
+    )
+    ranks, sizes = _sketch_ranks(doubles, names, probabilities, k)
+    title = {n: c for n, c in zip(names, columns, strict=True) if sizes[n] > 0}
+    schema = ", ".join(["column string", *(f"{p} double" for p in probabilities)])
+    if not title:
         return df.sparkSession.createDataFrame([], schema)
+    positions = {
+        n: {p: (sizes[n] - 1) * share for p, share in probabilities.items()} for n in title
+    }
+    brackets = {n: _merged(ranks[n]) for n in title}
+    while True:
+        counted = materialize(_bracket_counts(doubles, brackets))
+        before, inside = _gap_sums(counted, brackets)
+        missed = {
+            n for n, wanted in positions.items()
+            for exact in wanted.values() for at in (math.floor(exact), math.ceil(exact))
+            if _bracket_of(at, before[n], inside[n]) is None
+        }
+        if not missed:
+            break
+        brackets |= {n: [(-math.inf, math.inf)] for n in missed}
+    targets = [
+        (n, c, p, low, high, math.floor(exact) - before[n][low], math.ceil(exact) - before[n][high],
+         exact - math.floor(exact))
+        for n, c in title.items() for p, exact in positions[n].items()
+        for low in [_bracket_of(math.floor(exact), before[n], inside[n])]
+        for high in [_bracket_of(math.ceil(exact), before[n], inside[n])]
+    ]
+    return _picked(counted, targets, max(max(x) for x in inside.values()), list(probabilities))
 
-    cuts = _sampled_cuts(doubles, known, max(sizes[n] for n in known))
-    binned = Bucketizer(
-        splitsArray=[[-math.inf, *cuts[n], math.inf] for n in known],
-        inputCols=known,
-        outputCols=[f"{n}_bin" for n in known],
-        handleInvalid="keep",
-    ).transform(doubles)
-
-    bins = binned.unpivot([], [f"{n}_bin" for n in known], "name", "bin")
-    counted: dict[str, dict[int, int]] = {n: {} for n in known}
-    for row in bins.groupBy("name", "bin").agg(F.count("*").alias("n")).collect():
-        name = row["name"].removesuffix("_bin")
-        # The extra last bin holds nulls.
-        if row["bin"] is not None and int(row["bin"]) <= len(cuts[name]):
-            counted[name][int(row["bin"])] = row["n"]
-
-    targets, kept = [], {}
-    for n in known:
-        kept[n], found = _positions(counted[n], sizes[n], probabilities)
-        targets += [(n, title[n], *t) for t in found]
-    narrowed = binned.select(
-        *(
-            F.when(F.col(f"{n}_bin").isin([float(b) for b in kept[n]]), F.col(n)).alias(n)
-            for n in known
-        )
-    )
-    values = (
-        narrowed.unpivot([], known, "name", "value")
-        .where("value IS NOT NULL")
-        .groupBy("name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = running_totals(values, [F.col("value")], ["n"], ["name"])
-    wanted = df.sparkSession.createDataFrame(
-        targets, "name string, column string, probability string, low long, high long, w double"
-    )
-    run, first = F.col("n_run"), F.col("n_run") - F.col("n")
-    at_low = (first <= F.col("low")) & (F.col("low") < run)
-    at_high = (first <= F.col("high")) & (F.col("high") < run)
-    low, high = F.max(F.when(at_low, F.col("value"))), F.max(F.when(at_high, F.col("value")))
-    picked = (
-        ranked.join(F.broadcast(wanted), "name")
-        .where(at_low | at_high)
-        .groupBy("column", "probability")
-        .agg(
-            F.when(F.max("w") == 0, low)
-            .otherwise(low * (1 - F.max("w")) + high * F.max("w"))
-            .alias("q")
-        )
+
+def _sketch_ranks(
+    doubles: DataFrame, names: Sequence[str], probabilities: dict[str, float], k: int
+) -> tuple[dict[str, list[tuple[float, float]]], dict[str, int]]:
+    """Brackets of values around every wanted position, and the number of values."""
+    error = 2.0 / k**0.9
+    row = doubles.agg(
+        *(F.count(n).alias(f"{n}_n") for n in names),
+        *(F.kll_sketch_agg_double(n, F.lit(k)).alias(n) for n in names),
+    ).first()
+    sizes = {n: row[f"{n}_n"] for n in names}
+    known = [n for n in names if sizes[n]]
+    if not known:
+        return {}, sizes
+    # Ranks depend on the sizes, so they are looked up in a second step, on one row of sketches.
+    table = doubles.sparkSession.createDataFrame(
+        [tuple(row[n] for n in known)], ", ".join(f"{n} binary" for n in known)
     )
-    return picked.groupBy("column").pivot("probability", list(probabilities)).agg(F.max("q"))
-
-
-def _sampled_cuts(doubles: DataFrame, names: Sequence[str], rows: int) -> dict[str, list[float]]:
-    """Increasing cut points per column that split a sample evenly."""
-    grid = [i / BINS for i in range(1, BINS)]
-    sample = doubles
-    if rows > SAMPLE_ROWS:
-        sample = doubles.sample(fraction=SAMPLE_ROWS / rows, seed=17)
-    row = sample.agg(*(F.percentile_approx(n, grid, 10 * BINS).alias(n) for n in names)).first()
-    return {n: sorted({c for c in row[n] or [] if math.isfinite(c)}) or [0.0] for n in names}
-
-
-def _positions(
-    counts: dict[int, int], total: int, probabilities: dict[str, float]
-) -> tuple[list[int], list[tuple[str, int, int, float]]]:
-    """Bins that hold a wanted position, and positions among the rows of those bins alone."""
-    order = sorted(counts)
-    ends = list(accumulate(counts[b] for b in order))
-    spans = {}
-    for name, p in probabilities.items():
-        exact = (total - 1) * p
-        low, high = math.floor(exact), math.ceil(exact)
-        spans[name] = (low, high, exact - low)
-    held = {bisect_right(ends, i) for low, high, _ in spans.values() for i in (low, high)}
-    skipped, before = {}, 0
-    for place, b in enumerate(order):
-        if place in held:
-            skipped[place] = before
+    ends = []
+    for n in known:
+        for share in probabilities.values():
+            exact = (sizes[n] - 1) * share
+            ranks = (math.floor(exact) / sizes[n] - error, (math.ceil(exact) + 1) / sizes[n] + error)
+            ends.append(F.array(*(
+                F.kll_sketch_get_quantile_double(n, F.lit(min(1.0, max(0.0, r)))) for r in ranks
+            )))
+    found = table.select(F.array(*ends)).first()[0]
+    step = len(probabilities)
+    return {
+        n: [(lo, hi) for lo, hi in found[i * step : (i + 1) * step]] for i, n in enumerate(known)
+    }, sizes
+
+
+def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Disjoint brackets in ascending order."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
         else:
-            before += counts[b]
+            out.append((low, high))
+    return out
+
+
+def _bracket_counts(
+    doubles: DataFrame, brackets: dict[str, list[tuple[float, float]]]
+) -> DataFrame:
+    """(name, place, value, n): rows in gap ``place`` (even, no value) or of a bracket's value."""
+    entries = []
+    for n, found in brackets.items():
+        v = F.col(n)
+        place, inside = F.lit(2 * len(found)), F.lit(False)
+        for i, (low, high) in reversed(list(enumerate(found))):
+            place = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(place)
+            inside = F.when(v < low, False).when(v <= high, True).otherwise(inside)
+        entries.append(
+            F.when(v.isNotNull(), F.struct(
+                F.lit(n).alias("name"), place.alias("place"), F.when(inside, v).alias("value")
+            ))
+        )
+    rows = doubles.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+    return rows.groupBy("e.name", "e.place", "e.value").agg(F.count("*").alias("n"))
+
+
+def _gap_sums(
+    counted: DataFrame, brackets: dict[str, list[tuple[float, float]]]
+) -> tuple[dict[str, list[int]], dict[str, list[int]]]:
+    """Rows before each bracket, and in it; one number for each gap and bracket comes back."""
+    sums = {n: [0] * (2 * len(found) + 1) for n, found in brackets.items()}
+    for r in counted.groupBy("name", "place").agg(F.sum("n").alias("n")).collect():
+        sums[r["name"]][r["place"]] = r["n"]
+    before, inside = {}, {}
+    for n, found in sums.items():
+        upto = list(accumulate(found))
+        before[n] = upto[0:-1:2]
+        inside[n] = found[1::2]
+    return before, inside
 
-    def moved(i: int) -> int:
-        return i - skipped[bisect_right(ends, i)]
 
-    found = [(name, moved(low), moved(high), w) for name, (low, high, w) in spans.items()]
-    return [order[place] for place in sorted(held)], found
+def _bracket_of(position: int, before: list[int], inside: list[int]) -> int | None:
+    for i, (first, size) in enumerate(zip(before, inside, strict=True)):
+        if first <= position < first + size:
+            return i
+    return None
+
+
+def _picked(
+    counted: DataFrame, targets: list[tuple], largest: int, probabilities: list[str]
+) -> DataFrame:
+    """The quantile of each target from the ranked values of its brackets."""
+    values = counted.where("value IS NOT NULL").select(
+        F.concat_ws(":", "name", F.floor(F.col("place") / 2)).alias("bracket"), "value", "n"
+    )
+    if largest <= GROUP_LIMIT:
+        upto = Window.partitionBy("bracket").orderBy("value")
+        ranked = values.withColumn("n_run", F.sum("n").over(upto))
+    else:
+        ranked = running_totals(values, [F.col("value")], ["n"], ["bracket"])
+    wanted = counted.sparkSession.createDataFrame(
+        [(f"{n}:{b}", c, p, at, side, w) for n, c, p, low, high, at_low, at_high, w in targets
+         for b, at, side in ((low, at_low, "low"), (high, at_high, "high"))],
+        "bracket string, column string, probability string, at long, side string, w double",
+    )
+    run = F.col("n_run")
+    held = (run - F.col("n") <= F.col("at")) & (F.col("at") < run)
+    of = lambda side: F.max(F.when(F.col("side") == side, F.col("value")))
+    low, high, w = of("low"), of("high"), F.max("w")
+    return (
+        ranked.join(F.broadcast(wanted), "bracket")
+        .where(held)
+        .groupBy("column")
+        .pivot("probability", probabilities)
+        .agg(F.when(w == 0, low).otherwise(low * (1 - w) + high * w))
+    )

@@ -77,24 +77,52 @@ def test_quantiles_match_numpy(spark, by, limit):
             assert row[name] == pytest.approx(np.quantile(values, p), abs=1e-9)
 
 
-@pytest.mark.parametrize("sample", [50, 100_000])
-def test_column_quantiles_do_not_depend_on_the_sample(spark, monkeypatch, sample):
-    """Heavy tails, heavy ties, nulls and a constant column; the sample may be tiny."""
-    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", sample)
+@pytest.mark.parametrize("k", [8, 200, 4096])
+@pytest.mark.parametrize("largest", [10, 100_000])
+def test_column_quantiles_do_not_depend_on_the_sketch(spark, monkeypatch, k, largest):
+    """Heavy tails, heavy ties, nulls, NaN and a constant column; the sketch may be tiny."""
+    monkeypatch.setattr(quantiles, "GROUP_LIMIT", largest)
     rng = random.Random(8)
     rows = [
-        (rng.lognormvariate(0, 4), 50.0 if rng.random() < 0.4 else float(rng.randrange(9)),
+        (rng.lognormvariate(0, 4) if i else float("nan"), 50.0 if rng.random() < 0.4 else float(rng.randrange(9)),
          None if i % 3 else float(i), 7, None)
         for i in range(3000)
     ]
     schema = "`a.b` double, ties double, gaps double, same int, none double"
     df = spark.createDataFrame(rows, schema).repartition(5)
     probabilities = {"p0": 0.0, "p1": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
-    got = {r["column"]: r for r in column_quantiles(df, df.columns, probabilities).collect()}
+    got = {r["column"]: r for r in column_quantiles(df, df.columns, probabilities, k).collect()}
     assert set(got) == {"a.b", "ties", "gaps", "same"}
     for i, name in enumerate(df.columns[:4]):
-        values = [r[i] for r in rows if r[i] is not None]
+        values = [r[i] for r in rows if r[i] is not None and r[i] == r[i]]
         for q, p in probabilities.items():
             assert got[name][q] == pytest.approx(np.quantile(values, p), rel=1e-12)
     empty = column_quantiles(df.select("none"), ["none"], probabilities)
     assert empty.columns == ["column", *probabilities] and empty.count() == 0
+
+
+def test_a_bracket_that_misses_is_opened(spark, monkeypatch):
+    """Brackets put next to the wanted positions: one more count, the same result."""
+    df = spark.range(1000).selectExpr("double(id) v")
+    real = quantiles._sketch_ranks
+    monkeypatch.setattr(
+        quantiles, "_sketch_ranks", lambda *a: ({"c0": [(900.0, 910.0)]}, real(*a)[1])
+    )
+    row = column_quantiles(df, ["v"], {"p50": 0.5, "p90": 0.905}).first()
+    assert (row["p50"], row["p90"]) == pytest.approx((499.5, 904.095))
+
+
+def test_two_reads_whatever_the_columns(spark, tmp_path):
+    """The input is scanned by two jobs only, one for the sketches and one for the counts."""
+    path = str(tmp_path / "t")
+    spark.range(5000).selectExpr(*[f"double(hash(id, {i})) c{i}" for i in range(6)]).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        reads.add(1)
+        yield from batches
+
+    table = spark.read.parquet(path).coalesce(1)
+    seen = table.mapInArrow(passed, table.schema)
+    assert column_quantiles(seen, table.columns, {"p10": 0.1, "p50": 0.5, "p99": 0.99}).count() == 6
+    assert reads.value == 2
