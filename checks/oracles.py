@@ -1103,28 +1103,18 @@ ORACLES["uplift_by_segment"] = with_ctes(
 
 
 def _split(strata: str, borders: dict[str, str], last: str, out: str) -> str:
-    """Cut the hash buckets of each stratum at the given cumulative shares."""
-    cuts = ", ".join(
-        f"max(bucket) FILTER (run <= total * {share} + 0.5) AS cut_{i}"
-        for i, share in enumerate(borders.values())
-    )
+    """The first rows of each stratum by hash and key, up to the given cumulative shares."""
     label = " ".join(
-        f"WHEN bucket <= cut_{i} THEN {name}" for i, name in enumerate(borders)
+        f"WHEN place <= floor(total * {share} + 0.5) THEN {name}" for name, share in borders.items()
     )
     return with_ctes(
-        f"SELECT client_id, treatment_flg, target, CASE {label} ELSE {last} END AS {out} "
-        "FROM tagged JOIN cuts USING (stratum)",
+        f"SELECT client_id, treatment_flg, target, CASE {label} ELSE {last} END AS {out} FROM placed",
         "campaign",
-        tagged=(
-            f"SELECT *, {strata} AS stratum, "
-            "substr(md5('42:' || CAST(client_id AS VARCHAR)), 1, 4) AS bucket FROM campaign"
-        ),
-        filled=(
-            "SELECT stratum, bucket, sum(n) OVER (PARTITION BY stratum ORDER BY bucket) AS run, "
-            "sum(n) OVER (PARTITION BY stratum) AS total FROM "
-            "(SELECT stratum, bucket, count(*) AS n FROM tagged GROUP BY ALL) h"
+        placed=(
+            "SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY hash, CAST(client_id AS VARCHAR)) "
+            "AS place, count(*) OVER (PARTITION BY stratum) AS total FROM "
+            f"(SELECT *, {strata} AS stratum, md5('42:' || CAST(client_id AS VARCHAR)) AS hash FROM campaign) h"
         ),
-        cuts=f"SELECT stratum, {cuts} FROM filled GROUP BY stratum",
     )
 
 
@@ -1175,9 +1165,11 @@ ORACLES["model_comparison"] = (
 )
 ORACLES["tune_t_learner"] = (
     "SELECT CAST(i AS INTEGER) AS trial, 'logreg' AS family, true AS in_range, true AS measured, "
-    "true AS refitted FROM range(2) t(i)"
+    "true AS refitted FROM range(10) t(i)"
+)
+ORACLES["tune_x_learner"] = (
+    "SELECT CAST(0 AS INTEGER) AS trial, true AS in_range, true AS measured, true AS refitted"
 )
-ORACLES["tune_x_learner"] = "SELECT CAST(0 AS INTEGER) AS trial, true AS in_range, true AS measured"
 ORACLES["propensity"] = with_ctes(
     "SELECT count(*) AS n, round_even(avg(treatment_flg), 3) AS mean_score, true AS usable, "
     "true AS arms_look_random FROM audit",

@@ -1,4 +1,4 @@
-"""Stratified assignment by a hash of the key: no rows move."""
+"""Stratified assignment with exact part sizes by a hash of the key: no rows move."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_DIGITS = 4
-STRATUM, BUCKET = "_stratum", "_bucket"
+from nudgelab.session import materialize
+
+#: Hex digits of the hash that one counting round looks at, and the rounds before rows are ranked.
+HASH_DIGITS, ROUNDS = 4, 2
+STRATUM, PLACE = "_stratum", "_place"
 
 
 def stratum(*columns: str) -> Column:
@@ -17,10 +20,10 @@ def stratum(*columns: str) -> Column:
     return F.concat_ws("_", *(F.col(c).cast("string") for c in columns))
 
 
-def hash_bucket(key: str, seed: int) -> Column:
-    """One of 65,536 buckets as fixed-length hex text, so text order is number order."""
+def hash_place(key: str, seed: int) -> Column:
+    """The row's place in its stratum: a hash as fixed-length hex text, then the key."""
     text = F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))
-    return F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS)
+    return F.concat(F.md5(text.cast("binary")), F.lit(":"), F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
 def stratified_assign(
@@ -31,40 +34,62 @@ def stratified_assign(
     seed: int = 42,
     out: str = "part",
 ) -> DataFrame:
-    """Label each row with one of ``shares``, keeping the shares inside every stratum.
+    """Label each row with one of ``shares``; a part has round(share * n) rows of every stratum.
 
-    A histogram of hash buckets per stratum (at most 65,536 rows each, whatever
-    the table's size) gives the cut buckets; the rows are then labelled in
-    place against those few cuts. A share is met up to one bucket's rows.
+    Sizes are those of the cumulative shares, rounded half up, so they add up. The rows of a part
+    are those with the smallest hashes of the stratum: the last one is found by counting hashes by
+    their first digits, then the rows of that one bucket by the next digits, and ranking what is
+    left, which is a few rows. Rows are labelled in place. Rows that repeat a key stay together, so
+    a part may exceed its size by such rows.
     """
-    tagged = df.withColumns(
-        {STRATUM: stratum(*strata), BUCKET: hash_bucket(key, seed)}
-    )
-    histogram = tagged.groupBy(STRATUM, BUCKET).agg(F.count("*").alias("n"))
-    group = Window.partitionBy(STRATUM)
-    upto = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = histogram.select(
-        STRATUM, BUCKET, F.sum("n").over(upto).alias("run"), F.sum("n").over(group).alias("total")
-    )
     names = list(shares)
     borders = list(accumulate(shares.values()))[:-1]
-    cuts = filled.groupBy(STRATUM).agg(
-        *(
-            F.max(
-                F.when(F.col("run") <= F.col("total") * F.lit(border) + 0.5, F.col(BUCKET))
-            ).alias(f"cut_{i}")
-            for i, border in enumerate(borders)
-        )
-    )
+    tagged = df.withColumns({STRATUM: stratum(*strata), PLACE: hash_place(key, seed)})
+    last = _last_places(tagged.select(STRATUM, PLACE), borders)
     label = F.lit(names[-1])
     for i in reversed(range(len(borders))):
-        label = F.when(F.col(BUCKET) <= F.col(f"cut_{i}"), F.lit(names[i])).otherwise(label)
-    # As many cut rows as strata (pairs of 0/1 flags).
-    return (
-        tagged.join(F.broadcast(cuts), STRATUM)
-        .withColumn(out, label)
-        .drop(STRATUM, BUCKET, *(f"cut_{i}" for i in range(len(borders))))
+        label = F.when(F.col(PLACE) <= F.col("_last")[i], F.lit(names[i])).otherwise(label)
+    # As many rows as strata (pairs of 0/1 flags).
+    return tagged.join(F.broadcast(last), STRATUM).withColumn(out, label).drop(STRATUM, PLACE, "_last")
+
+
+def _last_places(places: DataFrame, borders: Sequence[float]) -> DataFrame:
+    """(stratum, [last place of the part below each border]); null where the part is empty.
+
+    Each round leaves one bucket for a stratum and border, 65,536 times smaller than the one before.
+    """
+    sizes = places.groupBy(STRATUM).agg(F.count("*").alias("n"))
+    wanted = F.array(*[
+        F.struct(F.lit(i).alias("border"), F.floor(F.col("n") * F.lit(b) + 0.5).alias("rank"))
+        for i, b in enumerate(borders)
+    ]).cast("array<struct<border:int,rank:bigint>>")
+    sought = materialize(
+        sizes.select(STRATUM, F.inline(wanted)).withColumn("prefix", F.lit(""))
     )
+    for done in range(0, HASH_DIGITS * ROUNDS, HASH_DIGITS):
+        digits = done + HASH_DIGITS
+        counts = _inside(places, sought, done).groupBy(
+            STRATUM, "border", "rank", F.substring(PLACE, 1, digits).alias("prefix")
+        ).agg(F.count("*").alias("n"))
+        upto = Window.partitionBy(STRATUM, "border").orderBy("prefix")
+        run = counts.withColumn("run", F.sum("n").over(upto))
+        held = run.where("run >= rank AND run - n < rank")
+        sought = materialize(
+            held.select(STRATUM, "border", (F.col("rank") - F.col("run") + F.col("n")).alias("rank"), "prefix")
+        )
+    rank = F.row_number().over(Window.partitionBy(STRATUM, "border").orderBy(PLACE))
+    found = _inside(places, sought, HASH_DIGITS * ROUNDS).withColumn("place", rank)
+    of = lambda i: F.max(F.when((F.col("border") == i) & (F.col("place") == F.col("rank")), F.col(PLACE)))
+    ends = found.groupBy(STRATUM).agg(F.array(*[of(i) for i in range(len(borders))]).alias("_last"))
+    none = F.array(*[F.lit(None).cast("string") for _ in borders]).cast("array<string>")
+    return sizes.select(STRATUM).join(ends, STRATUM, "left").withColumn("_last", F.coalesce("_last", none))
+
+
+def _inside(places: DataFrame, sought: DataFrame, digits: int) -> DataFrame:
+    """The places that begin with a sought prefix; one row for each stratum and border of it."""
+    listed = sought.withColumnsRenamed({STRATUM: "_of", "prefix": "_begin"})
+    same = (F.col(STRATUM) == F.col("_of")) & (F.substring(PLACE, 1, digits) == F.col("_begin"))
+    return places.join(F.broadcast(listed), same).drop("_of", "_begin")
 
 
 def holdout_split(

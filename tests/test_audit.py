@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from nudgelab.operators import association as L
 from nudgelab.operators import experiment as E
 from nudgelab.operators import profiling as Q
 from nudgelab.operators import segments, split
+from nudgelab.operators.levels import bounded_levels
 
 
 def test_balance_ignores_arm_names(spark):
@@ -132,3 +135,80 @@ def test_detector_feeds_cramers_v_with_the_issue_quarter(spark, folder):
 def test_client_numbers_are_profiled(spark, folder):
     rows = queries.REGISTRY["profile_numeric_clients"](spark, folder).collect()
     assert [r["column"] for r in rows] == ["age"]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_split_sizes_are_exact(spark, monkeypatch, rounds):
+    """Every part has the rounded share of every stratum, however many counting rounds there are."""
+    monkeypatch.setattr(split, "ROUNDS", rounds)
+    df = spark.range(2000).selectExpr(
+        "id client_id", "cast(id % 7 = 0 as int) treatment_flg", "cast(id % 5 < 2 as int) target"
+    ).unionByName(spark.createDataFrame([(5001, 9, 9)], "client_id long, treatment_flg int, target int"))
+    shares = {"test": 0.2, "validation": 0.2, "train": 0.6}
+    got = split.three_way_split(df)
+    assert got.count() == 2001
+    sizes = {(r[0], r[1], r[2]): r[3] for r in
+             got.groupBy("treatment_flg", "target", "part").count().collect()}
+    for t, y in {k[:2] for k in sizes}:
+        n = sum(v for k, v in sizes.items() if k[:2] == (t, y))
+        ends = [int(n * c + 0.5) for c in (0.2, 0.4)] + [n]
+        want = dict(zip(shares, [ends[0], ends[1] - ends[0], n - ends[1]], strict=True))
+        assert {p: sizes.get((t, y, p), 0) for p in shares} == want
+    again = {r[0]: r[1] for r in split.three_way_split(df.repartition(3)).select("client_id", "part").collect()}
+    assert again == {r[0]: r[1] for r in got.select("client_id", "part").collect()}
+
+
+def test_split_of_repeated_keys_and_empty_tables(spark):
+    rows = [(1, 0, 0)] * 30 + [(i, 0, 0) for i in range(2, 50)] + [(None, 0, 0)]
+    df = spark.createDataFrame(rows, "client_id long, treatment_flg int, target int")
+    got = split.holdout_split(df)
+    assert got.count() == len(rows)
+    assert got.where("client_id = 1").select("part").distinct().count() == 1
+    assert split.assign_folds(df.where("false")).count() == 0
+
+
+def test_rows_of_a_split_do_not_move(spark):
+    df = spark.range(100).selectExpr("id client_id", "1 treatment_flg", "0 target")
+    plan = split.holdout_split(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "rightHint=(strategy=broadcast)" in plan
+
+
+def test_pair_sums_know_what_is_missing(spark):
+    """Pairs over their common rows, far from zero, constants inside the common rows included."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(500):
+        x = 1e9 + rng.gauss(0, 1)
+        rows.append((x, x * 2 + rng.gauss(0, 1) if i % 3 else None, 5.0 if i % 3 else float(i), None))
+    df = spark.createDataFrame(rows, "a double, b double, c double, none double").repartition(7)
+    got = {(r["feature_1"], r["feature_2"]): r["corr"] for r in L.correlation_matrix(df).collect()}
+    assert len(got) == 16
+    a, b = np.array([(x, y) for x, y, *_ in rows if y is not None]).T
+    assert got["a", "b"] == got["b", "a"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-9)
+    a, c = np.array([(x, z) for x, _, z, _ in rows]).T
+    assert got["a", "c"] == pytest.approx(np.corrcoef(a, c)[0, 1], abs=1e-9)
+    assert got["b", "c"] is None  # constant where b is known
+    assert got["a", "a"] == 1.0 and got["none", "none"] is None and got["a", "none"] is None
+    plan = L.correlation_pairs(df)._jdf.queryExecution().toString()
+    assert "Generate" not in plan
+
+
+def test_levels_stop_at_the_limit(spark):
+    df = spark.range(1000, numPartitions=5).selectExpr(
+        "concat('k', id) wide", "concat('v', id % 99) most", "concat('v', id % 100) many",
+        "if(id % 2 = 0, 'x', null) gaps", "cast(null as string) none",
+    )
+    got = bounded_levels(df, df.columns, 100)
+    assert got["wide"] is None and got["many"] is None and got["gaps"] == ["x"] and got["none"] == []
+    assert sorted(got["most"]) == sorted(f"v{i}" for i in range(99))
+    assert Q.categorical_columns(df) == ["most", "gaps"]
+
+
+def test_cramers_v_of_long_columns_equals_that_of_coded_ones(spark, monkeypatch):
+    df = spark.range(3000, numPartitions=4).selectExpr(
+        "concat('a', id % 12) a", "if(id % 5 = 0, null, concat('b', hash(id) % 7 + id % 12)) b", "'one' c"
+    )
+    key = lambda rows: {(r[0], r[1]): r[2] and round(r[2], 12) for r in rows.collect()}
+    coded = key(L.cramers_v(df, df.columns))
+    monkeypatch.setattr(L, "DENSE_LEVELS", 5)
+    assert key(L.cramers_v(df, df.columns)) == coded and len(coded) == 6
