@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from nudgelab.operators import clean as C
 from nudgelab.operators import learners as M
+from nudgelab.operators import logistic_grid as grid
 from nudgelab.operators import ranking as R
 from nudgelab.operators import split
 from nudgelab.operators.age import AgeImputer, AgeImputerModel
@@ -149,6 +150,7 @@ FAMILIES: dict[str, Family] = {
             "maxDepth": rng.randint(3, 10),
             "stepSize": _log_uniform(rng, 0.01, 0.3),
             "subsamplingRate": rng.uniform(0.5, 1.0),
+            "featureSubsetStrategy": f"{rng.uniform(0.5, 1.0):.6f}",
         },
         _build_boosted,
     ),
@@ -214,6 +216,35 @@ def cross_validated_auuc(folded: DataFrame, base: Estimator, folds: int) -> floa
     return float(areas.agg(F.avg("auuc").alias("auuc")).first()["auuc"])
 
 
+def grid_auuc(
+    folded: DataFrame, numbers: list[str], texts: list[str], drawn: Sequence[dict], folds: int
+) -> list[float]:
+    """Mean AUUC over the folds of two logistic models, for all settings at once.
+
+    All folds, arms and settings advance in the same passes, and one pass scores every row with the
+    models of the folds that it was not in.
+    """
+    design = grid.Design.of(folded, numbers, texts)
+    subsets = {
+        f"{fold}/{arm}": (F.col("fold") != fold) & (F.col(P.ARM) == arm)
+        for fold in range(folds) for arm in (0, 1)
+    }
+    settings = [grid.Setting(p["c"], p["balanced"]) for p in drawn]
+    model = grid.fit_grid(folded, design, P.RESPONSE, subsets, settings)
+    own = 2 * F.col("fold").cast("int")
+    scored = grid.scored_by(folded, model, [P.KEY, "fold", *P.LABELS], own + 1, own)
+    named = scored.select(
+        P.KEY, F.concat_ws("/", "setting", "fold").alias("model"), F.col("score").alias(M.SCORE), *P.LABELS
+    )
+    areas = R.gain_areas(materialize(named), ["model"])
+    setting = F.split_part("model", F.lit("/"), F.lit(1)).cast("int")
+    means = {
+        r["setting"]: r["auuc"]
+        for r in areas.groupBy(setting.alias("setting")).agg(F.avg("auuc").alias("auuc")).collect()
+    }
+    return [float(means.get(j) or 0.0) for j in range(len(drawn))]
+
+
 def tune_t_learner(
     train: DataFrame,
     families: Sequence[str] = tuple(FAMILIES),
@@ -224,20 +255,26 @@ def tune_t_learner(
 ) -> Study:
     """Random search per family by mean cross-validated AUUC.
 
-    All trials run side by side on the same folds, each fit is distributed.
-    ``overrides`` pins settings of the tree families.
+    The logistic trials are fitted together; the others run side by side on the same folds, each
+    fit distributed. ``overrides`` pins settings of the tree families.
     """
     rng, study = random.Random(seed), Study()
     folded = materialize(split.assign_folds(train, folds, seed=seed))
     numbers, texts = M.split_kinds(folded, with_gender=False)
-    drawn = []
     for name in families:
+        drawn = []
         for _ in range(trials):
             params = FAMILIES[name].draw(rng)
-            params |= {k: v for k, v in (overrides or {}).items() if k in params}
-            base = FAMILIES[name].build(numbers, texts, params)
-            drawn.append((name, params, partial(cross_validated_auuc, folded, base, folds)))
-    study.run_all(drawn)
+            drawn.append(params | {k: v for k, v in (overrides or {}).items() if k in params})
+        if name == "logreg":
+            areas = grid_auuc(folded, numbers, texts, drawn, folds)
+            study.trials += [Trial(name, p, a) for p, a in zip(drawn, areas, strict=True)]
+            continue
+        bases = [FAMILIES[name].build(numbers, texts, p) for p in drawn]
+        study.run_all([
+            (name, p, partial(cross_validated_auuc, folded, base, folds))
+            for p, base in zip(drawn, bases, strict=True)
+        ])
     return study
 
 
@@ -266,6 +303,16 @@ def _validated_auuc(train: DataFrame, held: DataFrame, params: dict) -> float:
     return M.AUUCEvaluator().evaluate(M.scored_columns(model.transform(held), "x_learner"))
 
 
+def refit_x_learner(frame: DataFrame, study: Study) -> DataFrame:
+    """One row: the best setting fitted on train and validation part, AUUC and Qini on the test part."""
+    parted = materialize(split.three_way_split(frame))
+    learned = parted.where("part <> 'test'").drop("part")
+    model = M.x_learner(learned, **study.best().params).fit(learned)
+    scored = materialize(M.scored_columns(model.transform(parted.where("part = 'test'")), "x_learner"))
+    validated = F.lit(study.best().auuc).alias("validation_auuc")
+    return R.gain_areas(scored, ["model"]).select("model", validated, "auuc", "qini")
+
+
 def refit_best(train: DataFrame, test: DataFrame, study: Study) -> DataFrame:
     """Best setting of each family fitted on all training rows: test metrics, best first."""
     numbers, texts = M.split_kinds(train, with_gender=False)
