@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nudgelab.functions.scalars import numeric_columns
+from nudgelab.operators import staged
 from nudgelab.operators.ranking import gain_areas
 from nudgelab.plans.features import ARM, KEY, LABELS, MODEL_FEATURES, RESPONSE
 from nudgelab.session import materialize
@@ -29,7 +30,7 @@ PSEUDO_EFFECT = "pseudo_effect"
 VALIDATION = "is_validation"
 WEIGHT = "class_weight"
 
-# The tuned settings of the reference models.
+# The tuned settings of the reference models, LOGISTIC_C to RESPONSE_TREES.
 LOGISTIC_C = 0.027301853380688412
 LOGISTIC_ITERATIONS = 2000
 LOGISTIC_TOLERANCE = 1e-4
@@ -45,8 +46,6 @@ RESPONSE_TREES = {
 }
 #: Independent fits that run at the same time.
 FITS_AT_ONCE = 4
-#: Rounds without a larger ROC area on the held-out rows that end boosting.
-PATIENCE = 25
 #: Rows of a partition of a tree learner's input.
 PARTITION_ROWS = 50_000
 
@@ -162,84 +161,44 @@ class TreeLearner(Estimator):
     """Trees over indexed features; ``maxBins`` grows with the levels of the text features.
 
     The indexed rows are written once, in partitions of ``PARTITION_ROWS``, since every round of
-    every tree reads them again. With ``patience`` the rows marked ``is_validation`` take no part
-    in the fit: rounds are added until the ROC area on them has not risen for ``patience`` rounds
-    (or ``maxIter`` is reached), and the model keeps the rounds up to its largest area.
+    every tree reads them again. With ``validated`` the rows marked ``is_validation`` take no part
+    in the fit: all ``maxIter`` rounds are grown once, and the model keeps the rounds with the
+    largest ROC area on those rows. ``needs`` names a number that at least one of the kept trees
+    must split on; if no tree does, all rounds stay.
     """
 
     def __init__(
         self, kind: type, numbers: Sequence[str], texts: Sequence[str], label: str,
-        patience: int | None = None, **params,
+        validated: bool = False, needs: str | None = None, **params,
     ) -> None:
         super().__init__()
         self.kind, self.label, self.settings = kind, label, dict(params)
-        self.numbers, self.texts, self.patience = list(numbers), list(texts), patience
+        self.numbers, self.texts = list(numbers), list(texts)
+        self.validated, self.needs = validated, needs
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        learned = dataset
-        if self.patience is not None:
-            learned = dataset.where(~F.col(VALIDATION))
+        learned = dataset.where(~F.col(VALIDATION)) if self.validated else dataset
         prepared = Pipeline(stages=tree_stages(self.numbers, self.texts)).fit(learned)
         levels = max((len(x) for x in _levels(prepared)), default=0)
         bins = max(self.settings.get("maxBins", 64), levels + 2)
         rows = _compact(prepared.transform(learned).select("features", self.label))
-        if self.patience is None:
-            model = self._grow(rows, bins, self.settings.get("maxIter"))
-        else:
+        model = self.kind(labelCol=self.label, **self.settings | {"maxBins": bins}).fit(rows)
+        if self.validated:
             held = dataset.where(F.col(VALIDATION))
             held = _compact(prepared.transform(held).select("features", self.label))
-            model = self._stopped(rows, held, bins)
+            model = self._best_prefix(model, held)
         return PipelineModel([*prepared.stages, model])
 
-    def _grow(self, rows: DataFrame, bins: int, rounds: int | None) -> Model:
-        params = self.settings | {"maxBins": bins} | ({"maxIter": rounds} if rounds else {})
-        return self.kind(labelCol=self.label, **params).fit(rows)
-
-    def _stopped(self, rows: DataFrame, held: DataFrame, bins: int) -> Model:
-        most = self.settings["maxIter"]
-        rounds = min(most, 2 * self.patience)
-        while True:
-            model = self._grow(rows, bins, rounds)
-            areas = auc_by_round(model, held, self.label)
-            best = max(range(len(areas)), key=areas.__getitem__) + 1
-            if rounds == most or rounds - best >= self.patience:
-                break
-            rounds = min(most, 2 * rounds)
-        # The same seed grows the same trees again, as many as are wanted.
-        return model if best == rounds else self._grow(rows, bins, best)
-
-
-def auc_by_round(model: Model, rows: DataFrame, label: str, bins: int = 1000) -> list[float]:
-    """ROC area after each boosting round, from counts over ``bins`` equal score ranges.
-
-    One pass over the rows; at most ``bins`` counts per round come back.
-    """
-    scored = rows.select(F.col(label).alias("label"), "features")
-    for i, tree in enumerate(model.trees):
-        scored = tree.copy().setPredictionCol(f"tree_{i}").transform(scored)
-    steps = F.array(*[F.col(f"tree_{i}") * w for i, w in enumerate(model.treeWeights)])
-    margins = F.aggregate(
-        steps,
-        F.array(F.lit(0.0)),
-        lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)),
-    )
-    rounds = scored.select("label", F.posexplode(margins).alias("round", "margin"))
-    chance = 1 / (1 + F.exp(-2 * F.col("margin")))
-    counts = (
-        rounds.where("round > 0")
-        .groupBy("round", F.floor(chance * bins).alias("bin"))
-        .agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("all"))
-        .collect()
-    )
-    areas = []
-    for i in range(1, len(model.treeWeights) + 1):
-        below = won = ones = 0.0
-        for r in sorted((r for r in counts if r["round"] == i), key=lambda r: r["bin"]):
-            zeros = r["all"] - r["ones"]
-            won += r["ones"] * (below + zeros / 2)
-            below, ones = below + zeros, ones + r["ones"]
-        areas.append(won / (ones * below) if ones and below else 0.5)
-    return areas
+    def _best_prefix(self, model: Model, held: DataFrame) -> Model:
+        path = staged.saved_copy(model)
+        ensemble = staged.read_ensemble(path)
+        least: int | None = 1
+        if self.needs is not None:
+            least = staged.first_split(ensemble, self.numbers.index(self.needs))
+        if least is None:
+            return model
+        best = staged.best_rounds(ensemble, held, self.label, least)
+        return model if best == ensemble.rounds else staged.first_trees(path, best, type(model))
 
 
 def _levels(prepared: PipelineModel) -> list:
@@ -443,15 +402,19 @@ def t_learner(df: DataFrame, with_gender: bool = False) -> TLearner:
 
 
 def s_learner(df: DataFrame, validate: bool = False, **overrides) -> SLearner:
-    """Boosted trees with the arm as a feature; ``validate`` stops early on ``is_validation``."""
+    """Boosted trees with the arm as a feature; ``validate`` keeps the best rounds on ``is_validation``.
+
+    The kept rounds hold a split on the arm: without one every score would be the same, which on
+    few rows the response area alone may well prefer.
+    """
     numbers, texts = split_kinds(df)
-    params = RESPONSE_TREES | {"patience": PATIENCE if validate else None} | overrides
+    params = RESPONSE_TREES | {"validated": validate, "needs": ARM} | overrides
     return SLearner(boosted_classifier([*numbers, ARM], texts, **params))
 
 
 def baseline_learner(df: DataFrame, validate: bool = False, **overrides) -> ResponseLearner:
     """Boosted trees on the response, without the arm."""
-    params = RESPONSE_TREES | {"patience": PATIENCE if validate else None} | overrides
+    params = RESPONSE_TREES | {"validated": validate} | overrides
     return ResponseLearner(boosted_classifier(*split_kinds(df), **params))
 
 

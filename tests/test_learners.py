@@ -12,6 +12,7 @@ import __spark_entry__ as registry
 from nudgelab.operators import importance as I
 from nudgelab.operators import learners as M
 from nudgelab.operators import ranking as R
+from nudgelab.operators import split
 from nudgelab.plans import modelling as jobs
 from nudgelab.session import cut_lineage
 from nudgelab.sources import artifacts
@@ -57,13 +58,13 @@ def test_planted_effect(planted, kind):
 @pytest.mark.parametrize("make", [M.s_learner, M.baseline_learner])
 def test_stopping_keeps_the_best_rounds(planted, make):
     marked = planted.withColumn(M.VALIDATION, F.col("client_id") % 5 == 0)
-    learner = make(marked, validate=True, maxIter=60, maxDepth=3, patience=10)
+    learner = make(marked, validate=True, maxIter=40, maxDepth=3)
     model = learner.fit(marked)
     trees = model.parts["response"].stages[-1].getNumTrees
     scored = model.transform(marked)
     assert scored.select("uplift").distinct().count() > 1
     if make is M.s_learner:  # without the arm one tree says all there is
-        assert 1 < trees <= 60 and young_minus_old(scored) > 0.15
+        assert 1 < trees <= 40 and young_minus_old(scored) > 0.15
 
 
 def test_many_levels_fit(spark, planted):
@@ -147,17 +148,33 @@ def test_model_queries_give_finite_numbers(spark, folder, name):
     assert all(r[c] is None or math.isfinite(r[c]) for r in rows for c in doubles)
 
 
-def test_whole_searches_draw_every_family_and_trial(spark, folder, monkeypatch):
-    """Without the fits: what is drawn, measured and kept."""
-    from checks import queries
-
+def test_whole_searches_draw_every_family_and_trial(planted, monkeypatch):
+    """Without the tree fits: what is drawn, measured and kept."""
     monkeypatch.setattr(jobs, "cross_validated_auuc", lambda folded, base, folds: 0.25)
     monkeypatch.setattr(jobs, "_validated_auuc", lambda train, held, params: params["stepSize"])
-    refit = spark.createDataFrame([(f, 0.5) for f in jobs.FAMILIES], "model string, auuc double")
-    monkeypatch.setattr(jobs, "refit_best", lambda train, test, study: refit)
-    rows = queries.REGISTRY["tune_t_learner_whole"](spark, folder).collect()
-    assert sorted(r["family"] for r in rows) == sorted([*jobs.FAMILIES] * 10)
-    assert len({r["params"] for r in rows}) == 30 and {r["test_auuc"] for r in rows} == {0.5}
-    rows = queries.REGISTRY["tune_x_learner_whole"](spark, folder).collect()
-    assert len(rows) == 80 and len({r["params"] for r in rows}) == 80
-    assert [r["auuc"] for r in rows if r["best"]] == [max(r["auuc"] for r in rows)]
+    study = jobs.tune_t_learner(planted)
+    assert sorted(t.family for t in study.trials) == sorted([*jobs.FAMILIES] * 10)
+    assert len({str(t.params) for t in study.trials}) == 30
+    assert {t.auuc for t in study.trials if t.family != "logreg"} == {0.25}
+    assert all(0.05 < t.auuc < 1 for t in study.trials if t.family == "logreg")
+    study = jobs.tune_x_learner(planted)
+    assert len({str(t.params) for t in study.trials}) == 80
+    assert study.best().auuc == max(t.params["stepSize"] for t in study.trials)
+
+
+def test_trials_fitted_together_measure_like_trials_of_their_own(planted, monkeypatch):
+    monkeypatch.setattr(M, "LOGISTIC_TOLERANCE", 1e-12)
+    folded = split.assign_folds(planted.where("client_id < 900"), 3, seed=1)
+    folded = cut_lineage(folded)
+    numbers, texts = M.split_kinds(folded, with_gender=False)
+    drawn = [{"c": 0.01, "balanced": False}, {"c": 5.0, "balanced": True}]
+    together = jobs.grid_auuc(folded, numbers, texts, drawn, 3)
+    for params, area in zip(drawn, together, strict=True):
+        base = jobs.FAMILIES["logreg"].build(numbers, texts, params)
+        assert area == pytest.approx(jobs.cross_validated_auuc(folded, base, 3), abs=1e-6)
+
+
+def test_final_fit_after_a_search(planted):
+    study = jobs.tune_x_learner(planted, trials=2, overrides={"maxIter": 4, "maxDepth": 3})
+    row = jobs.refit_x_learner(planted, study).first()
+    assert row["validation_auuc"] == study.best().auuc and row["auuc"] > 0.05
