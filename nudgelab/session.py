@@ -58,3 +58,19 @@ def materialize(df: DataFrame) -> DataFrame:
 def slice_count(spark: SparkSession) -> int:
     """Number of range slices for globally ordered work."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table that ``materialize`` wrote for ``df``, which nothing may read any more.
+
+    Only folders below the shared checkpoint folder are removed.
+    """
+    spark = df.sparkSession
+    folders = {posixpath.dirname(f) for f in df.inputFiles()}
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(checkpoint_root(spark)).toUri().getPath()
+    for folder in folders:
+        if not path(folder).toUri().getPath().startswith(root.rstrip("/") + "/"):
+            raise ValueError(f"{folder} is not a table of this library")
+        path(folder).getFileSystem(hadoop).delete(path(folder), True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from nudgelab.operators import clean as C
 from nudgelab.operators import client_aggregates as G
 from nudgelab.plans import features as P
+from nudgelab.session import discard, materialize
 from nudgelab.sources import driver_tables as D
 
 
@@ -78,3 +80,16 @@ def test_one_client_with_most_of_the_log(spark):
     quartiles = G.amount_quantiles(G.transactions(log)).where("client_id = 1").first()
     expected = tx["purchase_sum"].quantile([0.25, 0.5, 0.75]).tolist()
     assert list(quartiles)[1:] == pytest.approx(expected)
+
+
+def test_discarded_tables_are_gone(spark, tmp_path):
+    """Only tables of the library are removed."""
+    table = materialize(spark.range(10))
+    folder = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(folder)
+    discard(table)
+    assert not os.path.exists(folder)
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError, match="not a table"):
+        discard(spark.read.parquet(str(tmp_path / "own")))
+    assert (tmp_path / "own").is_dir()
