@@ -1,7 +1,7 @@
 """Whitening of embedding vectors with distributed block matrices.
 
 1. One pass adds up the integer vectors exactly, dimension by dimension.
-2. A second pass centres the rows and packs them into blocks of ``block_bytes``, numbered without
+2. A second pass centres the rows and packs them into blocks, numbered without
    gaps and written once to the shared folder with the ids of their rows.
 3. The blocks form an MLlib ``BlockMatrix`` A. ``A' * A`` is the scatter matrix; its products are
    cut along the rows, so that no task holds more than ``PANEL_BLOCKS`` blocks of either factor.
@@ -9,7 +9,8 @@
    matrix W projects all rows. Rows take their ids back by block number.
 
 The driver holds the sums, the scatter matrix and, as ``BlockMatrix`` does, one key for each
-block: a table of 100 TB has some ten million blocks of 8 MB, about a gigabyte of keys.
+block. Blocks have 1 MB up to twenty thousand of them, and grow to 32 MB beyond: 100 TB of floats are
+some six million blocks, about half a gigabyte of keys.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from nudgelab.session import materialize
 
 COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
-BLOCK_BYTES = 8_000_000
+#: Blocks of doubles; they grow with the table up to the larger size, to keep their number down.
+BLOCK_BYTES, MOST_BLOCK_BYTES, MANY_BLOCKS = 1_000_000, 32_000_000, 20_000
 #: Blocks of either factor that one product task holds.
 PANEL_BLOCKS = 8
 #: 1024 * c must stay below this for c to have an exact integer form with room for differences.
@@ -48,7 +50,7 @@ _DECIMAL = pa.decimal128(38, 0)
 
 def whitened(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-    components: int = COMPONENTS, block_bytes: int = BLOCK_BYTES,
+    components: int = COMPONENTS, block_bytes: int | None = None,
 ) -> DataFrame:
     """Return (vec_id, component, n, deviation, whitened, explained, identity_error).
 
@@ -77,6 +79,8 @@ def whitened(
     x = F.transform("v", lambda c: F.floor(c.cast("double") * SCALE).cast("long") + SHIFT)
     rows = usable.where(F.size("v") == size).select("vec_id", x.alias("x"))
     sums = _sums(rows)
+    if block_bytes is None:
+        block_bytes = min(MOST_BLOCK_BYTES, max(BLOCK_BYTES, 8 * size * n // MANY_BLOCKS))
     block_rows = max(1, block_bytes // (8 * size))
     packed = rows.coalesce(math.ceil(n / block_rows)).mapInArrow(
         _pack(sums, n, block_rows), _BLOCKS
