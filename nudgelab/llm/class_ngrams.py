@@ -7,27 +7,29 @@ rise. Rarer and unseen words belong to classes of word shapes, the end of a text
 own. Every word's own count enters its emission probability.
 
 Texts are coded once: a block of texts becomes one row with its distinct words and the codes of all
-its words. Words are numbered by their frequency in a distributed table, which a join brings to the
-blocks; bigram counts of all numbers stay distributed in chunks. What travels in a turn is one byte
-for every exchanged word, its class.
+its words. A block's words fall into parts by their 64-bit hash, and one packed row for each block
+and part is shuffled: the task of a part counts its words over all blocks, numbers them by falling
+frequency and answers every block in the block's own order. Bigram counts of all numbers stay
+distributed in chunks. What travels in a turn is one byte for every exchanged word, its class.
+
+Words are told apart by their hash; among V distinct words two share one with probability V^2 / 2^65.
 """
 
 from __future__ import annotations
 
-import gc
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nudgelab.llm.common import as_batch, held_out, id_and_text
-from nudgelab.llm.words import pieces, split
-from nudgelab.session import materialize
+from nudgelab.llm.words import mix, pieces, split, vocabulary_hashes
+from nudgelab.session import discard, materialize
 
 CLASSES = 48
 SHAPES = 32
@@ -37,8 +39,8 @@ LEAST_COUNT = 5
 PARTS, MOST_PARTS = 4, 16
 #: A sweep that raises the log likelihood by less (natural logarithm a training token) is the last.
 LEAST_RISE = 1e-3
-#: Chunks of the bigram table: 64, and more from 64 times so many training tokens.
-CHUNKS, CHUNK_TOKENS = 64, 2_000_000
+#: Parts of the vocabulary, which are the chunks of the bigram table: 64, and more from 128 blocks.
+CHUNKS, CHUNK_BLOCKS = 64, 2
 #: Words that a task exchanges at once, at most.
 AT_ONCE = 256
 BLOCK_BYTES = 12_000_000
@@ -64,25 +66,42 @@ def _words_of(data: bytes) -> pa.Array:
     return pa.array(raw.split(b"\n") if raw else [], pa.binary())
 
 
+def _numbers(values: np.ndarray) -> bytes:
+    """Non-negative or small numbers, packed in as few bytes as they need."""
+    most = int(max(values.max(), -values.min())) if len(values) else 0
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + _pack(values.astype(kind))
+
+
+def _unnumbered(data: bytes) -> np.ndarray:
+    return _unpack(data[1:], np.dtype(f"i{data[0]}")).astype(np.int64)
+
+
 def coded_texts(rows: DataFrame) -> DataFrame:
-    """One row per block of (doc_id, text, train) rows, written to the shared folder."""
+    """One row per block of (doc_id, text, train) rows, written to the shared folder.
+
+    The words of a block are in ascending order of their hash.
+    """
     kinds = [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())),
              ("bounds", pa.binary()), ("codes", pa.binary()), ("words", pa.binary())]
     schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", BLOCK_BYTES):
+        first = TaskContext.get().partitionId() << 32
+        for number, piece in enumerate(pieces(batches, "text", BLOCK_BYTES), first):
             words = split(piece.column("text"))
             if not len(words.codes):
                 words.vocabulary = pa.array([], pa.binary())
-            number = int.from_bytes(os.urandom(8), "little") >> 1
-            joined = np.frombuffer(b"\n".join(words.vocabulary.to_pylist()), np.uint8)
+            order = np.argsort(word_hashes(words.vocabulary), kind="stable")
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order))
+            joined = b"\n".join(words.vocabulary.take(pa.array(order)).to_pylist())
             yield as_batch(
                 {
                     "block": [number], "ids": [piece.column("doc_id").to_pylist()],
                     "train": [piece.column("train").to_pylist()],
-                    "bounds": [_pack(words.bounds.astype(np.int64))],
-                    "codes": [_pack(words.codes.astype(np.int32))], "words": [_pack(joined)],
+                    "bounds": [_numbers(words.bounds)], "codes": [_numbers(place[words.codes])],
+                    "words": [_pack(np.frombuffer(joined, np.uint8))],
                 },
                 schema,
             )
@@ -90,12 +109,16 @@ def coded_texts(rows: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(run, _CODED))
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    return mix(vocabulary_hashes(words))
+
+
 def _blocks(batch: pa.RecordBatch):
-    """(row number, words, codes, bounds, train) of every block of a batch."""
+    """(block, words, codes, bounds, train) of every block of a batch."""
     for i in range(batch.num_rows):
         get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
-        yield (i, _words_of(get("words")), _unpack(get("codes"), np.int32),
-               _unpack(get("bounds"), np.int64), np.array(get("train"), dtype=bool))
+        yield (get("block"), _words_of(get("words")), _unnumbered(get("codes")),
+               _unnumbered(get("bounds")), np.array(get("train"), dtype=bool))
 
 
 def _trained(bounds: np.ndarray, train: np.ndarray) -> np.ndarray:
@@ -113,124 +136,195 @@ def shapes(words: pa.Array) -> np.ndarray:
 
 
 def word_counts(coded: DataFrame) -> DataFrame:
-    """(word, shape, n) of all training words, written to the shared folder."""
-    schema = pa.schema([("word", pa.binary()), ("shape", pa.int64()), ("n", pa.int64())])
+    """(word, n) of all training words; the model itself counts by hash."""
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, words, codes, bounds, train in _blocks(batch):
                 n = np.bincount(codes[_trained(bounds, train)], minlength=len(words))
-                seen = pa.array(np.flatnonzero(n))
-                kept = words.take(seen)
-                yield as_batch({"word": kept, "shape": shapes(kept), "n": n[n > 0]}, schema)
+                kept = words.take(pa.array(np.flatnonzero(n)))
+                yield as_batch({"word": kept, "n": n[n > 0]}, schema)
 
-    rows = coded.select("codes", "bounds", "train", "words").mapInArrow(
-        run, "word binary, shape long, n long"
-    )
-    return materialize(rows.groupBy("word").agg(F.max("shape").alias("shape"), F.sum("n").alias("n")))
+    rows = coded.select("block", "codes", "bounds", "train", "words").mapInArrow(run, "word binary, n long")
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Symbols:
-    """Numbers: exchanged words by falling frequency, then shapes, then the end of a text."""
+    """Numbers: exchanged words, then shapes, then the end of a text.
+
+    A word's number is its rank by falling frequency inside its part, times the number of parts,
+    plus the part. Parts differ a little in size, so the last ranks may belong to no word.
+    """
 
-    def __init__(self, words: int):
-        self.frequent = range(words)
-        self.end = words + SHAPES
+    def __init__(self, sizes: np.ndarray):
+        self.parts = len(sizes)
+        self.words = int(sizes.max(initial=0)) * self.parts
+        ranks, parts = np.divmod(np.arange(self.words), self.parts)
+        self.frequent = np.flatnonzero(ranks < sizes[parts]) if self.words else np.zeros(0, np.int64)
+        self.end = self.words + SHAPES
         self.size = self.end + 1
 
 
-def numbered_words(counts: DataFrame) -> DataFrame:
-    """(word, n, symbol) of the words to exchange, written to the shared folder."""
-    placed = materialize(
-        counts.where(F.col("n") >= LEAST_COUNT)
-        .orderBy(F.desc("n"), "word")
-        .select("word", "n", F.monotonically_increasing_id().alias("at"))
-    )
-    part = F.shiftright("at", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
-    starts, total = [], 0
-    for r in sorted(sizes, key=lambda r: r["part"]):
-        starts.append((r["part"], total))
-        total += r["n"]
-    table = counts.sparkSession.createDataFrame(starts, "part long, start long")
-    return placed.withColumn("part", part).join(F.broadcast(table), "part").select(
-        "word", "n", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("symbol")
-    )
+def part_bounds(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part begins among ascending hashes; parts are equal ranges of the hash."""
+    width = (1 << 64) // parts + 1
+    starts = np.array([min(p * width, (1 << 64) - 1) for p in range(parts)], dtype=np.uint64)
+    return np.append(np.searchsorted(hashes, starts), len(hashes))
 
 
-def _release(df: DataFrame) -> None:
-    """Have Spark drop the shuffle files of finished steps, which stay as long as the driver's garbage."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+_ASKED = "block long, part int, hashes binary, n binary, shapes binary"
+_ANSWERED = "block long, part int, n binary, symbols binary, told binary"
 
 
-def linked_blocks(coded: DataFrame, counts: DataFrame, numbered: DataFrame, symbols: Symbols) -> DataFrame:
-    """The blocks with symbols and training counts in place of words, written to the shared folder."""
-    asking = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("word", pa.binary())])
+def answered_words(coded: DataFrame, parts: int) -> DataFrame:
+    """(block, part, n, symbols): training counts and numbers of a block's words of one part, in
+    the block's order; a number below 0 is -1 less the word's shape. Written to the shared folder.
+
+    A row with block -1 tells of the part: hashes, counts and numbers of its exchanged words, and
+    the counts of the others by shape. A part holds the words of all blocks in one range of hashes.
+    """
+    asking = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("hashes", pa.binary()),
+                        ("n", pa.binary()), ("shapes", pa.binary())])
+    answering = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("n", pa.binary()),
+                           ("symbols", pa.binary()), ("told", pa.binary())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, packed in zip(batch.column("block"), batch.column("words"), strict=True):
-                words = _words_of(packed.as_py())
+            for block, words, codes, bounds, train in _blocks(batch):
+                hashes, kinds = word_hashes(words), shapes(words)
+                n = np.bincount(codes[_trained(bounds, train)], minlength=len(words))
+                cuts = part_bounds(hashes, parts)
+                for p in np.flatnonzero(np.diff(cuts)).tolist():
+                    part = slice(cuts[p], cuts[p + 1])
+                    yield as_batch(
+                        {"block": [block], "part": [p], "hashes": [hashes[part].tobytes()],
+                         "n": [_numbers(n[part])], "shapes": [_numbers(kinds[part])]}, asking,
+                    )
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p, rows in _by_part(batches):
+            blocks = [r["block"] for r in rows]
+            given = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
+            own = np.concatenate([_unnumbered(r["n"]) for r in rows])
+            hashes, at, back = np.unique(np.concatenate(given), return_index=True, return_inverse=True)
+            n = np.bincount(back, weights=own, minlength=len(hashes)).astype(np.int64)
+            kinds = np.concatenate([_unnumbered(r["shapes"]) for r in rows])[at]
+            frequent = np.flatnonzero(n >= LEAST_COUNT)
+            frequent = frequent[np.lexsort((hashes[frequent], -n[frequent]))]
+            symbols = -1 - kinds
+            symbols[frequent] = np.arange(len(frequent)) * parts + p
+            rare = (n > 0) & (n < LEAST_COUNT)
+            told = [
+                hashes[frequent].view(np.int64), n[frequent], symbols[frequent],
+                np.bincount(kinds[rare], weights=n[rare], minlength=SHAPES).astype(np.int64),
+                np.bincount(kinds[rare], minlength=SHAPES),
+            ]
+            yield as_batch(
+                {"block": [-1], "part": [p], "n": [b""], "symbols": [b""], "told": [_pack(np.concatenate(told))]},
+                answering,
+            )
+            start = 0
+            for block, mine in zip(blocks, given, strict=True):
+                own_words = back[start : start + len(mine)]
+                start += len(mine)
                 yield as_batch(
-                    {"block": np.full(len(words), block.as_py()),
-                     "place": np.arange(len(words), dtype=np.int32), "word": words}, asking,
+                    {"block": [block], "part": [p], "n": [_numbers(n[own_words])],
+                     "symbols": [_numbers(symbols[own_words])], "told": [None]}, answering,
                 )
 
-    packed = pa.schema([("block", pa.int64()), ("places", pa.binary()), ("found", pa.binary()),
-                        ("symbols", pa.binary())])
+    asked = coded.select("block", "codes", "bounds", "train", "words").mapInArrow(ask, _ASKED)
+    dealt = asked.repartition(parts, "part").sortWithinPartitions("part")
+    return materialize(dealt.mapInArrow(answer, _ANSWERED))
+
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """The rows of each part, from batches that are sorted by it."""
+    part, held = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["part"] != part:
+                yield part, held
+                held = []
+            part = row["part"]
+            held.append(row)
+    if held:
+        yield part, held
+
+
+def _told(data: bytes) -> tuple[np.ndarray, ...]:
+    """Hashes, counts and numbers of a part's exchanged words; counts and words of the rare shapes."""
+    values = _unpack(data, np.int64)
+    words, rare = values[: len(values) - 2 * SHAPES], values[len(values) - 2 * SHAPES :]
+    return *words.reshape(3, -1), rare[:SHAPES], rare[SHAPES:]
+
+
+def numbered_words(answers: DataFrame) -> DataFrame:
+    """(hash, n, symbol) of the words to exchange."""
+    schema = pa.schema([("hash", pa.int64()), ("n", pa.int64()), ("symbol", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            if not len(block):
-                continue
-            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1), len(block)]
-            place, n, symbol = (batch.column(c).to_numpy() for c in ("place", "n", "symbol"))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield as_batch({"block": [block[a]], "places": [_pack(place[a:b])], "found": [_pack(n[a:b])],
-                                "symbols": [_pack(symbol[a:b])]}, packed)
+            for told in batch.column("told"):
+                hashes, n, symbol, _, _ = _told(told.as_py())
+                yield as_batch({"hash": hashes, "n": n, "symbol": symbol}, schema)
 
+    return answers.where("block = -1").select("told").mapInArrow(run, "hash long, n long, symbol long")
+
+
+def part_totals(answers: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Exchanged words of every part, counts and words of the rare shapes, and all counts.
+
+    One short row for each part comes to the driver.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, told in zip(batch.column("part"), batch.column("told"), strict=True):
+                _, n, _, rare, kinds = _told(told.as_py())
+                short = np.concatenate([[len(n), n.sum() + rare.sum()], rare, kinds])
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part.as_py()], pa.int32()), "sums": [_pack(short)]})
+
+    rows = answers.where("block = -1").select("part", "told").mapInArrow(run, "part int, sums binary").collect()
+    table = np.zeros((parts, 2 + 2 * SHAPES), dtype=np.int64)
+    for r in rows:
+        table[r["part"]] = _unpack(bytes(r["sums"]), np.int64)
+    return table[:, 0], table[:, 2 : 2 + SHAPES].sum(axis=0), table[:, 2 + SHAPES :].sum(axis=0), int(table[:, 1].sum())
+
+
+def linked_blocks(coded: DataFrame, answers: DataFrame, symbols: Symbols) -> DataFrame:
+    """The blocks with symbols and training counts in place of words, written to the shared folder."""
     linking = pa.schema([("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("bounds", pa.binary()),
                          ("codes", pa.binary()), ("own", pa.binary()), ("n", pa.binary())])
-    first = len(symbols.frequent)
+    first = symbols.words
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
-                words = _words_of(get("words"))
-                own, n = first + shapes(words), np.zeros(len(words), dtype=np.int64)
-                for places, found, symbol in zip(
-                    get("places") or (), get("found") or (), get("symbols") or (), strict=True
-                ):
-                    places, symbol = _unpack(places, np.int32), _unpack(symbol, np.int64)
-                    n[places] = _unpack(found, np.int64)
-                    own[places[symbol >= 0]] = symbol[symbol >= 0]
+                found = sorted(get("found") or (), key=lambda r: r["part"])
+                none = [np.zeros(0, np.int64)]
+                own = np.concatenate(none + [_unnumbered(r["symbols"]) for r in found])
+                n = np.concatenate(none + [_unnumbered(r["n"]) for r in found])
+                own = np.where(own < 0, first - 1 - own, own)
                 yield as_batch(
                     {"ids": [get("ids")], "train": [get("train")], "bounds": [get("bounds")],
-                     "codes": [get("codes")], "own": [_pack(own)], "n": [_pack(n)]}, linking,
+                     "codes": [get("codes")], "own": [_numbers(own)], "n": [_numbers(n)]}, linking,
                 )
 
-    known = counts.select("word", "n").join(numbered.select("word", "symbol"), "word", "left")
-    asked = coded.select("block", "words").mapInArrow(ask, "block long, place int, word binary")
-    answered = asked.join(known.fillna(-1, ["symbol"]), "word").select("block", "place", "n", "symbol")
-    rows = answered.repartition("block").sortWithinPartitions("block")
-    found = rows.mapInArrow(pack, "block long, places binary, found binary, symbols binary")
-    parts = F.collect_list(F.struct("places", "found", "symbols")).alias("parts")
-    found = found.groupBy("block").agg(parts).select(
-        "block", "parts.places", "parts.found", "parts.symbols"
+    found = answers.where("block >= 0").groupBy("block").agg(
+        F.collect_list(F.struct("part", "n", "symbols")).alias("found")
     )
     kinds = "ids array<long>, train array<boolean>, bounds binary, codes binary, own binary, n binary"
-    return materialize(coded.join(found, "block", "left").mapInArrow(link, kinds))
+    rows = coded.drop("words").join(found, "block", "left").drop("block")
+    return materialize(rows.mapInArrow(link, kinds))
 
 
 def _linked(batch: pa.RecordBatch):
     """(row number, symbols, counts, codes, bounds, train) of every linked block of a batch."""
     for i in range(batch.num_rows):
-        get = lambda c, kind: _unpack(batch.column(c)[i].as_py(), kind)  # noqa: B023, E731
-        yield (i, get("own", np.int64), get("n", np.int64), get("codes", np.int32),
-               get("bounds", np.int64), np.array(batch.column("train")[i].as_py(), dtype=bool))
+        get = lambda c: _unnumbered(batch.column(c)[i].as_py())  # noqa: B023, E731
+        yield (i, get("own"), get("n"), get("codes"), get("bounds"),
+               np.array(batch.column("train")[i].as_py(), dtype=bool))
 
 
 def chain(symbols: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
@@ -242,69 +336,103 @@ def chain(symbols: np.ndarray, bounds: np.ndarray, end: int) -> np.ndarray:
     return out
 
 
+_SIDES = ("after", "before")
+_CHUNK = "chunk int, " + ", ".join(f"{s}_{c} binary" for s in _SIDES for c in ("sizes", "others", "counts"))
+
+
+def _packed_cells(cells: np.ndarray, counts: np.ndarray, chunk: int, size: int, chunks: int) -> list[bytes]:
+    """Ascending cells (own symbol * size + other) of one chunk: cells of each own symbol, their
+    other symbols as differences, and their counts."""
+    own = np.arange(chunk, size, chunks)
+    sizes = np.diff(np.append(np.searchsorted(cells, own * size), len(cells)))
+    others = cells - np.repeat(own * size, sizes)
+    return [_numbers(sizes), _numbers(np.diff(others, prepend=0)), _numbers(counts)]
+
+
+def _cells(sizes: bytes, others: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_packed_cells`` packed, with the other symbols themselves."""
+    return _unnumbered(sizes), np.cumsum(_unnumbered(others)), _unnumbered(counts)
+
+
+def _sides(batch: pa.RecordBatch, row: int, sides: tuple[str, ...] = _SIDES) -> list[tuple]:
+    get = lambda c: batch.column(c)[row].as_py()
+    return [_cells(*(get(f"{s}_{c}") for c in ("sizes", "others", "counts"))) for s in sides]
+
+
 def bigram_table(linked: DataFrame, symbols: Symbols, chunks: int = CHUNKS) -> DataFrame:
-    """(chunk, after, before): training bigrams by their first and by their second symbol.
+    """Training bigrams: a row for each chunk with its cells by first and by second symbol.
 
-    A row's cells are packed (own symbol * size + other symbol, count) pairs in ascending order.
-    Blocks are counted first, and the counts of a chunk are merged as they come.
+    A chunk holds every ``chunks``-th symbol. Blocks are counted first, and the counts of a chunk
+    are merged as they come.
     """
     size = symbols.size
-    schema = pa.schema([("chunk", pa.int32()), ("side", pa.int32()), ("cells", pa.binary()),
-                        ("counts", pa.binary())])
+    parting = pa.schema([("chunk", pa.int32()), ("side", pa.int32()), ("sizes", pa.binary()),
+                         ("others", pa.binary()), ("counts", pa.binary())])
+    schema = pa.schema([("chunk", pa.int32()), *[(f"{s}_{c}", pa.binary()) for s in _SIDES
+                                                 for c in ("sizes", "others", "counts")]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, own_of, _, codes, bounds, train in _linked(batch):
-                kept = _trained(bounds, train)
-                ends = np.concatenate([[0], np.cumsum(np.diff(bounds)[train])])
                 if not train.any():
                     continue
+                kept = _trained(bounds, train)
+                ends = np.concatenate([[0], np.cumsum(np.diff(bounds)[train])])
                 row = chain(own_of[codes[kept]], ends, symbols.end)
                 for side, (own, other) in enumerate(((row[:-1], row[1:]), (row[1:], row[:-1]))):
-                    cells, counts = np.unique(own * size + other, return_counts=True)
-                    part = (cells // size) % chunks
-                    order = np.argsort(part, kind="stable")
-                    cuts = np.searchsorted(part[order], np.arange(chunks + 1))
+                    # The chunk in front, so that one sort orders cells by chunk, own and other symbol.
+                    number = (own % chunks) * (size // chunks + 1) + own // chunks
+                    cells, counts = np.unique(number * size + other, return_counts=True)
+                    place, others = np.divmod(cells, size)
+                    part, rank = np.divmod(place, size // chunks + 1)
+                    cuts = np.searchsorted(part, np.arange(chunks + 1))
+                    cells = (rank * chunks + part) * size + others
                     for c in np.flatnonzero(np.diff(cuts)).tolist():
-                        mine = order[cuts[c] : cuts[c + 1]]
+                        mine = slice(cuts[c], cuts[c + 1])
+                        packed = _packed_cells(cells[mine], counts[mine], c, size, chunks)
+                        names = ("sizes", "others", "counts")
                         yield as_batch(
-                            {"chunk": [c], "side": [side], "cells": [_pack(np.diff(cells[mine], prepend=0))],
-                             "counts": [_pack(counts[mine].astype(np.int32))]}, schema,
-                        )
+                            {"chunk": [c], "side": [side]} | {k: [v] for k, v in zip(names, packed, strict=True)},
+                            parting,
+                        )
+
+    def add(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cells = np.concatenate([c for c, _ in parts])
+        counts = np.concatenate([n for _, n in parts])
+        order = np.argsort(cells, kind="stable")
+        cells, counts = cells[order], counts[order]
+        heads = np.flatnonzero(np.diff(cells, prepend=-1))
+        return cells[heads], np.add.reduceat(counts, heads)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], list] = {}
+        chunk: int | None = None
+        held: tuple[list, list] = ([], [])
 
-        def add(parts: list) -> tuple[np.ndarray, np.ndarray]:
-            cells = np.concatenate([c for c, _ in parts])
-            counts = np.concatenate([n for _, n in parts])
-            found, at = np.unique(cells, return_inverse=True)
-            return found, np.bincount(at, weights=counts, minlength=len(found)).astype(np.int64)
+        def whole() -> pa.RecordBatch:
+            packed = [x for parts in held for x in _packed_cells(*add(parts), chunk, size, chunks)]
+            return as_batch({"chunk": [chunk]} | {f.name: [x] for f, x in zip(list(schema)[1:], packed, strict=True)}, schema)
 
         for batch in batches:
             for i in range(batch.num_rows):
-                key = (batch.column("chunk")[i].as_py(), batch.column("side")[i].as_py())
-                cells = np.cumsum(_unpack(batch.column("cells")[i].as_py(), np.int64))
-                counts = _unpack(batch.column("counts")[i].as_py(), np.int32).astype(np.int64)
-                parts = held.setdefault(key, [])
-                parts.append((cells, counts))
-                if len(parts) > 1 and sum(len(c) for c, _ in parts[1:]) > len(parts[0][0]):
-                    held[key] = [add(parts)]
-        for (c, side), parts in held.items():
-            cells, counts = add(parts)
-            yield as_batch({"chunk": [c], "side": [side], "cells": [_pack(cells)],
-                            "counts": [_pack(counts)]}, schema)
-
-    kinds = "chunk int, side int, cells binary, counts binary"
+                get = lambda c: batch.column(c)[i].as_py()  # noqa: B023, E731
+                if chunk is not None and get("chunk") != chunk:
+                    yield whole()
+                    held = ([], [])
+                chunk = get("chunk")
+                sizes, others, counts = _cells(get("sizes"), get("others"), get("counts"))
+                parts = held[get("side")]
+                parts.append((np.repeat(np.arange(chunk, size, chunks) * size, sizes) + others, counts))
+                if len(parts) > 1 and sum(len(x) for x, _ in parts[1:]) > len(parts[0][0]):
+                    parts[:] = [add(parts)]
+        if chunk is not None:
+            yield whole()
+
+    kinds = "chunk int, side int, sizes binary, others binary, counts binary"
     counted = linked.select("own", "n", "codes", "bounds", "train").mapInArrow(count, kinds)
-    merged = counted.repartition(chunks, "chunk").mapInArrow(merge, kinds)
-    pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    return materialize(
-        merged.groupBy("chunk").agg(
-            pick(0, "cells").alias("after"), pick(0, "counts").alias("after_n"),
-            pick(1, "cells").alias("before"), pick(1, "counts").alias("before_n"),
-        )
-    )
+    dealt = counted.repartition(chunks, "chunk").sortWithinPartitions("chunk")
+    return materialize(dealt.mapInArrow(merge, _CHUNK))
 
 
 def _entropy(x: np.ndarray) -> np.ndarray:
@@ -319,16 +447,14 @@ def class_bigrams(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(total * total)
         for batch in batches:
-            for chunk, cells, n in zip(*(batch.column(c) for c in ("chunk", "after", "after_n")), strict=True):
-                cells, n = _unpack(cells.as_py(), np.int64), _unpack(n.as_py(), np.int64)
-                own = np.arange(chunk.as_py(), size, chunks)
-                each = np.diff(np.searchsorted(cells, own * size), append=len(cells))
-                other = cells - np.repeat(own * size, each)
-                pair = np.repeat(classes[own].astype(np.int64) * total, each) + classes[other]
-                sums += np.bincount(pair, weights=n, minlength=total * total)
+            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+                [(sizes, others, n)] = _sides(batch, i, _SIDES[:1])
+                own = classes[np.arange(chunk, size, chunks)].astype(np.int32) * total
+                sums += np.bincount(np.repeat(own, sizes) + classes[others], weights=n, minlength=total * total)
         yield pa.RecordBatch.from_pydict({"sums": [_pack(sums)]})
 
-    found = table.select("chunk", "after", "after_n").mapInArrow(run, "sums binary").collect()
+    columns = [f"{_SIDES[0]}_{c}" for c in ("sizes", "others", "counts")]
+    found = table.select("chunk", *columns).mapInArrow(run, "sums binary").collect()
     out = np.zeros(total * total)
     for row in found:
         out += _unpack(bytes(row["sums"]), np.float64)
@@ -426,33 +552,30 @@ def best_classes(
 
 
 def _moves(
-    classes: np.ndarray, pairs: np.ndarray, size: int, words: int, total: int, chunks: int, part: int, parts: int
+    classes: np.ndarray, pairs: np.ndarray, words: int, total: int, chunks: int
 ):
-    """New classes of the words of one part of each chunk."""
-
-    def contexts(cells, counts, own):
-        start, stop = np.searchsorted(cells, own * size), np.searchsorted(cells, (own + 1) * size)
-        row = np.repeat(np.arange(len(own)), stop - start)
-        mine = np.arange(len(row)) + np.repeat(start - np.cumsum(stop - start) + (stop - start), stop - start)
-        other, counts = cells[mine] - own[row] * size, counts[mine]
-        loop = other == own[row]
+    """New classes of the words of each chunk, in the order of their ranks."""
+
+    def contexts(own, sizes, others, counts):
+        sizes = sizes[: len(own)]
+        row = np.repeat(np.arange(len(own)), sizes)
+        others, counts = others[: len(row)], counts[: len(row)]
+        loop = others == own[row]
         loops = np.bincount(row[loop], weights=counts[loop], minlength=len(own))
-        flat = row[~loop] * total + classes[other[~loop]]
+        flat = row[~loop] * total + classes[others[~loop]]
         dense = np.bincount(flat, weights=counts[~loop], minlength=len(own) * total)
         found = np.flatnonzero(dense)
         return found // total, found % total, dense[found], loops
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                get = lambda c: _unpack(batch.column(c)[i].as_py(), np.int64)  # noqa: B023, E731
-                chunk = batch.column("chunk")[i].as_py()
+            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
                 own = np.arange(chunk, words, chunks)
-                own = own[(own // chunks) % parts == part]
                 if not len(own):
                     continue
-                *after, loops = contexts(get("after"), get("after_n"), own)
-                *before, _ = contexts(get("before"), get("before_n"), own)
+                behind, front = _sides(batch, i)
+                *after, loops = contexts(own, *behind)
+                *before, _ = contexts(own, *front)
                 mine, held, start = classes[own].astype(np.int64), pairs.copy(), 0
                 # The frequent words one by one, rarer ones in growing batches.
                 while start < len(own):
@@ -481,8 +604,10 @@ class ClassModel:
     """Classes of the exchanged words and all log10 probabilities but the words' own counts."""
 
     symbols: Symbols
+    coded: DataFrame | None
+    """The blocks with their words, if they were kept."""
     numbered: DataFrame
-    """(word, n, symbol) of the exchanged words."""
+    """(hash, n, symbol) of the exchanged words."""
     linked: DataFrame
     classes: np.ndarray
     moves: np.ndarray
@@ -493,49 +618,54 @@ class ClassModel:
     train_words: int
     train_texts: int
     history: list[float]
+    sweeps: int
 
     @property
     def frequent_n(self) -> np.ndarray:
-        """Training counts of the exchanged words; all come to the driver."""
-        rows = self.numbered.orderBy("symbol").select("n").collect()
-        return np.array([r["n"] for r in rows], dtype=np.int64)
+        """Training counts by symbol, 0 for numbers without a word; all come to the driver."""
+        out = np.zeros(self.symbols.words, dtype=np.int64)
+        for r in self.numbered.select("symbol", "n").collect():
+            out[r["symbol"]] = r["n"]
+        return out
 
 
-def fit(coded: DataFrame, counts: DataFrame) -> ClassModel:
+def fit(coded: DataFrame, keep: bool = True) -> ClassModel:
     """Cluster the words and estimate the model from the training rows of ``coded``.
 
-    Turns go round the parts of the words; a task exchanges its words against its own copy of the
-    counts. A turn that does not raise the likelihood is taken back, and the next sweep has smaller
-    parts. The last sweep is the first that raises the likelihood by less than ``LEAST_RISE``.
+    Turns go round the quarters of the parts of the vocabulary; a task exchanges the words of one
+    part against its own copy of the counts. A turn that does not raise the likelihood is taken
+    back, and the next sweep has more turns. The last sweep is the first that raises the likelihood
+    by less than ``LEAST_RISE``. Without ``keep`` the coded blocks are removed once they are linked.
     """
-    texts = coded.agg(F.sum(F.expr("size(filter(train, x -> x))"))).first()[0] or 0
-    row = counts.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") >= LEAST_COUNT)
+    row = coded.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.expr("size(filter(train, x -> x))")), F.lit(0))
     ).first()
-    tokens, distinct, words = row[1] + texts, row[0] + (1 if texts else 0), row[2]
-    symbols, total = Symbols(words), CLASSES + SHAPES + 1
-    numbered = numbered_words(counts)
-    linked = linked_blocks(coded, counts, numbered, symbols)
+    texts, chunks = row[1], max(CHUNKS, row[0] // CHUNK_BLOCKS)
+    answers = answered_words(coded, chunks)
+    sizes, rare_n, rare_words, counted = part_totals(answers, chunks)
+    tokens, distinct = counted + texts, int(sizes.sum() + rare_words.sum()) + (1 if texts else 0)
+    symbols, total = Symbols(sizes), CLASSES + SHAPES + 1
+    words = symbols.words
+    linked = linked_blocks(coded, answers, symbols)
+    if not keep:
+        discard(coded)
+    numbered = materialize(numbered_words(answers))
+    discard(answers)
     classes = np.concatenate(
         [np.arange(words) % CLASSES, CLASSES + np.arange(SHAPES + 1)]
     ).astype(np.uint8)
-    _release(coded)
-    chunks = max(CHUNKS, tokens // CHUNK_TOKENS)
     table = bigram_table(linked, symbols, chunks)
-    _release(coded)
     pairs = class_bigrams(table, classes, symbols.size, total, chunks)
-    history, parts = [likelihood(pairs)], PARTS
+    history, parts, sweeps = [likelihood(pairs)], PARTS, 0
     while words:
-        began, undone = history[-1], False
+        began, undone, sweeps = history[-1], False, sweeps + 1
         for part in range(parts):
-            moved = table.mapInArrow(
-                _moves(classes, pairs, symbols.size, words, total, chunks, part, parts),
-                "chunk int, classes binary",
+            moved = table.where(F.col("chunk") % parts == part).mapInArrow(
+                _moves(classes, pairs, words, total, chunks), "chunk int, classes binary"
             ).collect()
             following = classes.copy()
             for r in moved:
-                own = np.arange(r["chunk"], words, chunks)
-                following[own[(own // chunks) % parts == part]] = _unpack(bytes(r["classes"]), np.uint8)
+                following[r["chunk"] : words : chunks] = _unpack(bytes(r["classes"]), np.uint8)
             if np.array_equal(following, classes):
                 continue
             after = class_bigrams(table, following, symbols.size, total, chunks)
@@ -548,27 +678,29 @@ def fit(coded: DataFrame, counts: DataFrame) -> ClassModel:
         if small and (not undone or parts >= MOST_PARTS):
             break
         parts = min(2 * parts, MOST_PARTS) if undone else parts
-    rare = {
-        r["shape"]: (r["n"], r["v"])
-        for r in counts.where(F.col("n") < LEAST_COUNT)
-        .groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
-    }
+    discard(table)
     mass, kinds = np.zeros(total), np.zeros(total)
     mass[:CLASSES] = pairs.sum(axis=0)[:CLASSES]
-    kinds[:CLASSES] = np.bincount(classes[:words], minlength=CLASSES)
-    for shape, (n, v) in rare.items():
-        mass[CLASSES + shape], kinds[CLASSES + shape] = n, v
-    kinds[CLASSES : CLASSES + SHAPES] += 1  # the unseen words of a shape
+    kinds[:CLASSES] = np.bincount(classes[symbols.frequent], minlength=CLASSES)
+    mass[CLASSES : CLASSES + SHAPES] = rare_n
+    kinds[CLASSES : CLASSES + SHAPES] = rare_words + 1  # the unseen words of a shape
     unigrams = (pairs.sum(axis=0) + 1) / (pairs.sum() + total)
     moves = (pairs + BACKOFF * unigrams) / (pairs.sum(axis=1, keepdims=True) + BACKOFF)
     base = np.log10(np.maximum(mass + ADDED * kinds, ADDED))
-    return ClassModel(symbols, numbered, linked, classes, np.log10(moves), base, int(tokens),
-                      int(distinct), int(texts), history)
+    return ClassModel(symbols, coded if keep else None, numbered, linked, classes, np.log10(moves), base,
+                      int(tokens), int(distinct), int(texts), history, sweeps)
 
 
 def class_table(model: ClassModel) -> DataFrame:
-    """(word, class, n) of the exchanged words."""
+    """(word, class, n) of the exchanged words of a model that kept its coded blocks."""
     classes = model.classes
+    spelling = pa.schema([("hash", pa.int64()), ("word", pa.binary())])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("words"):
+                words = _words_of(packed.as_py())
+                yield as_batch({"hash": word_hashes(words).view(np.int64), "word": words}, spelling)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -577,8 +709,11 @@ def class_table(model: ClassModel) -> DataFrame:
                 {"word": batch.column("word"), "class": pa.array(found), "n": batch.column("n")}
             )
 
-    return model.numbered.select(F.col("word").cast("string").alias("word"), "symbol", "n").mapInArrow(
-        run, "word string, class int, n long"
+    spelled = model.coded.select("words").mapInArrow(spell, "hash long, word binary").distinct()
+    return (
+        spelled.join(model.numbered, "hash")
+        .select(F.col("word").cast("string").alias("word"), "symbol", "n")
+        .mapInArrow(run, "word string, class int, n long")
     )
 
 
@@ -639,12 +774,11 @@ def scored(
     rows = id_and_text(docs, id_col, text_col).withColumn(
         "train", ~held_out(F.col("doc_id"), parts, part)
     )
-    coded = coded_texts(rows)
-    counts = word_counts(coded)
-    model = fit(coded, counts)
+    model = fit(coded_texts(rows), keep=False)
     kinds = "doc_id long, n_tokens long, n_known long, base_score double, score double"
     blocks = model.linked.select("ids", "own", "n", "codes", "bounds", "train")
     made = materialize(blocks.mapInArrow(_score_blocks(model), kinds))
+    discard(model.linked)
     held = held_out(F.col("doc_id"), parts, part)
     over = made.where(held).agg(F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).first()
     whole = 10.0 ** (-over["s"] / over["n"]) if over["n"] else None

@@ -379,13 +379,13 @@ def test_model_sums_to_one_and_exchange_helps(spark):
     rows = [(i, " ".join(f"{'ab'[k % 2]}{(i * k + k) % 5}" for k in range(40))) for i in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("train", F.lit(True))
     coded = class_ngrams.coded_texts(docs)
-    model = class_ngrams.fit(coded, class_ngrams.word_counts(coded))
+    model = class_ngrams.fit(coded)
     assert np.allclose((10.0**model.moves).sum(axis=1), 1)
     assert model.history == sorted(model.history)
-    words = len(model.symbols.frequent)
+    words = model.symbols.frequent
     mass = np.zeros(len(model.emission_base))
-    np.add.at(mass, model.classes[:words],
-              (model.frequent_n + class_ngrams.ADDED) / 10.0 ** model.emission_base[model.classes[:words]])
+    np.add.at(mass, model.classes[words],
+              (model.frequent_n[words] + class_ngrams.ADDED) / 10.0 ** model.emission_base[model.classes[words]])
     used = mass > 0
     assert np.allclose(mass[used], 1)
 
@@ -449,7 +449,7 @@ def test_every_word_seen_five_times_is_clustered(spark):
     docs = spark.createDataFrame(fill + rare, "doc_id long, text string").withColumn("train", F.lit(True))
     coded = class_ngrams.coded_texts(docs)
     counts = class_ngrams.word_counts(coded)
-    model = class_ngrams.fit(coded, counts)
+    model = class_ngrams.fit(coded)
     table = {r["word"]: (r["class"], r["n"]) for r in class_ngrams.class_table(model).collect()}
     expected = {r["word"].decode(): r["n"] for r in counts.collect() if r["n"] >= class_ngrams.LEAST_COUNT}
     assert {w: n for w, (_, n) in table.items()} == expected and len(expected) == 207
