@@ -37,8 +37,9 @@ SHAPES = 32
 LEAST_COUNT = 5
 #: Turns of a sweep, each for the words of one part; a sweep with a turn undone doubles them.
 PARTS, MOST_PARTS = 4, 16
-#: A sweep that raises the log likelihood by less (natural logarithm a training token) is the last.
-LEAST_RISE = 1e-3
+#: A sweep that raises the log likelihood by less (natural logarithm a training token) is the last,
+#: if it also moved no more than this share of the words.
+LEAST_RISE, FEW_MOVED = 1e-3, 0.03
 #: Parts of the vocabulary, which are the chunks of the bigram table: 64, and more from 128 blocks.
 CHUNKS, CHUNK_BLOCKS = 64, 2
 #: Words that a task exchanges at once, at most.
@@ -634,8 +635,8 @@ def fit(coded: DataFrame, keep: bool = True) -> ClassModel:
 
     Turns go round the quarters of the parts of the vocabulary; a task exchanges the words of one
     part against its own copy of the counts. A turn that does not raise the likelihood is taken
-    back, and the next sweep has more turns. The last sweep is the first that raises the likelihood
-    by less than ``LEAST_RISE``. Without ``keep`` the coded blocks are removed once they are linked.
+    back, and the next sweep has more turns; from ``MOST_PARTS`` on its moves are tried in halves. The last sweep is the first that raises the likelihood
+    by less than ``LEAST_RISE`` and moves few words. Without ``keep`` the coded blocks are removed once they are linked.
     """
     row = coded.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.expr("size(filter(train, x -> x))")), F.lit(0))
@@ -658,23 +659,30 @@ def fit(coded: DataFrame, keep: bool = True) -> ClassModel:
     pairs = class_bigrams(table, classes, symbols.size, total, chunks)
     history, parts, sweeps = [likelihood(pairs)], PARTS, 0
     while words:
-        began, undone, sweeps = history[-1], False, sweeps + 1
+        began, undone, sweeps, earlier = history[-1], False, sweeps + 1, classes
         for part in range(parts):
             moved = table.where(F.col("chunk") % parts == part).mapInArrow(
                 _moves(classes, pairs, words, total, chunks), "chunk int, classes binary"
             ).collect()
-            following = classes.copy()
-            for r in moved:
-                following[r["chunk"] : words : chunks] = _unpack(bytes(r["classes"]), np.uint8)
-            if np.array_equal(following, classes):
-                continue
-            after = class_bigrams(table, following, symbols.size, total, chunks)
-            if likelihood(after) <= history[-1]:
+            waiting = [moved]
+            while waiting:
+                tried = waiting.pop(0)
+                following = classes.copy()
+                for r in tried:
+                    following[r["chunk"] : words : chunks] = _unpack(bytes(r["classes"]), np.uint8)
+                if np.array_equal(following, classes):
+                    continue
+                after = class_bigrams(table, following, symbols.size, total, chunks)
+                if likelihood(after) > history[-1]:
+                    classes, pairs = following, after
+                    history.append(likelihood(pairs))
+                    continue
                 undone = True
-                continue
-            classes, pairs = following, after
-            history.append(likelihood(pairs))
-        small = history[-1] - began < LEAST_RISE * tokens
+                # With turns as small as they get, the moves are tried in halves.
+                if parts >= MOST_PARTS and len(tried) > 1:
+                    waiting += [tried[::2], tried[1::2]]
+        changed = np.count_nonzero(classes != earlier)
+        small = history[-1] - began < LEAST_RISE * tokens and changed <= FEW_MOVED * sizes.sum()
         if small and (not undone or parts >= MOST_PARTS):
             break
         parts = min(2 * parts, MOST_PARTS) if undone else parts
