@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from nudgelab.session import materialize
 
 ROUNDS = 60
+#: A node with more links than this, and than a ten-thousandth of all, is joined by broadcast.
+MANY, FEW_NODES = 1000, 10_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,8 +19,8 @@ def components(links: DataFrame) -> DataFrame:
     repeat and point either way; self links and links with nulls count for nothing; no links
     give no rows. Each round hangs the neighbours of a node below the smallest of them; the
     table never holds more rows than there are links, and it is written to the shared folder
-    after each round. Minima are combined before they are shuffled, so a node with very many
-    links is no hot group.
+    after each round. Minima are combined before they are shuffled, and nodes with very many links
+    (at most twice ``FEW_NODES`` of them) are joined by broadcast, so none is a hot group.
     """
     high, low = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     stars = materialize(links.where("u <> v").select(high, low).distinct())
@@ -26,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         if not seen[0]:
             break
-        stars = materialize(_small(_large(stars)))
+        stars = materialize(_small(_large(stars, seen[0]), seen[0]))
         now = _mark(stars)
         if now == seen:
             break
@@ -45,15 +47,30 @@ def _mark(stars: DataFrame) -> tuple[int, str]:
     return row[0], str(row[1])
 
 
-def _large(stars: DataFrame) -> DataFrame:
+def _with_least(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """``links`` with ``root`` of their ``u``; ``least`` holds (u, root, n) of every u."""
+    hot = F.broadcast(least.where(F.col("n") > max(MANY, total // FEW_NODES)).drop("n"))
+    rest = links.join(hot.select("u"), "u", "left_anti").join(least.drop("n"), "u")
+    return rest.unionByName(links.join(hot, "u"))
+
+
+def _large(stars: DataFrame, total: int) -> DataFrame:
     both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root"))
+    least = both.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("root"), F.count(F.lit(1)).alias("n")
+    )
     return (
-        both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("root").alias("v"))
+        _with_least(both, least, total)
+        .where("v > u")
+        .select(F.col("v").alias("u"), F.col("root").alias("v"))
     )
 
 
-def _small(stars: DataFrame) -> DataFrame:
-    least = stars.groupBy("u").agg(F.min("v").alias("root"))
+def _small(stars: DataFrame, total: int) -> DataFrame:
+    least = stars.groupBy("u").agg(F.min("v").alias("root"), F.count(F.lit(1)).alias("n"))
     child = F.when(F.col("v") == F.col("root"), F.col("u")).otherwise(F.col("v"))
-    return stars.join(least, "u").select(child.alias("u"), F.col("root").alias("v")).distinct()
+    return (
+        _with_least(stars, least, total)
+        .select(child.alias("u"), F.col("root").alias("v"))
+        .distinct()
+    )

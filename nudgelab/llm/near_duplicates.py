@@ -41,6 +41,7 @@ BLOCK = 1024
 _SKETCHED = "doc_id long, n_shingles long, high long, low long, bands array<long>, signature binary"
 _SETS = "doc_id long, shingles binary"
 _PAIRS = "u long, v long"
+_LIKELY = "block long, us array<long>, vs array<long>, of_us array<long>, of_vs array<long>"
 
 
 def near_duplicates(
@@ -97,26 +98,36 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, all its columns.
 
     Rows with a null id stay. Of rows that repeat an id one stays, the first by a hash of its text.
+    Other columns may have any names.
     """
-    id_col, text_col = settings.get("id_col", "doc_id"), settings.get("text_col", "text")
+    id_col, text_col = settings.pop("id_col", "doc_id"), settings.pop("text_col", "text")
+    # Columns under names of their own, so that none of the input's can clash.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    its_id, its_text = (names[_place(docs, c)] for c in (id_col, text_col))
     fates = (
-        near_duplicates(docs, **settings)
+        near_duplicates(plain, id_col=its_id, text_col=its_text, **settings)
         .where("doc_id is not null")
-        .groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.min("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-        .where("not __kept or __rows > 1")
+        .groupBy("doc_id")
+        .agg(F.min("kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+        .where("not stays or rows > 1")
     )
     fates = materialize(fates)
-    key = F.col(quoted(id_col)).cast("long") == F.col("__id")
-    single = docs.join(fates, key, "left_anti")
-    order = Window.partitionBy(quoted(id_col)).orderBy(F.xxhash64(quoted(text_col)))
+    key = F.col(its_id).cast("long") == F.col("doc_id")
+    single = plain.join(fates, key, "left_anti")
+    order = Window.partitionBy(its_id).orderBy(F.xxhash64(its_text))
     several = (
-        docs.join(fates.where("__kept"), key, "left_semi")
-        .withColumn("__row", F.row_number().over(order))
-        .where("__row = 1")
-        .drop("__row")
+        plain.join(fates.where("stays"), key, "left_semi")
+        .withColumn("row", F.row_number().over(order))
+        .where("row = 1")
+        .drop("row")
     )
-    return single.unionByName(several)
+    return single.unionByName(several).toDF(*docs.columns)
+
+
+def _place(docs: DataFrame, name: str) -> int:
+    """Where a column stands, whatever the case of its name."""
+    return [c.lower() for c in docs.columns].index(name.lower())
 
 
 def _sketch_batches(width: int):
@@ -166,7 +177,7 @@ def _set_batches(width: int):
 
 def _link_heads(docs, heads, given, width, percent, id_col, text_col) -> DataFrame:
     """Components (node, component) of the first documents of all set classes."""
-    bands = heads.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    bands = heads.select("doc_id", "high", "low", "n_shingles", F.explode("bands").alias("band"))
     hubs = (
         bands.groupBy("band")
         .agg(F.min(F.struct("doc_id", "n_shingles")).alias("hub"), F.max("doc_id").alias("last"))
@@ -187,20 +198,13 @@ def _link_heads(docs, heads, given, width, percent, id_col, text_col) -> DataFra
     first = materialize(components(verified(stars, sets, percent).unionByName(given)))
 
     placed = (
-        members.select("band", "doc_id", "n_shingles")
+        members.select("band", "doc_id", "high", "low", "n_shingles")
         .join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
     )
     likely = materialize(_likely_pairs(placed, heads, percent))
-    rest = _block_links(likely, sets, percent)
-    # The second round runs on components of the first.
-    root = first.select(F.col("node"), F.col("component").alias("root"))
-    for side in ("u", "v"):
-        rest = (
-            rest.join(root.withColumnRenamed("node", side), side, "left")
-            .withColumn(side, F.coalesce("root", side))
-            .drop("root")
-        )
+    # The second round links components of the first.
+    rest = _block_links(likely, sets, percent).distinct()
     merged = components(rest).select(F.col("node").alias("root"), F.col("component").alias("top"))
     merged = materialize(merged)
     known = first.select("node", F.col("component").alias("root")).unionByName(
@@ -219,7 +223,8 @@ def _sizes_allow(a, b, percent: int):
 
 
 def _likely_pairs(placed: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """(block, us, vs): likely pairs of one bucket and two components; see the module's step 3."""
+    """(block, us, vs, of_us, of_vs): likely pairs of one bucket and two components, and those
+    components; see the module's step 3."""
     shares = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = (
         shares.groupBy("band")
@@ -235,7 +240,7 @@ def _likely_pairs(placed: DataFrame, heads: DataFrame, percent: int) -> DataFram
     )
     spread = lambda count: F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    kept = ["band", "doc_id", "n_shingles", "component", "minor"]
+    kept = ["band", "doc_id", "high", "low", "n_shingles", "component", "minor"]
     column = found.withColumn("j", spread("columns")).withColumn("i", every("rows"))
     row = (
         found.where("minor").withColumn("i", spread("rows")).withColumn("j", every("columns"))
@@ -244,11 +249,11 @@ def _likely_pairs(placed: DataFrame, heads: DataFrame, percent: int) -> DataFram
         row.select(*kept, "i", "j", F.lit(True).alias("is_row"))
     )
     return (
-        blocks.join(heads.select("doc_id", "bands", "signature"), "doc_id")
+        blocks.join(heads.select("doc_id", "high", "low", "bands", "signature"), ["doc_id", "high", "low"])
         .select(F.xxhash64("band", "i", "j").alias("block"), "is_row", *kept, "bands", "signature")
         .repartition("block")
         .sortWithinPartitions("block")
-        .mapInArrow(_compare_blocks(percent), "block long, us array<long>, vs array<long>")
+        .mapInArrow(_compare_blocks(percent), _LIKELY)
     )
 
 
@@ -274,11 +279,12 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def _compare_blocks(percent: int):
     listed = pa.list_(pa.int64())
-    schema = pa.schema([("block", pa.int64()), ("us", listed), ("vs", listed)])
+    names = ("us", "vs", "of_us", "of_vs")
+    schema = pa.schema([("block", pa.int64()), *[(c, listed) for c in names]])
     size, share = BANDS * ROWS, percent / 100
     least = int(size * (share - SIGMAS * (share * (1 - share) / size) ** 0.5))
 
-    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def compare(table: pa.Table) -> list[np.ndarray]:
         get = {c: table.column(c).to_numpy() for c in
                ("is_row", "minor", "band", "doc_id", "n_shingles", "component")}
         ids, sizes, part = get["doc_id"], get["n_shingles"], get["component"]
@@ -298,26 +304,27 @@ def _compare_blocks(percent: int):
             near = near[~(bands[near, :here] == bands[k, :here]).any(axis=1)]
             agree = (marks[near] == marks[k]).sum(axis=1)
             near, agree = near[agree >= least], agree[agree >= least]
-            us.append(np.full(len(near), ids[k]))
-            vs.append(ids[near])
+            us.append(np.full(len(near), k))
+            vs.append(near)
             agreed.append(agree)
         if not us:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return [np.zeros(0, np.int64)] * 4
         order = np.argsort(-np.concatenate(agreed), kind="stable")
-        return np.concatenate(us)[order], np.concatenate(vs)[order]
+        u, v = np.concatenate(us)[order], np.concatenate(vs)[order]
+        return [ids[u], ids[v], part[u], part[v]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _by_block(batches):
-            us, vs = compare(table)
-            if len(us):
+            pairs = compare(table)
+            if len(pairs[0]):
                 block = table.column("block")[0].as_py()
-                yield as_batch({"block": [block], "us": [us], "vs": [vs]}, schema)
+                yield as_batch({"block": [block]} | {c: [x] for c, x in zip(names, pairs, strict=True)}, schema)
 
     return run
 
 
 def _block_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among the likely pairs that connect what their block has not connected yet."""
+    """Components (u, v) whose likely pairs hold a link, as far as their block has not joined them."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,14 +333,14 @@ def _block_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for i, x in zip(table.column("doc_id"), table.column("shingles"), strict=True):
                 if x.is_valid:
                     own.setdefault(i.as_py(), []).append(np.frombuffer(x.as_py(), np.uint64))
-            top = {i: i for i in own}
+            top: dict[int, int] = {}
             found = []
-            for us, vs in zip(table.column("us"), table.column("vs"), strict=True):
-                for u, v in zip(us.as_py() or (), vs.as_py() or (), strict=True):
-                    a, b = _root(top, u), _root(top, v)
+            for row in table.select(["us", "vs", "of_us", "of_vs"]).to_pylist():
+                for u, v, of_u, of_v in zip(*(x or () for x in row.values()), strict=True):
+                    a, b = _root(top, of_u), _root(top, of_v)
                     if a != b and any(_similar(x, y, percent) for x in own[u] for y in own[v]):
                         top[a] = b
-                        found.append((u, v))
+                        found.append((of_u, of_v))
             if found:
                 yield as_batch({"u": [x for x, _ in found], "v": [x for _, x in found]}, schema)
 
@@ -341,13 +348,13 @@ def _block_links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = likely.select("block", ids.alias("doc_id")).join(sets, "doc_id")
     none = F.lit(None)
     rows = likely.select(
-        "block", "us", "vs", none.cast("long").alias("doc_id"), none.cast("binary").alias("shingles")
+        "block", "us", "vs", "of_us", "of_vs", none.cast("long").alias("doc_id"), none.cast("binary").alias("shingles")
     ).unionByName(members.select("block", "doc_id", "shingles"), allowMissingColumns=True)
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(check, _PAIRS)
 
 
 def _root(top: dict[int, int], node: int) -> int:
-    while top[node] != node:
+    while top.setdefault(node, node) != node:
         top[node] = node = top[top[node]]
     return node
 

@@ -90,6 +90,75 @@ def test_deduplicated_keeps_columns_and_one_of_each(spark):
     )
 
 
+def test_names_of_other_columns_do_not_matter(spark):
+    names = ["__id", "__kept", "__rows", "__row", "doc_id", "TEXT", "stays", "row", "c0", "kept", "node"]
+    rows = [[f"{n}{i}" for n in names] for i in range(6)]
+    for i, r in enumerate(rows):
+        r[4], r[5] = [1, 2, 3, 3, 4, None][i], ["a b c d e f", "a b c d e f", "x y z", "x y", "u v w", "u v w"][i]
+    kinds = ", ".join(f"`{n}` {'long' if n == 'doc_id' else 'string'}" for n in names)
+    docs = spark.createDataFrame([tuple(r) for r in rows], kinds)
+    out = near.deduplicated(docs)
+    assert out.columns == names
+    got = sorted((r["doc_id"] or 0, r["__id"], r["stays"]) for r in out.collect())
+    assert [g[0] for g in got] == [0, 1, 3, 4] and all(a[4:] == b[5:] for _, a, b in got)
+    assert near.deduplicated(docs.where("false")).count() == 0
+
+
+def test_repeated_ids_in_a_bucket_of_several_components(spark):
+    """Two families of similar texts under the same twelve ids, so buckets hold foreign texts' ids."""
+    rng, rows = random.Random(5), []
+    base = [f"w{i}" for i in range(400)]
+    shared = [f"s{i}" for i in range(200)]
+    for i in range(100, 112):
+        text = list(base)
+        for at in rng.sample(range(400), 60):
+            text[at] = f"r{rng.random()}"
+        rows.append((i, " ".join(text)))
+        rows.append((i, " ".join(shared + [f"t{i}-{k}" for k in range(60)])))
+    rows += [(200 + i, " ".join(base[: 390 - i])) for i in range(6)]
+    got = near.near_duplicates(spark.createDataFrame(rows, SCHEMA), width=2).collect()
+    assert len(got) == len(rows)
+    sets = [brute.shingles(t, 2) for _, t in rows]
+    top = {i: i for i, _ in rows}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for j, (b, _) in enumerate(rows):
+        for i, (a, _) in enumerate(rows[:j]):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * len(sets[i] | sets[j]):
+                x, y = root(a), root(b)
+                top[max(x, y)] = min(x, y)
+    assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i, _ in rows}
+
+
+@pytest.mark.parametrize("many", [1, 1000])
+def test_components_of_random_links(spark, monkeypatch, many):
+    """Also with every node of several links joined by broadcast."""
+    from nudgelab.llm import components as module
+
+    monkeypatch.setattr(module, "MANY", many)
+    rng = random.Random(many)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(230)]
+    links += [(7, 1000 + i) for i in range(80)]
+    top = list(range(1100))
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for u, v in links:
+        a, b = root(u), root(v)
+        top[max(a, b)] = min(a, b)
+    got = dict(components(spark.createDataFrame(links, "u long, v long")).collect())
+    linked = {x for u, v in links if u != v for x in (u, v)}
+    assert got == {i: root(i) for i in linked}
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(5, 5)]
     got = dict(components(spark.createDataFrame(links, "u long, v long")).collect())
