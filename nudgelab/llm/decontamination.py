@@ -6,7 +6,8 @@ backwards in the index, occurrences are located by sampled suffix positions, and
 touching ones are merged to spans. A document lies in one shard, so nothing is shuffled.
 
 The benchmark is a stated query set. It is read in blocks of ``BLOCK_ITEMS`` items, each its own
-broadcast of at most ``BLOCK_ITEMS`` items, loaded one at a time.
+broadcast of at most ``BLOCK_ITEMS`` items. A task holds one block at a time: with several, it lets
+go of a block after each search and reads it again from the executor's disk for the next shard.
 """
 
 from __future__ import annotations
@@ -42,10 +43,10 @@ class Phrases:
     codes: np.ndarray
     lengths: np.ndarray
     owners: np.ndarray
-    items: list[str]
+    items: list[str | None]
 
 
-def phrases_of(items: list[str], texts: list[str], window: int) -> Phrases:
+def phrases_of(items: list[str | None], texts: list[str], window: int) -> Phrases:
     """All windows of the items; an item of fewer words is one window, one of none has no window."""
     words = split(pa.array(texts, pa.string()), alnum=True)
     rows, lengths, owners = [], [], []
@@ -66,11 +67,11 @@ def phrases_of(items: list[str], texts: list[str], window: int) -> Phrases:
 
 
 def benchmark_blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> list:
-    """Broadcast phrases of the benchmark, block by block; rows without an id or words drop out."""
+    """Broadcast phrases of the benchmark, block by block; rows without words have none."""
     rows = benchmark.select(
         F.col(quoted(id_col)).cast("string").alias("item"),
         F.col(quoted(text_col)).cast("string").alias("text"),
-    ).where("item is not null and text is not null")
+    ).where("text is not null")
     context, blocks = benchmark.sparkSession.sparkContext, []
     incoming = rows.toLocalIterator()
     while part := list(itertools.islice(incoming, BLOCK_ITEMS)):
@@ -89,8 +90,8 @@ def matches(
     the words inside any occurrence of a window, ``items`` holds the ids (as text, sorted) of the
     items that occur, and ``spans`` the merged runs of hit words, first and last word from 0 on.
     Null and empty texts have no words; a null id stays null; repeated rows are answered alike;
-    item rows that share an id are one item; an empty benchmark hits nothing. Other columns are
-    not read.
+    item rows that share an id are one item; the windows of an item without an id are hit like any
+    other, but the item is not listed; an empty benchmark hits nothing. Other columns are not read.
     """
     blocks = benchmark_blocks(benchmark, window, item_col, item_text_col)
     return id_and_text(docs, id_col, text_col).mapInArrow(_match_batches(blocks), _MATCHES)
@@ -123,14 +124,21 @@ class Hits:
     found: set[tuple[int, str]]
 
 
+def _one_at_a_time(blocks) -> Iterator[Phrases]:
+    for block in blocks:
+        yield Phrases(**block.value)
+        if len(blocks) > 1 and getattr(block, "_path", None):
+            # The broadcast's file stays on the executor's disk; what was read of it goes.
+            vars(block).pop("_value", None)
+
+
 def find(texts: pa.Array, blocks) -> Hits:
     """Index the texts and search all phrases of all blocks in them."""
     words = split(texts, alnum=True)
     depth = np.zeros(len(words.codes) + len(words.bounds), dtype=np.int64)
     found: set[tuple[int, str]] = set()
     index = FMIndex(words.codes, words.bounds, len(words.vocabulary)) if len(words.codes) else None
-    for block in blocks if index else ():
-        phrases = Phrases(**block.value)
+    for phrases in _one_at_a_time(blocks) if index else ():
         known = pc.index_in(phrases.vocabulary, value_set=words.vocabulary)
         known = np.append(pc.fill_null(known, -1).to_numpy(zero_copy_only=False), -1)
         low, high = index.search(known[phrases.codes], phrases.lengths)
@@ -144,7 +152,7 @@ def find(texts: pa.Array, blocks) -> Hits:
         np.add.at(depth, at + phrases.lengths[window], -1)
         text = np.searchsorted(index.starts, at, side="right") - 1
         pairs = np.unique(np.stack([text, phrases.owners[window]]), axis=1)
-        found.update((int(t), phrases.items[i]) for t, i in pairs.T)
+        found.update((int(t), phrases.items[i]) for t, i in pairs.T if phrases.items[i] is not None)
     inside = np.ones(len(depth) - 1, dtype=bool)
     inside[words.bounds[1:] + np.arange(len(words.bounds) - 1)] = False
     return Hits(words, (np.cumsum(depth)[:-1] > 0)[inside], found)

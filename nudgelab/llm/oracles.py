@@ -32,7 +32,7 @@ _HITS = r"""
 with items as (
   select item_id::varchar as item, regexp_extract_all(lower_ascii, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
   from (select item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lower_ascii
-        from benchmark where text is not null and item_id is not null)),
+        from benchmark where text is not null)),
 windows as (
   select distinct item, least(10, len(w)) as size,
     array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as phrase
@@ -55,7 +55,7 @@ words as (
   group by n),
 named as (
   select n, count(*) as n_items, string_agg(item, ',' order by item) as listed
-  from (select distinct n, item from found) group by n)
+  from (select distinct n, item from found where item is not null) group by n)
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
   coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 as contaminated

@@ -120,11 +120,22 @@ def test_matches_equal_a_plain_search(spark, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = decontamination.matches(docs, bench).collect()
     got = sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in out), key=str)
-    assert got == plain_hits(rows, [x for x in items if x[0] is not None])
+    want = plain_hits(rows, items)
+    assert got == [(i, n, h, [x for x in found if x != "None"]) for i, n, h, found in want]
     for r in out:
         assert sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_hit
 
 
+def test_items_without_an_id_are_searched_and_cut(spark):
+    """Their words are hit and cut like any others; only the list of items leaves them out."""
+    line = " ".join(f"t{i}" for i in range(10))
+    bench = spark.createDataFrame([(None, line), (4, "other words")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {line} b other words")], "doc_id long, text string")
+    row = decontamination.matches(docs, bench).first()
+    assert (row.n_hit, list(row["items"])) == (12, ["4"])
+    assert decontamination.decontaminated(docs, bench).first().text == "a  b "
+
+
 def test_decontaminated_cuts_spans_only(spark, odd):
     bench = spark.createDataFrame([(1, "one two three"), (2, "é é")], "item_id long, text string")
     out = decontamination.decontaminated(odd, bench)
