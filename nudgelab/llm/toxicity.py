@@ -1,15 +1,18 @@
 """Toxicity by a weighted lexicon, matched with one Aho-Corasick automaton.
 
 Texts are folded first: lower case, accents dropped, look-alike letters of other scripts and digits
-or signs that stand for letters replaced, punctuation inside words removed. The lexicon holds words
-and word beginnings with log-odds weights learnt from labelled texts; hits inside an exception
+or signs that stand for letters replaced, punctuation inside words removed. Signs at the ends of a
+word are punctuation, unless the word is in the lexicon with them read as letters. The lexicon holds
+words and word beginnings with log-odds weights learnt from labelled texts; hits inside an exception
 phrase (a word pair around a hit that clean texts hold) do not count. The sum of weights, per 100
 words and as such, goes through a logistic curve fitted on the same sample.
 """
 
 from __future__ import annotations
 
+import bisect
 import itertools
+import math
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -30,10 +33,11 @@ from nudgelab.session import materialize
 
 #: Labelled texts the lexicon and the curve are learnt from, about.
 TRAINING_ROWS = 12_000
-#: A term needs this many toxic training texts, this share of them, and this log-odds weight.
-MIN_TOXIC, MIN_SHARE, MIN_WEIGHT = 3, 0.005, 3.5
+#: A term needs this many toxic training texts and this log-odds weight. Its texts must also be no
+#: work of chance: were labels given at random, one such term or more would be found among all the
+#: candidates with at most this probability.
+MIN_TOXIC, MIN_WEIGHT, CHANCE = 3, 3.5, 0.01
 PREFIXES = (4, 5, 6)
-MAX_TERMS = 20_000
 #: An exception phrase needs this many clean training texts.
 MIN_CLEAN = 3
 NEUTRAL = 0.5
@@ -43,6 +47,7 @@ NEUTRAL = 0.5
 _LOOKALIKES = dict(zip("абвгдеёкмнорстухіјѕԁԛԝαβεηικνορτυχω", "a6brdeekmhopctyxijsdqwabenikvoptuxw", strict=True))
 _SUBSTITUTES = dict(zip("01345789@$!|+", "oieastbgasiit", strict=True))
 _TRIMMED = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_PUNCTUATION = "".join(c for c in _TRIMMED if c not in _SUBSTITUTES)
 
 
 def _folding() -> dict[int, str]:
@@ -66,10 +71,17 @@ def folded(word: str) -> str:
     return core if core.isdigit() else core.translate(FOLDING)
 
 
-def folded_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Folded distinct words, the word numbers of all texts, and where each text begins."""
+def spelled_out(word: str) -> str:
+    """The word with the signs at its ends read as letters too (``$tupid``, ``a$$``)."""
+    core = word.strip(_PUNCTUATION).lower()
+    return folded(word) if core.isdigit() else core.translate(FOLDING)
+
+
+def folded_words(texts: pa.Array) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """Both foldings of the distinct words, the word numbers of all texts, and where each begins."""
     words = split(texts, lower=False)
-    return [folded(w.decode()) for w in words.vocabulary.to_pylist()], words.codes, words.bounds
+    spelled = [w.decode() for w in words.vocabulary.to_pylist()]
+    return [folded(w) for w in spelled], [spelled_out(w) for w in spelled], words.codes, words.bounds
 
 
 @dataclass(frozen=True)
@@ -99,16 +111,32 @@ def hits(automaton, text: str) -> list[tuple[int, int, float]]:
     for end, (size, weight) in automaton.iter(text):
         stop = end if text[end] == " " and end else end + 1
         (found if weight is not None else excused).append((stop - size, stop, weight))
-    if excused:
-        found = [h for h in found if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)]
-    return found
+    if not excused:
+        return found
+    # The furthest end of the exceptions that begin at or before a place.
+    excused.sort()
+    begins = [a for a, _, _ in excused]
+    furthest = list(itertools.accumulate((b for _, b, _ in excused), max))
+
+    def counts(hit: tuple[int, int, float]) -> bool:
+        at = bisect.bisect_right(begins, hit[0])
+        return not at or furthest[at - 1] < hit[1]
+
+    return [h for h in found if counts(h)]
 
 
-def texts_of(texts: pa.Array) -> tuple[list[str], np.ndarray]:
-    """Folded texts (blank-separated, blanks at both ends) and their numbers of words."""
-    vocabulary, codes, bounds = folded_words(texts)
+def texts_of(texts: pa.Array, automaton=None) -> tuple[list[str], np.ndarray]:
+    """Folded texts (blank-separated, blanks at both ends) and their numbers of words.
+
+    A word with signs at its ends is read with them as letters if only that reading is a hit.
+    """
+    plain, spelled, codes, bounds = folded_words(texts)
+    if automaton:
+        hit = lambda word: next((w for _, (_, w) in automaton.iter(f" {word} ") if w is not None), None)
+        plain = [b if a != b and hit(a) is None and hit(b) is not None else a
+                 for a, b in zip(plain, spelled, strict=True)]
     listed = pa.ListArray.from_arrays(
-        pa.array(bounds.astype(np.int32)), pa.array(vocabulary, pa.string()).take(pa.array(codes))
+        pa.array(bounds.astype(np.int32)), pa.array(plain, pa.string()).take(pa.array(codes))
     )
     joined = pa.compute.binary_join(listed, " ").to_pylist()
     return [f" {t} " for t in joined], np.diff(bounds)
@@ -123,7 +151,7 @@ def _loads(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for piece in pieces(batches, "text"):
-            texts, n_words = texts_of(piece.column("text"))
+            texts, n_words = texts_of(piece.column("text"), automaton)
             found = [hits(automaton, t) if automaton else [] for t in texts]
             yield as_batch(
                 {
@@ -192,17 +220,19 @@ def learn(sample: DataFrame) -> Lexicon:
     return Lexicon(terms, found.exceptions, slopes, float(curve.intercept))
 
 
+def _forms(word: str) -> set[str]:
+    """The terms that a word is an instance of."""
+    return {f"{word} ", *(word[:n] for n in PREFIXES if len(word) > n)} if word else set()
+
+
 def _terms(rows: DataFrame, bad: int, clean: int) -> dict[str, float]:
     """Words and beginnings that tell toxic from clean texts, each covered by one term."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = (Counter(), Counter())
         for piece in pieces(batches, "text"):
-            vocabulary, codes, bounds = folded_words(piece.column("text"))
-            forms = [
-                {f"{w} ", *(w[:n] for n in PREFIXES if len(w) > n)} if len(w) > 2 else set()
-                for w in vocabulary
-            ]
+            plain, spelled, codes, bounds = folded_words(piece.column("text"))
+            forms = [_forms(a) | (_forms(b) if a != b else set()) for a, b in zip(plain, spelled, strict=True)]
             for i, label in enumerate(piece.column("label").to_pylist()):
                 own = np.unique(codes[bounds[i] : bounds[i + 1]])
                 both[label].update(set().union(*(forms[c] for c in own)))
@@ -218,11 +248,18 @@ def _terms(rows: DataFrame, bad: int, clean: int) -> dict[str, float]:
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     )
     weight = F.log((F.col("toxic") + 0.5) / (bad + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
+    candidates = materialize(counted.where(F.col("toxic") >= MIN_TOXIC))
+    share = bad / (bad + clean)
+    own = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    # Chernoff's bound on as many toxic texts among the term's texts, by natural logarithm.
+    apart = own * F.log(own / share) + F.when(
+        own < 1, (1 - own) * F.log((1 - own) / (1 - share))
+    ).otherwise(0.0)
+    chance = -(F.col("toxic") + F.col("clean")) * apart
+    least = math.log(CHANCE / max(1, candidates.count()))
     kept = (
-        counted.withColumn("weight", weight)
-        .where((F.col("toxic") >= max(MIN_TOXIC, MIN_SHARE * bad)) & (F.col("weight") >= MIN_WEIGHT))
-        .orderBy(F.desc("toxic"), "term")
-        .limit(MAX_TERMS)
+        candidates.withColumn("weight", weight)
+        .where((F.col("weight") >= MIN_WEIGHT) & (own > share) & (chance <= least))
         .collect()
     )
     found = {r["term"]: (r["toxic"], r["weight"]) for r in kept}
@@ -254,7 +291,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> frozenset[str]:
         automaton = lexicon.automaton()
         out: dict[str, list] = {"phrase": [], "label": []}
         for piece in pieces(batches, "text"):
-            texts, _ = texts_of(piece.column("text"))
+            texts, _ = texts_of(piece.column("text"), automaton)
             for text, label in zip(texts, piece.column("label").to_pylist(), strict=True):
                 around = set()
                 for start, stop, _ in hits(automaton, text) if automaton else ():
@@ -276,7 +313,6 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> frozenset[str]:
         found.groupBy("phrase").agg(
             F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
         )
-        .where((F.col("clean") >= MIN_CLEAN) & (F.col("clean") > F.col("toxic")))
-        .orderBy(F.desc("clean"), "phrase").limit(MAX_TERMS).collect()
+        .where((F.col("clean") >= MIN_CLEAN) & (F.col("clean") > F.col("toxic"))).collect()
     )
     return frozenset(r["phrase"] for r in kept)
