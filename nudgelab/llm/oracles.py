@@ -109,23 +109,40 @@ summed as (
   select *, sum(k) over (whole order by b nulls first) as upto, sum(k) over whole as total,
     coalesce(power(1.01 / 0.99, b) * 2 / (1.01 / 0.99 + 1), 0) as value_at
   from levels window whole as (partition by level, lang, source, metric)),
-quartiles as (
+ends as (
   select level, lang, source, metric, max(total) as total,
-    min_by(value_at, upto) filter (upto > 0.25 * (total - 1)) as q1,
-    min_by(value_at, upto) filter (upto > 0.75 * (total - 1)) as q3
+    min_by(value_at, upto) filter (upto > 0.5 * (total - 1)) as median,
+    min_by(value_at, upto) filter (upto > 0.9 * (total - 1)) as u1,
+    min_by(value_at, upto) filter (upto > 0.95 * (total - 1)) as u2,
+    min_by(value_at, upto) filter (upto > 0.99 * (total - 1)) as u3,
+    min_by(value_at, upto) filter (upto > 0.999 * (total - 1)) as u4,
+    min_by(value_at, upto) filter (upto > 0.1 * (total - 1)) as l1,
+    min_by(value_at, upto) filter (upto > 0.05 * (total - 1)) as l2,
+    min_by(value_at, upto) filter (upto > 0.01 * (total - 1)) as l3,
+    min_by(value_at, upto) filter (upto > 0.001 * (total - 1)) as l4
   from summed group by level, lang, source, metric),
-chosen as (
+drawn as (
   select o.lang, o.source, o.metric,
-    case when o.total >= 100 then o.q1 when l.total >= 100 then l.q1 else a.q1 end as q1,
-    case when o.total >= 100 then o.q3 when l.total >= 100 then l.q3 else a.q3 end as q3
-  from quartiles o
-  join quartiles l on l.level = 'lang' and l.metric = o.metric and l.lang is not distinct from o.lang
-  join quartiles a on a.level = 'all' and a.metric = o.metric
+    (o.median * o.total + ((l.median * l.total + a.median * 200) / (l.total + 200)) * 200) / (o.total + 200) as median,
+    (o.u1 * o.total + ((l.u1 * l.total + a.u1 * 200) / (l.total + 200)) * 200) / (o.total + 200) as u1,
+    (o.u2 * o.total + ((l.u2 * l.total + a.u2 * 200) / (l.total + 200)) * 200) / (o.total + 200) as u2,
+    (o.u3 * o.total + ((l.u3 * l.total + a.u3 * 200) / (l.total + 200)) * 200) / (o.total + 200) as u3,
+    (o.u4 * o.total + ((l.u4 * l.total + a.u4 * 200) / (l.total + 200)) * 200) / (o.total + 200) as u4,
+    (o.l1 * o.total + ((l.l1 * l.total + a.l1 * 200) / (l.total + 200)) * 200) / (o.total + 200) as l1,
+    (o.l2 * o.total + ((l.l2 * l.total + a.l2 * 200) / (l.total + 200)) * 200) / (o.total + 200) as l2,
+    (o.l3 * o.total + ((l.l3 * l.total + a.l3 * 200) / (l.total + 200)) * 200) / (o.total + 200) as l3,
+    (o.l4 * o.total + ((l.l4 * l.total + a.l4 * 200) / (l.total + 200)) * 200) / (o.total + 200) as l4
+  from ends o
+  join ends l on l.level = 'lang' and l.metric = o.metric and l.lang is not distinct from o.lang
+  join ends a on a.level = 'all' and a.metric = o.metric
   where o.level = 'own'),
 fences as (
-  select lang, source, metric, case when metric = 'word_length' then q1 - reach end as low, q3 + reach as high
-  from (select *, greatest(3 * (q3 - q1), case metric when 'symbol_share' then 0.1
-      when 'duplicate_line_share' then 0.3 when 'repeat_share' then 0.2 else 3.0 end) as reach from chosen)),
+  select lang, source, metric, case when metric = 'word_length' then lower - 3 * (median - lower) end as low,
+    upper + 3 * (upper - median) as high
+  from (select *,
+      case when u1 > median then u1 when u2 > median then u2 when u3 > median then u3 when u4 > median then u4 end as upper,
+      case when l1 < median then l1 when l2 < median then l2 when l3 < median then l3 when l4 < median then l4 end as lower
+    from drawn)),
 broken as (
   select m.n, count(*) as k
   from measured m join fences f

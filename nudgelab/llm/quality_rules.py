@@ -2,9 +2,10 @@
 
 The base counts of a text come from one pass over its bytes. Every metric feeds a mergeable
 quantile sketch (logarithmic buckets of relative width ``ACCURACY``; merging adds counts, so any
-order and any split of the rows gives the same sketch). A group's thresholds are outer fences
-around its quartiles; a group below ``MIN_ROWS`` rows takes the merged sketch of its language, and
-that of all rows if the language is small too.
+order and any split of the rows gives the same sketch). A group's quantiles count as many times as it
+has rows, those of the merged sketch of its language ``PRIOR`` times, and so do, for a language, those
+of all rows: a small group is close to its language, a large one speaks for itself, and nothing
+switches in between. Fences lie outside the bulk of the values, as far as its own spread says.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ from nudgelab.llm.words import _SPACE as WORD_BYTES
 from nudgelab.session import materialize
 
 ACCURACY = 0.01
-MIN_ROWS = 100
+#: Rows that the next coarser sketch counts for.
+PRIOR = 200
+#: A fence is this many times the spread beyond it: the distance from the median to the first of the
+#: upper (lower) quantiles that differs from it.
 FENCE = 3.0
-#: metric -> (least distance of its fence from the quartile, whether low values fail too)
-METRICS = {
-    "symbol_share": (0.1, False),
-    "duplicate_line_share": (0.3, False),
-    "repeat_share": (0.2, False),
-    "word_length": (3.0, True),
-}
+UPPER = {"u1": 0.9, "u2": 0.95, "u3": 0.99, "u4": 0.999}
+LOWER = {"l1": 0.1, "l2": 0.05, "l3": 0.01, "l4": 0.001}
+#: metric -> whether low values fail too
+METRICS = {"symbol_share": False, "duplicate_line_share": False, "repeat_share": False, "word_length": True}
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
@@ -165,17 +166,21 @@ def quantiles(parts: DataFrame, by: list[str], wanted: dict[str, float]) -> Data
     return ranked.groupBy(*by, "metric").agg(F.max("rows").alias("rows"), *picks)
 
 
+def blended(own: Column, rows: Column, coarser: Column) -> Column:
+    """A quantile of ``rows`` values drawn towards that of the coarser group."""
+    return (own * rows + coarser * PRIOR) / (rows + PRIOR)
+
+
 def thresholds(metrics: DataFrame) -> DataFrame:
     """(lang, source, metric, low, high) for every language and source that occurs.
 
-    Fences lie ``FENCE`` quartile distances outside the quartiles, at least the metric's own
-    slack; ``low`` is null for metrics that only fail high.
+    ``low`` is null for metrics that only fail high; a side without any spread has no fence (null).
     """
     groups, fine = ["lang", "source"], materialize(sketches(metrics, ["lang", "source"]))
-    ends = {"q1": 0.25, "q3": 0.75}
-    own = quantiles(fine, groups, ends)
-    of_lang = quantiles(merged(fine, ["lang"]), ["lang"], ends)
-    of_all = quantiles(merged(fine, []), [], ends)
+    wanted = {"median": 0.5} | UPPER | LOWER
+    own = quantiles(fine, groups, wanted)
+    of_lang = quantiles(merged(fine, ["lang"]), ["lang"], wanted)
+    of_all = quantiles(merged(fine, []), [], wanted)
     rename = lambda df, tag: df.select(
         *[F.col(c).alias(f"{tag}_{c}") for c in df.columns]
     )
@@ -184,19 +189,20 @@ def thresholds(metrics: DataFrame) -> DataFrame:
         b, F.col("own_lang").eqNullSafe(F.col("lang_lang"))
         & (F.col("own_metric") == F.col("lang_metric")),
     ).join(c, F.col("own_metric") == F.col("all_metric"))
-    take = lambda q: (
-        F.when(F.col("own_rows") >= MIN_ROWS, F.col(f"own_{q}"))
-        .when(F.col("lang_rows") >= MIN_ROWS, F.col(f"lang_{q}"))
-        .otherwise(F.col(f"all_{q}"))
-    )
-    metric = F.col("own_metric")
-    slack = F.coalesce(*[F.when(metric == m, F.lit(s)) for m, (s, _) in METRICS.items()])
-    two_sided = metric.isin([m for m, (_, both) in METRICS.items() if both])
-    reach = F.greatest(slack, F.lit(FENCE) * (take("q3") - take("q1")))
-    return joined.select(
+    of_language = lambda q: blended(F.col(f"lang_{q}"), F.col("lang_rows"), F.col(f"all_{q}"))
+    drawn = joined.select(
         F.col("own_lang").alias("lang"), F.col("own_source").alias("source"),
-        metric.alias("metric"), F.when(two_sided, take("q1") - reach).alias("low"),
-        (take("q3") + reach).alias("high"),
+        F.col("own_metric").alias("metric"),
+        *[blended(F.col(f"own_{q}"), F.col("own_rows"), of_language(q)).alias(q) for q in wanted],
+    )
+    middle = F.col("median")
+    first = lambda names, differs: F.coalesce(*[F.when(differs(F.col(q)), F.col(q)) for q in names])
+    upper, lower = first(UPPER, lambda q: q > middle), first(LOWER, lambda q: q < middle)
+    two_sided = F.col("metric").isin([m for m, both in METRICS.items() if both])
+    return drawn.select(
+        "lang", "source", "metric",
+        F.when(two_sided, lower - FENCE * (middle - lower)).alias("low"),
+        (upper + FENCE * (upper - middle)).alias("high"),
     )
 
 
@@ -218,8 +224,8 @@ def judged(docs: DataFrame) -> DataFrame:
         & rows["source"].eqNullSafe(fences["its_source"]), "left",
     )
     broken = F.array_compact(F.array(*[
-        F.when((F.col(m) > F.col(f"{m}_high")) | F.coalesce(F.col(m) < F.col(f"{m}_low"), F.lit(False)),
-               F.lit(m)) for m in METRICS
+        F.when(F.coalesce(F.col(m) > F.col(f"{m}_high"), F.lit(False))
+               | F.coalesce(F.col(m) < F.col(f"{m}_low"), F.lit(False)), F.lit(m)) for m in METRICS
     ]))
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
