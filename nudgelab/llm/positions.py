@@ -15,6 +15,16 @@ def point(id_col: Column, text: Column) -> Column:
     return F.when(id_col.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(id_col))
 
 
+def spread_point(id_col: Column, text: Column) -> Column:
+    """Like :func:`point`, but rows without an id are spread by their place in the input too.
+
+    For tables where one text without an id may be repeated very often: equal rows take different
+    points, and which row takes which is of no consequence.
+    """
+    spot = F.xxhash64(text, F.monotonically_increasing_id())
+    return F.when(id_col.isNull(), spot).otherwise(F.xxhash64(id_col))
+
+
 def slice_of(place: Column, bits: int) -> Column:
     """The first ``bits`` bits of a point, as a number from 0 on."""
     return F.shiftrightunsigned(place, 64 - bits).cast("int")

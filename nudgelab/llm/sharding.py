@@ -15,11 +15,11 @@ from __future__ import annotations
 import hashlib
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nudgelab.llm.common import quoted, without
-from nudgelab.llm.positions import point, slice_of
+from nudgelab.llm.common import quoted
+from nudgelab.llm.positions import slice_of, spread_point
 from nudgelab.session import materialize
 
 SLICE_BITS = 16
@@ -97,38 +97,41 @@ def sharded(
     ``size`` is the text's UTF-8 bytes plus 1. With ``slack`` 0 the law is ``rows``: shard sizes
     differ by one at most. ``slot`` counts from 0 without gaps in every shard; ``grown_shard`` is
     null, since with bounds other documents decide too. Null texts have size 1 and the crc of an
-    empty text; rows without an id are placed by their text; repeated rows are rows of their own,
-    in slots of their own. Columns of ``docs`` with the names above are replaced. ``keep=False``
-    returns only the id as ``doc_id`` and the new columns. An empty table gives no rows.
+    empty text; rows without an id are placed by their text and their place in the input; repeated
+    rows are rows of their own, in slots of their own. Columns of ``docs`` with the names above are
+    replaced, all others are kept whatever their names. ``keep=False`` returns only the id as
+    ``doc_id`` and the new columns. An empty table gives no rows.
     """
-    identity = F.col(quoted(id_col))
+    # The input's columns go under names of their own, so that none can clash with a working one.
+    taken = {x.lower() for x in ADDED}
+    kept = [c for c in docs.columns if keep and c.lower() not in taken]
+    names = [f"c{i}" for i in range(len(kept))]
     text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
-    if not keep:
-        docs = docs.select(identity.alias("doc_id"), text.alias("__text"))
-        identity, text = F.col("doc_id"), F.col("__text")
-    spare = ("slice", "place", "inside", "from_rank", "to_rank", "base", "its_slice")
-    base = without(docs, [*ADDED, *spare]).withColumns({
-        "size": F.octet_length(text).cast("long") + 1, "text_crc32": F.crc32(text.cast("binary")),
-        "place": point(identity, text),
-    })
-    if not keep:
-        base = materialize(base.drop("__text"))
+    base = docs.select(
+        *[F.col(quoted(c)).alias(n) for c, n in zip(kept, names, strict=True)],
+        F.col(quoted(id_col)).alias("doc_id"), (F.octet_length(text).cast("long") + 1).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        spread_point(F.col(quoted(id_col)), text).alias("place"),
+    )
+    # Points of rows without an id depend on the order of the rows, so these are written once.
+    if keep:
+        base = base.where("doc_id is not null").unionByName(materialize(base.where("doc_id is null")))
+    else:
+        base = materialize(base)
     base = base.withColumn("slice", slice_of(F.col("place"), SLICE_BITS))
     sizes = {r["slice"]: r["count"] for r in base.groupBy("slice").count().collect()}
     pieces = base.sparkSession.createDataFrame(
         allotted(sizes, shards, slack) if sizes else [],
         "its_slice int, from_rank long, to_rank long, shard int, base long",
     )
-    name = quoted("doc_id" if not keep else id_col)
-    inside = F.expr(
-        f"row_number() over (partition by slice order by place, {name}, size, text_crc32) - 1"
-    )
+    order = Window.partitionBy("slice").orderBy("place", "doc_id", "size", "text_crc32")
     own = (F.col("slice") == F.col("its_slice")) & F.col("inside").between(
         F.col("from_rank"), F.col("to_rank") - 1
     )
-    placed = base.withColumn("inside", inside).join(F.broadcast(pieces), own)
+    placed = base.withColumn("inside", F.row_number().over(order) - 1).join(F.broadcast(pieces), own)
     slot = (F.col("base") + F.col("inside") - F.col("from_rank")).cast("long")
-    return placed.withColumns({
-        "law": F.lit("rows" if slack == 0 else "bounded"), "slot": slot,
-        "grown_shard": F.lit(None).cast("int"),
-    }).drop("place", "slice", "inside", "its_slice", "from_rank", "to_rank", "base")
+    first = [F.col(n).alias(c) for c, n in zip(kept, names, strict=True)] if keep else [F.col("doc_id")]
+    return placed.select(
+        *first, "size", "text_crc32", F.lit("rows" if slack == 0 else "bounded").alias("law"), "shard",
+        slot.alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -28,6 +28,7 @@ from nudgelab.llm import (  # noqa: E402
     toxicity,
 )
 from nudgelab.llm.fmindex import FMIndex  # noqa: E402
+from nudgelab.llm.positions import slice_of, spread_point  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars int, Shard string, rank int"
 ODD = [
@@ -170,6 +171,39 @@ def test_shards_are_even_gapless_and_whole(odd, empty):
     assert sharding.sharded(empty).count() == 0
 
 
+def test_shards_keep_columns_of_any_name(spark):
+    """Also those of the working columns; only the answers' own names are replaced."""
+    names = ["slice", "place", "inside", "base", "its_slice", "from_rank", "to_rank", "c0", "DOC_ID", "text", "SLOT", "id"]
+    rows = [tuple(f"{n}{i}" for n in names[:8]) + (i, f"t{i}", "old", "k") for i in range(40)]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'DOC_ID' else 'string'}" for n in names))
+    out = sharding.sharded(docs, shards=3)
+    assert out.columns == [n for n in names if n != "SLOT"] + list(sharding.ADDED)
+    assert sorted(tuple(r)[:9] for r in out.collect()) == sorted(r[:9] for r in rows)
+
+
+def test_rows_without_an_id_are_no_hot_slice(spark):
+    """Thousands of equal rows without an id are dealt over the whole ring, and all are kept."""
+    docs = spark.range(6000, numPartitions=8).selectExpr("if(id < 5000, null, id) doc_id", "'same text' text")
+    out = sharding.sharded(docs, shards=8)
+    counts = {r["shard"]: r["count"] for r in out.groupBy("shard").count().collect()}
+    assert sum(counts.values()) == 6000 and set(counts.values()) == {750}
+    shuffled = sharding.sharded(docs.repartition(5), shards=8)
+    assert shuffled.count() == 6000 and shuffled.select("shard", "slot").distinct().count() == 6000
+    place = spread_point(F.col("doc_id"), F.col("text"))
+    slices = docs.select(slice_of(place, sharding.SLICE_BITS).alias("s")).groupBy("s").count()
+    assert slices.agg(F.max("count")).first()[0] < 10
+
+
+def test_even_shards_move_a_bounded_share_when_one_is_added(spark):
+    """The registered law: sizes one row apart. Filling up costs some movement beyond the new shard."""
+    docs = spark.range(40_000).selectExpr("id doc_id", "'t' text")
+    before, after = (
+        sharding.sharded(docs, shards=n, keep=False).select("doc_id", F.col("shard").alias(f"s{n}")) for n in (8, 9)
+    )
+    moved = before.join(after, "doc_id").where("s8 <> s9").count() / 40_000
+    assert 1 / 9 <= moved < 0.4
+
+
 def test_ring_follows_the_clockwise_rule():
     sizes = {5: 40, 900: 3, 40_000: 25, 65_535: 30}
     pieces = sharding.allotted(sizes, 4, 0.0)
