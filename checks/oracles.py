@@ -339,6 +339,10 @@ ORACLES["labelled_clients"] = with_ctes("SELECT * FROM labelled", "labelled")
 ORACLES["score_log_append"] = with_ctes(
     f"SELECT * REPLACE ({r('processing_time')} AS processing_time) FROM log", "log"
 )
+ORACLES["score_log_truncate"] = with_ctes(
+    f"SELECT id, ts, {r('processing_time')} AS processing_time, input_size FROM log WHERE id % 2 = 0",
+    "log",
+)
 ORACLES["score_log_latest"] = with_ctes(
     "SELECT * REPLACE (CASE WHEN json_valid(input_data) "
     "THEN CAST(json(input_data) AS VARCHAR) ELSE input_data END AS input_data) "
@@ -1160,7 +1164,7 @@ for _model in LEARNERS:
     ORACLES[_name] = _tested(_model)
 ORACLES["t_learner_candidates"] = _tested("logreg", "forest", "boosted")
 ORACLES["model_comparison"] = (
-    f"SELECT model, count(*) AS n, true AS measured "
+    f"SELECT model, count(*) AS n, true AS scores_vary, true AS measured "
     f"FROM ({_tested(*LEARNERS)}) GROUP BY model"
 )
 ORACLES["tune_t_learner"] = (
@@ -1172,7 +1176,7 @@ ORACLES["tune_x_learner"] = (
 )
 ORACLES["propensity"] = with_ctes(
     "SELECT count(*) AS n, round_even(avg(treatment_flg), 3) AS mean_score, true AS usable, "
-    "true AS arms_look_random FROM audit",
+    f"count(*) >= {20 * len(AUDIT_FEATURES)} AS enough_clients, true AS arms_look_random FROM audit",
     "audit",
 )
 ORACLES["propensity_histogram"] = with_ctes(
