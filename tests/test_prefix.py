@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nudgelab.operators import quantiles
+from nudgelab.operators import prefix, quantiles
 from nudgelab.operators.prefix import running_totals
 from nudgelab.operators.quantiles import column_quantiles, exact_quantiles
 
@@ -49,6 +49,42 @@ def test_grouped_running_sum_with_a_hot_group(spark):
             assert run[row[0]] == (so_far, total)
 
 
+@pytest.mark.parametrize("held", [1, 7, 200_000])
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_groups_that_end_anywhere(spark, monkeypatch, held, batch):
+    """Groups cut by slices, by Arrow batches and by their own size; null keys, zeros and doubles."""
+    monkeypatch.setattr(prefix, "HELD_ROWS", held)
+    rng = random.Random(held)
+    rows = [(i, rng.choice([None, 1, 2, 3, 3, 3, 9]), rng.choice(["a", None]), 0 if i % 3 else i, rng.random())
+            for i in range(600)]
+    rows += [(1000 + i, 5, "z", 0, 0.0) for i in range(60)] + [(2000, 7, "z", None, None)]
+    df = spark.createDataFrame(rows, "id long, g long, h string, w int, x double").repartition(5)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, batch)
+    try:
+        got = {r["id"]: r for r in running_totals(df, [F.col("id").desc()], ["w", "x"], ["g", "h"]).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert len(got) == len(rows)
+    for g, h in {(r[1], r[2]) for r in rows}:
+        members = sorted((r for r in rows if (r[1], r[2]) == (g, h)), key=lambda r: -r[0])
+        w = x = 0
+        for r in members:
+            w, x = w + (r[3] or 0), x + (r[4] or 0.0)
+            assert got[r[0]]["w_run"] == w and got[r[0]]["x_run"] == pytest.approx(x)
+        for r in members:
+            assert got[r[0]]["w_all"] == w and got[r[0]]["x_all"] == pytest.approx(x)
+
+
+def test_rows_are_shuffled_once(spark):
+    """One exchange writes the slices, and what reads them exchanges marked rows only."""
+    df = spark.range(5000, numPartitions=4).selectExpr("id", "id % 7 v", "1L w")
+    plan = running_totals(df, [F.col("v"), F.col("id")], ["w"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") <= 1 and "rangepartitioning" not in plan
+    assert "Sort" not in plan.split("BroadcastExchange")[0]
+
+
 def test_hot_group_is_cut_into_several_slices(spark):
     """One group of all rows must not end up in one task."""
     df = spark.range(20000).select(F.lit(1).alias("g"), F.col("id"))
