@@ -34,9 +34,8 @@ from nudgelab.session import materialize
 #: Labelled texts the lexicon and the curve are learnt from, about.
 TRAINING_ROWS = 12_000
 #: A term needs this many toxic training texts and this log-odds weight. Its texts must also be no
-#: work of chance: were labels given at random, one such term or more would be found among all the
-#: candidates with at most this probability.
-MIN_TOXIC, MIN_WEIGHT, CHANCE = 3, 3.5, 0.01
+#: work of chance: were labels given at random, at most so many terms are to be expected in all.
+MIN_TOXIC, MIN_WEIGHT, CHANCE = 3, 3.5, 5.0
 PREFIXES = (4, 5, 6)
 #: An exception phrase needs this many clean training texts.
 MIN_CLEAN = 3
