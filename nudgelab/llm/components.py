@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from nudgelab.session import materialize
 
 ROUNDS = 60
-#: A node with more links than this, and than a ten-thousandth of all, is joined by broadcast.
-MANY, FEW_NODES = 1000, 10_000
+#: Up to so many links the minima of all nodes, two rows a link at most, are joined by broadcast.
+FEW_LINKS = 100_000
+#: Beyond, only those of nodes with more than a ten-thousandth of all links.
+FEW_NODES = 10_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,8 +21,8 @@ def components(links: DataFrame) -> DataFrame:
     repeat and point either way; self links and links with nulls count for nothing; no links
     give no rows. Each round hangs the neighbours of a node below the smallest of them; the
     table never holds more rows than there are links, and it is written to the shared folder
-    after each round. Minima are combined before they are shuffled, and nodes with very many links
-    (at most twice ``FEW_NODES`` of them) are joined by broadcast, so none is a hot group.
+    after each round. Minima are combined before they are shuffled, and those of nodes with very many
+    links (at most twice ``FEW_NODES`` of them) are joined by broadcast, so none is a hot group.
     """
     high, low = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     stars = materialize(links.where("u <> v").select(high, low).distinct())
@@ -49,7 +51,9 @@ def _mark(stars: DataFrame) -> tuple[int, str]:
 
 def _with_least(links: DataFrame, least: DataFrame, total: int) -> DataFrame:
     """``links`` with ``root`` of their ``u``; ``least`` holds (u, root, n) of every u."""
-    hot = F.broadcast(least.where(F.col("n") > max(MANY, total // FEW_NODES)).drop("n"))
+    if total <= FEW_LINKS:
+        return links.join(F.broadcast(least.drop("n")), "u")
+    hot = F.broadcast(least.where(F.col("n") > total // FEW_NODES).drop("n"))
     rest = links.join(hot.select("u"), "u", "left_anti").join(least.drop("n"), "u")
     return rest.unionByName(links.join(hot, "u"))
 

@@ -135,13 +135,14 @@ def test_repeated_ids_in_a_bucket_of_several_components(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: root(i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("many", [1, 1000])
-def test_components_of_random_links(spark, monkeypatch, many):
-    """Also with every node of several links joined by broadcast."""
+@pytest.mark.parametrize(("few_links", "few_nodes"), [(0, 1), (0, 100), (100_000, 1)])
+def test_components_of_random_links(spark, monkeypatch, few_links, few_nodes):
+    """Minima joined by shuffle, those of nodes with several links by broadcast, and all by broadcast."""
     from nudgelab.llm import components as module
 
-    monkeypatch.setattr(module, "MANY", many)
-    rng = random.Random(many)
+    monkeypatch.setattr(module, "FEW_LINKS", few_links)
+    monkeypatch.setattr(module, "FEW_NODES", few_nodes)
+    rng = random.Random(few_nodes)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(230)]
     links += [(7, 1000 + i) for i in range(80)]
     top = list(range(1100))
