@@ -6,7 +6,7 @@ Doubles are rounded half-even so the SQL checks can compare values.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -622,7 +622,9 @@ def kfold_assign(spark: SparkSession, d: str) -> DataFrame:
 #: Clients for each feature that the tight bound of the propensity check needs.
 CLIENTS_PER_FEATURE = 20
 
-_FITTED: dict[tuple[str, str], jobs.Comparison] = {}
+#: What a session has fitted so far, by folder; each learner is fitted by the first query that needs it.
+_FITTED: dict[tuple[str, str], dict[str, M.EffectModel]] = {}
+_PARTS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def _training(spark: SparkSession, d: str) -> DataFrame:
@@ -634,12 +636,29 @@ def _parts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return materialize(train), test
 
 
-def _comparison(spark: SparkSession, d: str) -> jobs.Comparison:
-    """The four learners in full, fitted once per session and folder."""
+def _models(spark: SparkSession, d: str, *names: str) -> tuple[dict[str, M.EffectModel], DataFrame]:
+    """The named learners in full, and the test rows."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _FITTED:
-        _FITTED[key] = jobs.compare_learners(_training(spark, d))
-    return _FITTED[key]
+    if key not in _PARTS:
+        _PARTS[key] = _parts(spark, d)
+    train, test = _PARTS[key]
+    known = _FITTED.setdefault(key, {})
+    if lacking := [n for n in names if n not in known]:
+        estimators = jobs.learners(train)
+        fitted = M.side_by_side([partial(estimators[n].fit, train) for n in lacking])
+        known.update(zip(lacking, fitted, strict=True))
+    return {n: known[n] for n in names}, test
+
+
+def _comparison(spark: SparkSession, d: str) -> jobs.Comparison:
+    """The four learners side by side."""
+    return jobs.compared(*_models(spark, d, "t_learner", "s_learner", "x_learner", "baseline"))
+
+
+def _scored(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """The test clients' scores by one learner."""
+    models, test = _models(spark, d, name)
+    return jobs.score_all(models, test)
 
 
 def _facts(scored: DataFrame) -> DataFrame:
@@ -698,17 +717,17 @@ def t_learner(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def s_learner(spark: SparkSession, d: str) -> DataFrame:
-    return _facts(_comparison(spark, d).scored.where("model = 's_learner'"))
+    return _facts(_scored(spark, d, "s_learner"))
 
 
 @query
 def x_learner(spark: SparkSession, d: str) -> DataFrame:
-    return _facts(_comparison(spark, d).scored.where("model = 'x_learner'"))
+    return _facts(_scored(spark, d, "x_learner"))
 
 
 @query
 def baseline_response(spark: SparkSession, d: str) -> DataFrame:
-    return _facts(_comparison(spark, d).scored.where("model = 'baseline'"))
+    return _facts(_scored(spark, d, "baseline"))
 
 
 @query
@@ -777,24 +796,24 @@ def model_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def importance_t(spark: SparkSession, d: str) -> DataFrame:
-    gap = I.coefficient_gap(spark, _comparison(spark, d).models["t_learner"])
+    gap = I.coefficient_gap(spark, _models(spark, d, "t_learner")[0]["t_learner"])
     usable = F.col("gap").isNotNull() & ~F.isnan("gap") & (F.abs("gap") == F.col("size"))
     return gap.groupBy("feature").agg(F.every(usable).alias("usable"))
 
 
 @query
 def importance_tree(spark: SparkSession, d: str) -> DataFrame:
-    return _weights(I.learner_importance(spark, _comparison(spark, d).models["baseline"]))
+    return _weights(I.learner_importance(spark, _models(spark, d, "baseline")[0]["baseline"]))
 
 
 @query
 def importance_x(spark: SparkSession, d: str) -> DataFrame:
-    return _weights(I.learner_importance(spark, _comparison(spark, d).models["x_learner"]))
+    return _weights(I.learner_importance(spark, _models(spark, d, "x_learner")[0]["x_learner"]))
 
 
 @query
 def importance_table(spark: SparkSession, d: str) -> DataFrame:
-    models = _comparison(spark, d).models
+    models, _ = _models(spark, d, "t_learner", "s_learner", "x_learner", "baseline")
     table = I.importance_table(spark, models)
     columns = [*models, "mean_importance"]
     sums = table.agg(*[(F.abs(F.sum(c) - 1) < 1e-6).alias(f"{c}_sums_to_one") for c in columns])

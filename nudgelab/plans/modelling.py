@@ -80,26 +80,35 @@ def score_all(models: dict[str, M.EffectModel], rows: DataFrame) -> DataFrame:
     return materialize(reduce(DataFrame.unionByName, tables))
 
 
-def compare_learners(frame: DataFrame, trees: int | None = None) -> Comparison:
-    """Fit the four learners on the training part and compare them on the rest.
+def learners(fit_rows: DataFrame, trees: int | None = None) -> dict[str, Estimator]:
+    """The four learners for a training frame of :func:`with_parts`.
 
     ``trees`` overrides the number of boosting rounds of every tree model.
     """
-    train, test = with_parts(frame)
     rounds = {} if trees is None else {"maxIter": trees}
-    fit_rows = materialize(train)
-    estimators: dict[str, Estimator] = {
+    return {
         "t_learner": M.t_learner(fit_rows),
         "s_learner": M.s_learner(fit_rows, validate=True, **rounds),
         "x_learner": M.x_learner(fit_rows, **rounds),
         "baseline": M.baseline_learner(fit_rows, validate=True, **rounds),
     }
-    fitted = M.side_by_side([partial(e.fit, fit_rows) for e in estimators.values()])
-    models = dict(zip(estimators, fitted, strict=True))
+
+
+def compared(models: dict[str, M.EffectModel], test: DataFrame) -> Comparison:
+    """Fitted learners side by side on the test rows."""
     scored = score_all(models, test)
     return Comparison(models, scored, R.metric_table(scored, ["model"]))
 
 
+def compare_learners(frame: DataFrame, trees: int | None = None) -> Comparison:
+    """Fit the four learners on the training part and compare them on the rest."""
+    train, test = with_parts(frame)
+    fit_rows = materialize(train)
+    estimators = learners(fit_rows, trees)
+    fitted = M.side_by_side([partial(e.fit, fit_rows) for e in estimators.values()])
+    return compared(dict(zip(estimators, fitted, strict=True)), test)
+
+
 # --- tuning ----------------------------------------------------------------------------
 
 Draw = Callable[[random.Random], dict]

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as registry
 from checks.compare import difference, open_tables
-from checks.queries import _comparison
+from checks.queries import _comparison, _models
 from test_ranking import brute_force
 
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
@@ -17,8 +17,13 @@ def tables(folder):
     return open_tables(folder)
 
 
+LEARNERS = ("t_learner", "s_learner", "x_learner", "baseline")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, folder, tables, name):
+    if name in ("baseline_response", *LEARNERS):
+        _models(spark, folder, *LEARNERS)  # side by side, which is faster than one by one
     df = QUERIES[name](spark, folder)
     got = [tuple(row) for row in df.collect()]
     result = tables.execute(ORACLES[name])
