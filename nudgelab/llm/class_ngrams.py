@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nudgelab.llm.common import as_batch, held_out, id_and_text
-from nudgelab.llm.words import mix, pieces, split, vocabulary_hashes
+from nudgelab.llm.words import give_back, mix, pieces, split, vocabulary_hashes
 from nudgelab.session import discard, materialize
 
 CLASSES = 48
@@ -44,7 +44,7 @@ LEAST_RISE, FEW_MOVED = 1e-3, 0.03
 CHUNKS, CHUNK_BLOCKS = 64, 2
 #: Words that a task exchanges at once, at most.
 AT_ONCE = 256
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 #: Counts added to every word of a class, and weight of the class unigrams in the transitions.
 ADDED, BACKOFF = 0.5, 5.0
 
@@ -97,6 +97,7 @@ def coded_texts(rows: DataFrame) -> DataFrame:
             place = np.empty(len(order), dtype=np.int64)
             place[order] = np.arange(len(order))
             joined = b"\n".join(words.vocabulary.take(pa.array(order)).to_pylist())
+            give_back()
             yield as_batch(
                 {
                     "block": [number], "ids": [piece.column("doc_id").to_pylist()],
@@ -225,6 +226,7 @@ def answered_words(coded: DataFrame, parts: int) -> DataFrame:
                 {"block": [-1], "part": [p], "n": [b""], "symbols": [b""], "told": [_pack(np.concatenate(told))]},
                 answering,
             )
+            give_back()
             start = 0
             for block, mine in zip(blocks, given, strict=True):
                 own_words = back[start : start + len(mine)]
@@ -307,6 +309,7 @@ def linked_blocks(coded: DataFrame, answers: DataFrame, symbols: Symbols) -> Dat
                 own = np.concatenate(none + [_unnumbered(r["symbols"]) for r in found])
                 n = np.concatenate(none + [_unnumbered(r["n"]) for r in found])
                 own = np.where(own < 0, first - 1 - own, own)
+                give_back()
                 yield as_batch(
                     {"ids": [get("ids")], "train": [get("train")], "bounds": [get("bounds")],
                      "codes": [get("codes")], "own": [_numbers(own)], "n": [_numbers(n)]}, linking,
@@ -388,6 +391,8 @@ def bigram_table(linked: DataFrame, symbols: Symbols, chunks: int = CHUNKS) -> D
                     part, rank = np.divmod(place, size // chunks + 1)
                     cuts = np.searchsorted(part, np.arange(chunks + 1))
                     cells = (rank * chunks + part) * size + others
+                    del number, place, rank, others
+                    give_back()
                     for c in np.flatnonzero(np.diff(cuts)).tolist():
                         mine = slice(cuts[c], cuts[c + 1])
                         packed = _packed_cells(cells[mine], counts[mine], c, size, chunks)
@@ -421,6 +426,7 @@ def bigram_table(linked: DataFrame, symbols: Symbols, chunks: int = CHUNKS) -> D
                 if chunk is not None and get("chunk") != chunk:
                     yield whole()
                     held = ([], [])
+                    give_back()
                 chunk = get("chunk")
                 sizes, others, counts = _cells(get("sizes"), get("others"), get("counts"))
                 parts = held[get("side")]

@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from nudgelab.llm.common import as_batch, id_and_text, quoted
 from nudgelab.llm.fmindex import FMIndex
-from nudgelab.llm.words import Words, edges, pieces, split, text_bytes
+from nudgelab.llm.words import Words, edges, give_back, pieces, split, text_bytes
 from nudgelab.llm.words import _ALNUM as WORD_BYTES
 from nudgelab.llm.words import _LOWER as LOWER
 
 WINDOW = 10
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 BLOCK_ITEMS = 20_000
 
 _MATCHES = "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"
@@ -174,6 +174,7 @@ def _match_batches(blocks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text", SHARD_BYTES):
             hits = find(piece.column("text"), blocks)
+            give_back()
             bounds = hits.words.bounds
             total = np.concatenate([[0], np.cumsum(hits.hit)])
             items: list[list[str]] = [[] for _ in range(piece.num_rows)]
@@ -199,6 +200,7 @@ def _cut_batches(blocks, text_col: str, length_col: str):
         for piece in pieces(batches, text_col, SHARD_BYTES):
             texts = piece.column(text_col)
             hits = find(texts, blocks)
+            give_back()
             if not hits.hit.any():
                 yield piece
                 continue

@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from nudgelab.llm.common import as_batch, id_and_text, quoted
 from nudgelab.llm.quality_rules import count_texts
-from nudgelab.llm.words import pieces, split, text_bytes
+from nudgelab.llm.words import give_back, pieces, split, text_bytes
 from nudgelab.session import materialize
 
 #: Labelled texts the rules are learnt from, about.
@@ -182,6 +182,7 @@ def accepted(docs: DataFrame, model: RuleEnsemble, least: float = 0.7) -> DataFr
         )
         for piece in pieces(both, "text"):
             found = text_statistics(piece.column("text"))
+            give_back()
             yield pa.RecordBatch.from_arrays(
                 [piece.column("row"), *(pa.array(found[c]) for c in STATISTICS)],
                 names=["row", *STATISTICS],

@@ -8,6 +8,7 @@ follows the piece and the longest text, never the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -65,6 +66,14 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = PIECE_BYTES
         pa.default_memory_pool().release_unused()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and a peak would stay theirs for good."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts, one after another, and where each text begins and ends."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
