@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nudgelab.llm.common import as_batch, held_out, id_and_text
+from nudgelab.llm.common import arrow_batches, as_batch, held_out, id_and_text
 from nudgelab.llm.words import give_back, mix, pieces, split, vocabulary_hashes
 from nudgelab.session import discard, materialize
 
@@ -788,11 +788,12 @@ def scored(
     rows = id_and_text(docs, id_col, text_col).withColumn(
         "train", ~held_out(F.col("doc_id"), parts, part)
     )
-    model = fit(coded_texts(rows), keep=False)
     kinds = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    blocks = model.linked.select("ids", "own", "n", "codes", "bounds", "train")
-    made = materialize(blocks.mapInArrow(_score_blocks(model), kinds))
-    discard(model.linked)
+    with arrow_batches(docs.sparkSession, f"{BLOCK_BYTES}b"):
+        model = fit(coded_texts(rows), keep=False)
+        blocks = model.linked.select("ids", "own", "n", "codes", "bounds", "train")
+        made = materialize(blocks.mapInArrow(_score_blocks(model), kinds))
+        discard(model.linked)
     held = held_out(F.col("doc_id"), parts, part)
     over = made.where(held).agg(F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).first()
     whole = 10.0 ** (-over["s"] / over["n"]) if over["n"] else None

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,3 +60,22 @@ def as_batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
          for k, x in columns.items()],
         schema=schema,
     )
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, most: str) -> Iterator[None]:
+    """Arrow batches of at most ``most`` bytes for the jobs that run inside; then as before.
+
+    Rows that hold whole texts or packed blocks would otherwise fill batches of 64 MB, which the
+    executor and its Python worker both hold.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
