@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import accumulate
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,21 +196,37 @@ def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
 def _bracket_counts(
     doubles: DataFrame, brackets: dict[str, list[tuple[float, float]]]
 ) -> DataFrame:
-    """(name, place, value, n): rows in gap ``place`` (even, no value) or of a bracket's value."""
-    entries = []
-    for n, found in brackets.items():
-        v = F.col(n)
-        place, inside = F.lit(2 * len(found)), F.lit(False)
-        for i, (low, high) in reversed(list(enumerate(found))):
-            place = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(place)
-            inside = F.when(v < low, False).when(v <= high, True).otherwise(inside)
-        entries.append(
-            F.when(v.isNotNull(), F.struct(
-                F.lit(n).alias("name"), place.alias("place"), F.when(inside, v).alias("value")
-            ))
-        )
-    rows = doubles.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
-    return rows.groupBy("e.name", "e.place", "e.value").agg(F.count("*").alias("n"))
+    """(name, place, value, n): rows in gap ``place`` (even, no value) or of a bracket's value.
+
+    Places are found by binary search over whole Arrow batches: as expressions, the comparisons of
+    all columns with all brackets would be too wide for generated code.
+    """
+    ends = {n: tuple(np.array(x) for x in zip(*found, strict=True)) for n, found in brackets.items()}
+    schema = pa.schema([("name", pa.string()), ("place", pa.int32()), ("value", pa.float64()), ("n", pa.int64())])
+
+    def rows_of(name: str, places: np.ndarray, values: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        names = pa.array([name] * len(places), pa.string())
+        return pa.RecordBatch.from_arrays(
+            [names, pa.array(places, pa.int32()), values, pa.array(counts, pa.int64())], schema=schema
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gaps = {n: np.zeros(len(lows) + 1, dtype=np.int64) for n, (lows, _) in ends.items()}
+        for batch in batches:
+            for n, (lows, highs) in ends.items():
+                v = batch.column(n).drop_null().to_numpy()
+                at = np.searchsorted(highs, v)
+                inside = (at < len(highs)) & (v >= lows[np.minimum(at, len(highs) - 1)])
+                gaps[n] += np.bincount(at[~inside], minlength=len(lows) + 1)
+                found, counts = np.unique(v[inside], return_counts=True)
+                if len(found):
+                    yield rows_of(n, 2 * np.searchsorted(highs, found) + 1, pa.array(found), counts)
+        for n, counts in gaps.items():
+            held = np.flatnonzero(counts)
+            yield rows_of(n, 2 * held, pa.nulls(len(held), pa.float64()), counts[held])
+
+    rows = doubles.select(*ends).mapInArrow(count, "name string, place int, value double, n long")
+    return rows.groupBy("name", "place", "value").agg(F.sum("n").alias("n"))
 
 
 def _gap_sums(
