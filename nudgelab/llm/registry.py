@@ -23,6 +23,8 @@ from nudgelab.llm import near_duplicates as near
 from nudgelab.llm.common import held_out, labelled_sample
 from nudgelab.llm.oracles import SQL
 
+#: The vocabulary file that the token counts of the query use.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: A score from here on means label 1.
 LEAST_SCORE = 0.7
 
@@ -43,7 +45,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Word-piece token counts of all documents."""
-    vocabulary = token_counts.load_vocabulary()
+    vocabulary = token_counts.load_vocabulary(VOCABULARY)
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary)
 
 

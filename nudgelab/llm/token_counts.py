@@ -19,13 +19,12 @@ from pyspark.sql import functions as F
 from nudgelab.llm.common import as_batch, id_and_text
 from nudgelab.llm.words import pieces, split
 
-VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: More distinct words a piece shares than with the usual size.
 PIECE_BYTES = 16_000_000
 _NONE = -1
 
 
-def load_vocabulary(path: str = VOCABULARY) -> tuple[list[str], list[str]]:
+def load_vocabulary(path: str) -> tuple[list[str], list[str]]:
     """Pieces that begin a word and pieces that continue one, from a sentencepiece model.
 
     Control, unknown and byte pieces are left out. The file is read on the driver only.
@@ -112,11 +111,12 @@ def token_counts(
     unknown token. Null and empty texts have no tokens; null ids and repeated rows are answered
     like any other; other columns are not read. Each distinct word of a piece is walked once.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    built = Automaton.of(*vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((built.moves, built.fail, built.pops))
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n_words", "n_tokens", "n_unknown")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton.of(*shared.value)
+        automaton = Automaton(*shared.value)
         for piece in pieces(batches, "text", PIECE_BYTES):
             words = split(piece.column("text"), lower=False)
             known = [

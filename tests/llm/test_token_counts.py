@@ -9,6 +9,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
+from nudgelab.llm.registry import VOCABULARY  # noqa: E402
 from nudgelab.llm.token_counts import Automaton, load_vocabulary, token_counts, total_tokens  # noqa: E402
 
 
@@ -35,7 +36,7 @@ def test_random_vocabularies():
 
 
 def test_public_vocabulary_and_odd_rows(spark, folder):
-    starts, others = load_vocabulary()
+    starts, others = load_vocabulary(VOCABULARY)
     rows = [(-1, "the theory of everything"), (-2, None), (-3, ""), (None, "a  b"),
             (-5, "x" * 70_000), (-6, "the 一丁힣zz")]
     docs = spark.createDataFrame([(*r, 9) for r in rows], "doc_id long, text string, n_words int")
