@@ -132,3 +132,32 @@ def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
     assert [a["client_id"] for a in answer] == [123, 555]
     assert log[1]["input_size"] == len(good.encode()) and log[1]["input_tokens"] == len(good.split())
     assert log[1]["processing_time"] > 0
+
+
+def test_requests_are_parsed_once(spark, request_rows):
+    """Conditions on the payload used to parse the text again, one by one."""
+    df = spark.createDataFrame([(1, json.dumps(request_rows)), (2, "{broken")], "id int, input_data string")
+    lines = files.request_purchases(files.parse_requests(df), "id")
+    assert lines._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert lines.count() == 3
+
+
+def test_a_batch_leaves_no_parsed_requests(spark, monkeypatch):
+    """They used to stay in the checkpoint folder, uncompressed, for every batch."""
+    kept, gone = [], []
+    requests = spark.createDataFrame([(1, "2024-03-01", "{}")], "id long, ts string, input_data string")
+    real, drop = scoring.materialize, scoring.discard
+    monkeypatch.setattr(scoring, "materialize", lambda df: kept.append(real(df)) or kept[-1])
+    monkeypatch.setattr(scoring, "discard", lambda df: gone.append(df.inputFiles()) or drop(df))
+    scores = spark.createDataFrame([], "id long, client_id long, uplift double")
+
+    def scored(rows, model, ages):
+        return scoring.materialize(files.parse_requests(files.request_size(rows))), scores
+
+    monkeypatch.setattr(scoring, "score_requests", scored)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    scoring.score_batch(requests, 0, None, None, f"{root}/batch-scores", f"{root}/batch-log")
+    assert len(kept) == len(gone) == 1 and gone[0]
+    with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+        kept[0].collect()
+    assert scorelog.read_log(spark, f"{root}/batch-log").first()["status_code"] == 400
