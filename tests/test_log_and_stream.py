@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import json
+import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from nudgelab.operators import learners as M
 from nudgelab.operators.age import AgeImputer
 from nudgelab.plans import modelling as jobs
+from nudgelab.session import checkpoint_root
 from nudgelab.sources import driver_tables as D
 from nudgelab.sources import files, schemas, scorelog
 from nudgelab.streaming import scoring
@@ -84,6 +88,32 @@ def test_request_size_of_the_document_written_anew(spark, document):
     assert got == {1: expected, 2: expected, 3: (0, 0)}
 
 
+def test_request_size_without_writing_it(spark, monkeypatch):
+    """The rewritten text used to be made, matched and split for its size."""
+    odd = ["{}", '""', '" "', '"a b\\tc"', '"\\u0020 \\n x"', '{"a": 1.50, "b":[1,2 , 3]}', '{"a,b:c":"x:y, z\\"q\\\\"}',
+           "null", "", None, '{"é":"ü  ü\\u2003x"}', '{"a":1,"a":2}', "  5 ", '["\\\\\\"",","]', "[1,2", '"  at  ends  "']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "id int, input_data string")
+    shown = df.select("id", files.spaced_json(F.col("input_data")).alias("shown")).collect()
+    monkeypatch.setattr(files, "spaced_json", None)
+    got = {r.id: (r.input_size, r.input_tokens) for r in files.request_size(df).collect()}
+    ascii_space = re.compile(r"[ \t\n\x0b\f\r]+")
+    for r in shown:
+        text = r.shown or ""
+        assert got[r.id] == (len(text.encode()), len([w for w in ascii_space.split(text) if w])), odd[r.id]
+
+
+def test_landed_files_are_many(spark, folder, monkeypatch):
+    """A packed file is one task's: a few large ones left most of the cores idle."""
+    before = set(os.listdir(checkpoint_root(spark).removeprefix("file:")))
+    monkeypatch.setattr(queries, "REQUESTS_A_FILE", 700)
+    scored = queries.score_stream(spark, folder)
+    root = checkpoint_root(spark).removeprefix("file:")
+    (landing,) = [n for n in set(os.listdir(root)) - before if n.startswith("stream-in-")]
+    counts = spark.read.json(os.path.join(root, landing)).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in counts) <= 700 and len(counts) > 1
+    assert scored.count() == sum(r["count"] for r in counts) == D.purchases(spark, folder).count()
+
+
 def test_landed_requests_are_scored(spark, folder, tmp_path, request_rows):
     frame = jobs.training_frame(
         D.clients(spark, folder), D.campaign(spark, folder), D.purchases(spark, folder)
